@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewire.llm import block_dedup
+from tidewire.llm import block_dedup, chat_collapse, decontam
 from tidewire.llm._common import read_table
 
 
@@ -12,8 +12,18 @@ def op2_block_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_dedup.exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op4_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_collapse.render_conversations(read_table(spark, sf_dir, "conversations"))
+
+
+def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op2_block_exact_dedup": op2_block_exact_dedup,
+    "op4_chat_snapshots": op4_chat_snapshots,
+    "op9_benchmark_leaks": op9_benchmark_leaks,
 }
 
 ORACLES = {
@@ -26,4 +36,48 @@ ORACLES = {
                sha256(t) AS text_sha256
         FROM d
     """,
+    "op4_chat_snapshots": """
+        WITH t AS (
+            SELECT conv_id, turn,
+                   sha256((CASE WHEN role IS NULL THEN '-' ELSE length(role) || ':' || role END)
+                          || (CASE WHEN text IS NULL THEN '-' ELSE length(text) || ':' || text END)) AS sha,
+                   '<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) AS shown,
+                   (CASE WHEN role IS NULL THEN '-' ELSE length(role) || ':' || role END)
+                   || (CASE WHEN text IS NULL THEN '-' ELSE length(text) || ':' || text END) AS exact
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), p AS (
+            SELECT conv_id,
+                   row_number() OVER w AS k,
+                   count(*) OVER (PARTITION BY conv_id) AS n,
+                   string_agg(shown, '') OVER w AS shown,
+                   string_agg(exact, '') OVER w AS exact
+            FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, sha ROWS UNBOUNDED PRECEDING)
+        ), whole AS (
+            SELECT exact, k AS n_turns, max(conv_id) AS conv_id, count(*) AS n_copies, any_value(shown) AS text
+            FROM p WHERE k = n GROUP BY exact, k
+        )
+        SELECT conv_id, n_turns, n_copies, text FROM whole w
+        WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.k < p.n AND p.k = w.n_turns AND p.exact = w.exact)
+    """,
+    "op9_benchmark_leaks": r"""
+        WITH dw AS (
+            SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents
+        ), iw AS (
+            SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark
+        ), s AS (
+            SELECT DISTINCT item_id, least(5, len(w)) AS k,
+                   unnest(list_transform(range(1, len(w) - least(5, len(w)) + 2),
+                                         lambda i: array_to_string(w[i : i + least(5, len(w)) - 1], ' '))) AS shingle
+            FROM iw WHERE len(w) > 0
+        ), d AS (
+            SELECT DISTINCT doc_id, k, unnest(list_transform(range(1, len(w) - k + 2),
+                                              lambda i: array_to_string(w[i : i + k - 1], ' '))) AS shingle
+            FROM dw, (SELECT DISTINCT k FROM s) WHERE len(w) >= k
+        ), total AS (
+            SELECT item_id, count(*) AS n_shingles FROM s GROUP BY item_id
+        )
+        SELECT doc_id, item_id, count(*) AS n_found, n_shingles, round(count(*) / n_shingles, 6) AS containment
+        FROM d JOIN s USING (k, shingle) JOIN total USING (item_id)
+        GROUP BY doc_id, item_id, n_shingles HAVING count(*) >= 0.8 * n_shingles
+    """,
 }
