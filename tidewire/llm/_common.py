@@ -23,17 +23,19 @@ def shared_root(spark: SparkSession) -> str:
 class Scratch:
     """Tables of one operator call, written to the shared folder so that lost executors cost no result.
 
-    ``save`` cuts the lineage: what follows reads a committed Parquet table.
+    ``save`` cuts the lineage: what follows reads a committed Parquet table.  The
+    tables hold mostly hashes, which don't compress, and compressors keep memory
+    outside the heap for each file, so they are written plainly unless told otherwise.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
+    def save(self, df: DataFrame, name: str, compression: str = "uncompressed") -> DataFrame:
         schema = df.schema
         path = f"{self.path}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", compression).parquet(path)
         return self.spark.read.schema(schema).parquet(path)
 
     def drop(self, name: str) -> None:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidewire.llm._common import Scratch, fresh, text_or_empty
 
-BLOCK_CHARS = 4096
+BLOCK_CHARS = 16_384
 
 
 def _named(rows: DataFrame, keys: list[str], scratch: Scratch, table: str) -> DataFrame:
