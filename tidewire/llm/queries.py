@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewire.llm import block_dedup, chat_collapse, decontam
+import public_tokenizers
+
+from tidewire.llm import block_dedup, chat_collapse, decontam, sp_backtrack
 from tidewire.llm._common import read_table
 
 
@@ -16,6 +19,22 @@ def op4_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_collapse.render_conversations(read_table(spark, sf_dir, "conversations"))
 
 
+def op5_sentencepiece_backtrack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(read_table(spark, sf_dir, "documents"))
+
+
+def token_digests(docs: DataFrame) -> DataFrame:
+    """The digests of the ids and decoded texts of ``documents``."""
+    encoded = sp_backtrack.encode_texts(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    joined = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(joined.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -23,6 +42,7 @@ def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_block_exact_dedup": op2_block_exact_dedup,
     "op4_chat_snapshots": op4_chat_snapshots,
+    "op5_sentencepiece_backtrack": op5_sentencepiece_backtrack,
     "op9_benchmark_leaks": op9_benchmark_leaks,
 }
 
