@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidewire.llm import block_dedup, chat_collapse, decontam, sp_backtrack
+from tidewire.llm import block_dedup, chat_collapse, decontam, langid, sp_backtrack
 from tidewire.llm._common import read_table
 
 
@@ -15,6 +15,10 @@ def op2_block_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_dedup.exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read_table(spark, sf_dir, "documents"))
+
+
 def op4_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_collapse.render_conversations(read_table(spark, sf_dir, "conversations"))
 
@@ -41,6 +45,7 @@ def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_block_exact_dedup": op2_block_exact_dedup,
+    "op3_language_id": op3_language_id,
     "op4_chat_snapshots": op4_chat_snapshots,
     "op5_sentencepiece_backtrack": op5_sentencepiece_backtrack,
     "op9_benchmark_leaks": op9_benchmark_leaks,
