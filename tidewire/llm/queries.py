@@ -7,10 +7,16 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidewire.llm import block_dedup, chat_collapse, decontam, langid, sp_backtrack
+from tidewire.llm import block_dedup, chat_collapse, decontam, langid, sp_backtrack, warc
 from tidewire.llm._common import read_table
 
 
+def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.write_warc(read_table(spark, sf_dir, "pages"))
+    found = warc.read_warc(spark, folder, with_payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_block_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_dedup.exact_groups(read_table(spark, sf_dir, "documents"))
 
@@ -44,6 +50,7 @@ def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc_round_trip": op1_warc_round_trip,
     "op2_block_exact_dedup": op2_block_exact_dedup,
     "op3_language_id": op3_language_id,
     "op4_chat_snapshots": op4_chat_snapshots,
@@ -52,6 +59,21 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_warc_round_trip": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h,
+                   row_number() OVER (PARTITION BY coalesce(html, '') ORDER BY page_id DESC NULLS LAST) AS place,
+                   max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top
+            FROM pages
+        )
+        SELECT page_id, strlen(t) AS payload_bytes,
+               array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform([15, 10, 5, 0],
+                   lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                                    CAST((('0x' || substr(h, i * 5 + 1, 5))::BIGINT >> s) & 31 AS BIGINT) + 1, 1)), '')), '') AS payload_digest,
+               CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN place > 1 THEN top END AS refers_to
+        FROM p
+    """,
     "op2_block_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
         SELECT doc_id,
