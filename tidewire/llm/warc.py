@@ -1,10 +1,8 @@
 """WARC archives: a deterministic sharded writer, and a reader.
 
 Records are written in order of (id, SHA-1 of the payload).  A histogram of
-payload bytes over ``CELLS`` equal ranges of the id gives the bounds of the
-shards, so equal tables give equal files whatever machines write them; a range
-that holds one id only is split by the first digit of the digest.  Each shard is
-sorted and written by one task as a stream: it starts a new file whenever the
+payload bytes over equal ranges of the id gives the bounds of the shards, so equal
+tables give equal files whatever machines write them.  Each shard is sorted and written by one task as a stream: it starts a new file whenever the
 compressed size passes ``roll_bytes``, writes each file under a temporary name,
 moves it to its final name when it is complete, and returns a manifest row with
 its size and SHA-256.  The manifest is committed by Spark when all tasks have
@@ -30,13 +28,12 @@ import uuid
 import zlib
 
 import pyarrow as pa
-from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.llm._common import Scratch, shared_root, text_or_empty
+from tidewire.llm._order import RollingFiles, shards, store_of
 
-CELLS = 4096
 SHARD_BYTES, ROLL_BYTES = 16 << 20, 128 << 20
 DATE = "1970-01-01T00:00:00Z"
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -45,11 +42,6 @@ _MANIFEST = "shard int, seq int, file string, records bigint, bytes bigint, sha2
 _RECORDS = "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
 
 
-def _store(uri: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a folder that all machines share, and the path in it."""
-    return pafs.FileSystem.from_uri(uri if ":" in uri.split("/", 1)[0] else "file://" + uri)
-
-
 def _digest(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
@@ -92,69 +84,30 @@ def page_record(page_id, url, payload: bytes, refers_to=None, is_revisit=False,
     return _record(headers, http if is_revisit else http + payload)
 
 
-class _RollingFiles:
-    """The files of one shard; ``done`` has their manifest rows."""
+class _Archives(RollingFiles):
+    """The archives of one shard; ``done`` has their manifest rows."""
 
     def __init__(self, folder: str, shard: int, roll_bytes: int):
-        self.store, self.path = _store(folder)
-        self.shard, self.roll_bytes, self.done, self.out = shard, roll_bytes, [], None
-        self.store.create_dir(posixpath.join(self.path, "open"), recursive=True)
+        super().__init__(folder, shard, ".warc.gz")
+        self.roll_bytes, self.done = roll_bytes, []
 
     def write(self, page_id: int | None, record: bytes) -> None:
         if self.out is None:
-            self.temporary = posixpath.join(self.path, "open", uuid.uuid4().hex)
-            self.out, self.sha = self.store.open_output_stream(self.temporary, compression=None), hashlib.sha256()
-            self.bytes, self.records, self.first = 0, 0, page_id
-            name = self._name()
-            info = _record(
-                [("WARC-Type", "warcinfo"), ("WARC-Record-ID", _urn(None, name, 0)), ("WARC-Date", DATE),
-                 ("WARC-Filename", name), ("Content-Type", "application/warc-fields")],
-                b"format: WARC File Format 1.1\r\n",
-            )
-            self._put(info)
-        self._put(record)
+            self.records, self.first = 0, page_id
+            info = [
+                ("WARC-Type", "warcinfo"), ("WARC-Record-ID", _urn(None, self.name, 0)), ("WARC-Date", DATE),
+                ("WARC-Filename", self.name), ("Content-Type", "application/warc-fields"),
+            ]
+            self.put(_record(info, b"format: WARC File Format 1.1\r\n"))
+        self.put(record)
         self.records += 1
         self.last = page_id
         if self.bytes >= self.roll_bytes:
-            self.close()
-
-    def _name(self) -> str:
-        return f"shard-{self.shard:05d}-{len(self.done):05d}.warc.gz"
-
-    def _put(self, data: bytes) -> None:
-        self.out.write(data)
-        self.sha.update(data)
-        self.bytes += len(data)
+            self.finish()
 
-    def close(self) -> None:
-        if self.out is None:
-            return
-        self.out.close()
-        name = self._name()
-        final = posixpath.join(self.path, name)
-        if self.store.type_name != "local" and self.store.get_file_info(final).type != pafs.FileType.NotFound:
-            self.store.delete_file(final)  # of an earlier attempt, with the same bytes
-        self.store.move(self.temporary, final)
-        self.done.append((self.shard, len(self.done), name, self.records, self.bytes, self.sha.hexdigest(), self.first, self.last))
-        self.out = None
-
-
-def _shard_bounds(cells: list, shard_bytes: int) -> tuple[list[int], list[bool], int]:
-    """For each cell its (first) shard and whether it is split by digest; the number of shards."""
-    first, split = [0] * CELLS, [False] * CELLS
-    by_cell = {r["cell"]: r for r in cells}
-    shard, held = 0, 0
-    for cell in range(CELLS):
-        r = by_cell.get(cell)
-        size = r["bytes"] if r else 0
-        if held and held + size > shard_bytes:
-            shard, held = shard + 1, 0
-        first[cell] = shard
-        held += size
-        if r and size > shard_bytes and r["n_ids"] == 1:
-            split[cell] = True
-            shard, held = shard + 16, 0
-    return first, split, shard + 1
+    def finish(self) -> None:
+        if self.out is not None:
+            self.done.append(self.close() | {"records": self.records, "first_id": self.first, "last_id": self.last})
 
 
 def write_warc(
@@ -182,24 +135,13 @@ def write_warc(
     ).withColumn("sha", F.sha1("payload"))
     light = scratch.save(base.select("id", "sha", F.octet_length("payload").cast("bigint").alias("n")), "light")
 
-    ends = light.agg(F.min("id").alias("lo"), F.max("id").alias("hi")).first()
-    lo, hi = (ends["lo"], ends["hi"]) if ends["lo"] is not None else (0, 0)
-    width = (hi - lo) // CELLS + 1
-    cell = f"cast(coalesce((cast(id as decimal(38,0)) - {lo}) div {width}, 0) as int)"
-    sizes = light.groupBy(F.expr(cell).alias("cell")).agg(
-        F.sum(F.col("n") + _RECORD_BYTES).alias("bytes"),
-        F.when(F.min(F.coalesce("id", F.lit(lo - 1 if lo > -(2**63) else lo))) == F.max("id"), 1).otherwise(2).alias("n_ids"),
-    )
-    first, split, n_shards = _shard_bounds(sizes.collect(), shard_bytes)
+    shard, n_shards = shards(light, shard_bytes, _RECORD_BYTES)
 
     known = light.where(F.col("n") >= min_revisit_bytes)
     tops = known.groupBy("sha").agg(F.max("id").alias("top"), F.count("*").alias("c")).where("c > 1")
     revisits = (
         known.select("id", "sha").distinct().join(tops, "sha").where("not id <=> top").select("id", "sha", "top")
     )
-    shard = F.array(*map(F.lit, first))[F.expr(cell)] + F.when(
-        F.array(*map(F.lit, split))[F.expr(cell)], F.conv(F.substring("sha", 1, 1), 16, 10).cast("int")
-    ).otherwise(0)
     rows = base.select("id", "sha", F.lit(1).alias("kind"), "url", "payload", F.lit(None).cast("bigint").alias("top"))
     says = revisits.select(
         "id", "sha", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"),
@@ -219,9 +161,9 @@ def write_warc(
             for r in batch.to_pylist():
                 if files is None or files.shard != r["shard"]:
                     if files:
-                        files.close()
+                        files.finish()
                         yield _manifest_rows(files.done)
-                    files = _RollingFiles(archives, r["shard"], roll_bytes)
+                    files = _Archives(archives, r["shard"], roll_bytes)
                 key = (r["id"], r["sha"])
                 if r["kind"] == 0:
                     said = (key, r["top"])
@@ -233,17 +175,16 @@ def write_warc(
                 target = said[1] if decided else r["id"] if revisit else None
                 files.write(r["id"], page_record(r["id"], r["url"], r["payload"], target, revisit, repeat))
         if files:
-            files.close()
+            files.finish()
             yield _manifest_rows(files.done)
 
     dealt.mapInArrow(write, _MANIFEST).write.option("compression", "uncompressed").parquet(f"{folder}/manifest")
     return folder
 
 
-def _manifest_rows(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
-    names = [c.split()[0] for c in _MANIFEST.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+def _manifest_rows(rows: list[dict]) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}
+    return pa.RecordBatch.from_pylist(rows, pa.schema([(n, kinds[k]) for n, k in map(str.split, _MANIFEST.split(", "))]))
 
 
 class _Checked:
@@ -291,7 +232,7 @@ def read_warc(spark: SparkSession, folder: str, with_payload: bool = True) -> Da
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=False)], names)
 
     def read(batches):
-        store, path = _store(archives)
+        store, path = store_of(archives)
         for batch in batches:
             for f in batch.to_pylist():
                 checked = _Checked(store.open_input_stream(posixpath.join(path, f["file"]), compression=None))
