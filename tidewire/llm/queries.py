@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidewire.llm import block_dedup, chat_collapse, decontam, langid, sp_backtrack, warc
+from tidewire.llm import block_dedup, chat_collapse, decontam, langid, sp_backtrack, warc, wavelet
 from tidewire.llm._common import read_table
 
 
@@ -45,6 +45,12 @@ def token_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def op7_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    folder = wavelet.write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return wavelet.read_tokens(spark, folder, with_ids=False)
+
+
 def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -55,6 +61,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_chat_snapshots": op4_chat_snapshots,
     "op5_sentencepiece_backtrack": op5_sentencepiece_backtrack,
+    "op7_wavelet_tokens": op7_wavelet_tokens,
     "op9_benchmark_leaks": op9_benchmark_leaks,
 }
 
