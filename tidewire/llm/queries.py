@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidewire.llm import block_dedup, chat_collapse, decontam, langid, sp_backtrack, warc, wavelet
+from tidewire.llm import block_dedup, chat_collapse, decontam, langid, omh, sp_backtrack, warc, wavelet
 from tidewire.llm._common import read_table
 
 
@@ -51,6 +51,10 @@ def op7_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_tokens(spark, folder, with_ids=False)
 
 
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return omh.classes(read_table(spark, sf_dir, "documents"))
+
+
 def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -62,6 +66,7 @@ QUERIES = {
     "op4_chat_snapshots": op4_chat_snapshots,
     "op5_sentencepiece_backtrack": op5_sentencepiece_backtrack,
     "op7_wavelet_tokens": op7_wavelet_tokens,
+    "op8_order_minhash": op8_order_minhash,
     "op9_benchmark_leaks": op9_benchmark_leaks,
 }
 
