@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidewire.llm import block_dedup, chat_collapse, decontam, langid, omh, sp_backtrack, warc, wavelet
+from tidewire.llm import block_dedup, chat_collapse, decontam, html_extract, langid, omh, sp_backtrack, warc, wavelet
 from tidewire.llm._common import read_table
 
 
@@ -45,6 +45,10 @@ def token_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def op6_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op7_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     folder = wavelet.write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -65,6 +69,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_chat_snapshots": op4_chat_snapshots,
     "op5_sentencepiece_backtrack": op5_sentencepiece_backtrack,
+    "op6_html_main_text": op6_html_main_text,
     "op7_wavelet_tokens": op7_wavelet_tokens,
     "op8_order_minhash": op8_order_minhash,
     "op9_benchmark_leaks": op9_benchmark_leaks,
