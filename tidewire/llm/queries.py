@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidewire.llm import block_dedup, chat_collapse, decontam, html_extract, langid, omh, sp_backtrack, warc, wavelet
+from tidewire.llm import block_dedup, chat_collapse, decontam, html_extract, langid, omh, sp_backtrack, suffix_buckets, warc, wavelet
 from tidewire.llm._common import read_table
 
 
@@ -63,6 +63,11 @@ def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_buckets.repeated_spans(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES = {
     "op1_warc_round_trip": op1_warc_round_trip,
     "op2_block_exact_dedup": op2_block_exact_dedup,
@@ -73,6 +78,7 @@ QUERIES = {
     "op7_wavelet_tokens": op7_wavelet_tokens,
     "op8_order_minhash": op8_order_minhash,
     "op9_benchmark_leaks": op9_benchmark_leaks,
+    "op10_repeated_spans": op10_repeated_spans,
 }
 
 ORACLES = {
