@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Element names and the words by which sites name their containers.
 _SKIPPED = (
@@ -250,7 +251,7 @@ def extract(
     a row each; an empty table gives no rows.
     """
     tree = decision_tree()
-    schema = pages.select(id_col, url_col).schema.add("text", "string").add("n_chars", "bigint")
+    schema = pages.select(id_col, url_col).schema.add("text", T.StringType()).add("n_chars", T.LongType())
     names = schema.names
 
     def run(batches):
