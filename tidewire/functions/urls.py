@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from urllib.parse import parse_qsl, quote, urljoin, urlsplit, urlunsplit
+from urllib.parse import quote, urljoin, urlsplit, urlunsplit
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 # Query keys that grant access, suffixes of private hosts, tracking keys.
@@ -36,7 +37,7 @@ def safe_url(url: Column) -> Column:
     return F.when(ok, F.concat(F.lit("https://"), F.lower(host), slash, rest))
 
 
-@pandas_udf("string")
+@pandas_udf(T.StringType())
 def _resolved(urls: pd.Series, bases: pd.Series) -> pd.Series:
     def one(url, base):
         if not url or len(url) > LONGEST:
@@ -98,6 +99,3 @@ def in_scope(url: Column, host: Column, prefix: Column) -> Column:
     path = F.regexp_replace(F.regexp_replace(url, r"^https://[^/?#]*", ""), r"[?#].*$", "")
     return (host_of(url) == host) & path.startswith(prefix)
 
-
-def query_pairs(url: str) -> list[tuple[str, str]]:
-    return parse_qsl(urlsplit(url).query, keep_blank_values=True)
