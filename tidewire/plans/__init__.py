@@ -1,6 +1,6 @@
 """Registered queries: the engine's operators over the driver's tables, with equivalent SQL."""
 
-from tidewire.plans import relational, scalars  # noqa: F401
+from tidewire.plans import parsed, relational, scalars  # noqa: F401
 from tidewire.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
