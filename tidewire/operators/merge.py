@@ -27,39 +27,35 @@ def upsert_by_url(records: DataFrame, keys: list[str], pos: str = "pos") -> Data
     The last record gives most fields; image and author fall back to earlier ones that
     have them; the alternative text belongs to the image that stays: it is the last one
     told since the URL of that image last changed, or null; the metadata check is the latest.
-    One pre-aggregated shuffle on the keys; an unsafe URL is an error in the source and its
+    All is pre-aggregated before the shuffle and no group is gathered into a list, so a URL that is
+    seen ever so often costs no more than others.  An unsafe URL is an error in the source; its
     rows must be filtered before.
     """
     order = F.col(pos)
     last = [c for c in _LAST if c in records.columns]
     rows = records.withColumn("url", canonical_url(F.col("url")))
-    # only the image needs the history of a URL, and only records that have one
-    images = F.sort_array(
-        F.collect_list(
-            F.when(F.col("image_url").isNotNull(), F.struct(order.alias("pos"), F.col("image_url").alias("u"), F.col("image_alt").alias("alt")))
-        )
-    )
     folded = rows.groupBy(*keys, "url").agg(
         F.max_by(F.struct(*last), order).alias("l"),
         _last_known("author", order).alias("author"),
         F.max("metadata_checked_at").alias("metadata_checked_at"),
-        images.alias("images"),
         F.min(order).alias("first_pos"),
         F.max(order).alias("last_pos"),
     )
-    start = F.struct(F.lit(None).cast("string").alias("u"), F.lit(None).cast("string").alias("alt"))
-    picked = F.aggregate(
-        "images",
-        start,
-        lambda prior, x: F.struct(
-            x["u"].alias("u"), F.coalesce(x["alt"], F.when(x["u"].eqNullSafe(prior["u"]), prior["alt"])).alias("alt")
-        ),
-    )
+    # per image its last place and its last text with that text's place; then the image of the last place, whose text
+    # counts if it was told after the last place of any other image
+    told = F.when(F.col("image_alt").isNotNull(), order)
+    images = rows.where("image_url is not null").groupBy(*keys, "url", "image_url").agg(
+        F.max(order).alias("at"), F.max_by("image_alt", told).alias("alt"), F.max(told).alias("alt_at")
+    )
+    of_url = Window.partitionBy(*keys, "url").orderBy(F.col("at").desc())
+    images = images.withColumn("r", F.row_number().over(of_url)).withColumn("other_at", F.lead("at").over(of_url)).where("r = 1")
+    alt = F.when(F.col("other_at").isNull() | (F.col("alt_at") > F.col("other_at")), F.col("alt"))
+    images = images.select(*keys, "url", "image_url", alt.alias("image_alt"))
     return (
-        folded.withColumn("i", picked)
+        folded.join(images, [*keys, "url"], "left")
         .select(
-            *keys, "url", *(F.col(f"l.{c}").alias(c) for c in last), F.col("i.u").alias("image_url"),
-            F.col("i.alt").alias("image_alt"), "author", "metadata_checked_at", "first_pos", "last_pos",
+            *keys, "url", *(F.col(f"l.{c}").alias(c) for c in last), "image_url", "image_alt", "author", "metadata_checked_at",
+            "first_pos", "last_pos",
         )
         .withColumn("id", stable_id(*(F.col(k) for k in keys), F.col("url")))
     )
