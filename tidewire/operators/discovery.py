@@ -94,3 +94,72 @@ def import_evidence(programs: DataFrame) -> DataFrame:
         F.count_distinct("primary_conference").alias("conferences"),
         F.count_if(~F.col("conference").eqNullSafe(F.col("primary_conference"))).alias("affiliates"),
     )
+
+
+# Families that are one program for several sponsored sports, and labels of joint track and cross-country pages.
+COMBINED_FAMILIES = ("track and field", "cross country", "swimming and diving", "skiing", "fencing", "rifle", "sailing")
+TRACK_AND_CROSS = (
+    "track and field xc", "track and field cross country", "track cross country", "cross country track", "cross country and track",
+    "cross country track and field", "cross country and track and field", "xc track", "xc track and field",
+)
+_FAMILY_WORDS = (
+    (r"^(?:mens and womens|womens and mens|m and w) ", ""),
+    (r"^track(?: field)?$", "track and field"),
+    (r"^(?:swimming diving|swim and dive|swimming)$", "swimming and diving"),
+    (r"^combined cross country$", "cross country"),
+    (r"^artistic swimming$", "synchronized swimming"),
+    (r"^acrobatics tumbling$", "acrobatics and tumbling"),
+)
+
+
+def navigation_matches(labels: DataFrame, programs: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Programs that the labels of a school's navigation mean (T22): school, label, program_id.
+
+    labels: school, label; programs: program_id, school, base, family, gender; aliases: program_id, alias.
+    A label says which families or bases it may mean and for which genders; that is an equi-join,
+    and the rules of sailing, track seasons and joint pages are rows of what it says.
+    """
+    n = labels.select("school", "label").distinct().withColumn("n", normal_label(F.col("label")))
+    season = F.lower(F.coalesce(
+        F.nullif(F.regexp_extract("label", r"(?i)^.+?\s*\((i|o|indoor|outdoor)\)\s*$", 1), F.lit("")),
+        F.nullif(F.regexp_extract("label", r"(?i)^.+?\s*[-–—]\s*(indoor|outdoor)\s*$", 1), F.lit("")),
+    ))
+    stem = normal_label(F.regexp_replace("label", r"(?i)\s*(?:\((?:i|o|indoor|outdoor)\)|[-–—]\s*(?:indoor|outdoor))\s*$", ""))
+    n = n.withColumn("season", F.when(season.startswith("i"), "indoor").when(season.startswith("o"), "outdoor")).withColumn("stem", stem)
+    n = n.withColumn("words", F.regexp_replace("n", _FAMILY_WORDS[0][0], ""))
+    gender = F.nullif(F.regexp_extract(F.when(F.col("season").isNotNull(), F.col("stem")).otherwise(F.col("words")), "^(mens|womens) ", 1), F.lit(""))
+    plain = F.regexp_replace("words", "^(mens|womens) ", "")
+    family = F.col("words")
+    for pattern, to in _FAMILY_WORDS[1:]:
+        family = F.regexp_replace(family, pattern, to)
+    any_ = F.array().cast("array<string>")
+    only = lambda g: F.when(g.isNotNull(), F.array(g)).otherwise(any_)
+    says = lambda kind, value, genders, lone: F.struct(F.lit(kind).alias("kind"), value.alias("value"), genders.alias("genders"), F.lit(lone).alias("lone"))
+    sailing = F.col("n").rlike("^sailing (?:open|coed)$")
+    all_sailing = F.col("n").rlike("^(?:mens (?:and )?womens sailing|sailing open and womens)$")
+    track = r"^(?:(?:mens|womens) )?track(?: and)? field$"
+    in_front = F.regexp_extract(plain, "^(indoor|outdoor) track(?: and)? field$", 1)
+    told = (
+        F.when(sailing, F.array(says("family", F.lit("sailing"), F.array(F.lit("coed")), False)))
+        .when(all_sailing, F.array(says("family", F.lit("sailing"), F.array(F.lit("coed"), F.lit("womens")), False)))
+        .when(F.col("season").isNotNull() & F.col("stem").rlike(track), F.array(says("base", F.concat("season", F.lit(" track and field")), only(gender), False)))
+        .when(F.col("season").isNotNull(), F.array(says("none", F.lit(""), any_, False)))
+        .when(in_front != "", F.array(says("base", F.concat(in_front, F.lit(" track and field")), only(gender), False)))
+        .when(plain.isin(*TRACK_AND_CROSS), F.array(says("family", F.lit("cross country"), only(gender), False), says("family", F.lit("track and field"), only(gender), False)))
+        .otherwise(F.array(says("family", family, any_, True)))
+    )
+    said = n.select("school", "label", F.explode(told).alias("s")).select("school", "label", "s.*")
+    size = programs.groupBy("school", "family").agg(F.count("*").alias("in_family"))
+    rows = programs.join(size, ["school", "family"]).withColumn(
+        "names", F.array(F.struct(F.lit("family").alias("kind"), F.col("family").alias("value")), F.struct(F.lit("base").alias("kind"), F.col("base").alias("value")))
+    )
+    keyed = rows.select("school", "program_id", "gender", "family", "in_family", F.inline("names"))
+    hit = said.join(keyed, ["school", "kind", "value"])
+    ok = (F.size("genders") == 0) | F.array_contains("genders", F.col("gender"))
+    alone = ~F.col("lone") | F.col("family").isin(*COMBINED_FAMILIES) | (F.col("in_family") == 1)
+    by_rule = hit.where(F.coalesce(ok, F.lit(False)) & alone).select("school", "label", "program_id")
+    # labels of the special forms never fall back to aliases
+    plain_labels = n.where(F.col("season").isNull() & ~sailing & ~all_sailing).select("school", "label")
+    by_alias = match_labels(plain_labels, aliases.join(programs.select("program_id", F.col("school").alias("of")), "program_id"))
+    by_alias = by_alias.where("school = of").select("school", "label", "program_id")
+    return by_rule.unionByName(by_alias).distinct()
