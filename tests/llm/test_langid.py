@@ -44,11 +44,14 @@ def test_counts_stay_within_texts():
 def test_calibration_and_sparsity():
     r = np.random.default_rng(0)
     y = r.integers(0, 3, 600)
-    x = np.abs(r.normal(size=(600, 40))).astype(np.float32) * 0.1
-    x[np.arange(600), y] += 1
-    w, b = langid.fit_ftrl(x, y, 3)
-    assert ((x @ w + b).argmax(axis=1) == y).mean() > 0.97
-    assert (w == 0).mean() > 0.2
+    offsets = np.arange(601) * 4
+    buckets = np.column_stack([y, *(r.integers(3, 40, 600) * 3 + i for i in range(3))]).ravel()
+    x = langid.Rows.of(offsets, buckets, np.ones(2400, int), np.ones(langid.BUCKETS, np.float32))
+    w, b = langid.fit_ftrl(x, y, 3, np.arange(500))
+    rows = x.dense(np.arange(500, 600))
+    assert np.allclose(np.linalg.norm(rows[:, :-1], axis=1), 1)
+    assert ((rows[:, :-1] @ w + b).argmax(axis=1) == y[500:]).mean() > 0.97
+    assert (w[:3] != 0).any() and (w == 0).mean() > 0.9
     z = r.normal(size=(4000, 3))
     p = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
     told = np.array([r.choice(3, p=q) for q in p])

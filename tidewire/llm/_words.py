@@ -88,3 +88,9 @@ def portions(items: Iterable, weight, limit: int) -> Iterator[list]:
             part, total = [], 0
     if part:
         yield part
+
+
+def values_of(column) -> Iterator:
+    """The values of an Arrow array, made a few at a time: a batch may hold many long texts."""
+    for first in range(0, len(column), 250):
+        yield from column.slice(first, 250).to_pylist()

@@ -19,7 +19,7 @@ benchmark takes one pass over the documents for each block.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewire.llm._words import U64, multipliers, portions, shingles, word_hashes, words_of
+from tidewire.llm._words import U64, multipliers, portions, shingles, values_of, word_hashes, words_of
 
 WORDS, THRESHOLD, HASHES, SEED = 5, 0.8, 64, 9
 #: Bounds of one broadcast index.
@@ -108,7 +108,7 @@ class _Searcher:
     def __init__(self, indexes: list[_Index], threshold: float):
         self.indexes, self.threshold = indexes, threshold
 
-    def search(self, texts: list[str | None]) -> Iterator[tuple[int, object, int, int]]:
+    def search(self, texts: Iterable[str | None]) -> Iterator[tuple[int, object, int, int]]:
         """(text number, item id, shingles found, shingles of the item), in order of the texts."""
         base = 0
         for part in portions(texts, lambda t: len(t or "") + 64, 1_000_000):
@@ -189,7 +189,7 @@ def contaminated(
         def find(batches, held=held):
             searcher = _Searcher(held.value, threshold)
             for batch in batches:
-                hits = list(searcher.search(batch.column(1).to_pylist()))
+                hits = list(searcher.search(values_of(batch.column(1))))
                 ids = batch.column(0).take(pa.array([h[0] for h in hits], pa.int64()))
                 rest = [pa.array([h[n] for h in hits]) for n in (1, 2, 3)]
                 if hits:
@@ -215,7 +215,7 @@ def drop_contaminated(
             searcher = _Searcher(held.value, threshold)
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
-                texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
+                texts = values_of(batch.column(batch.schema.get_field_index(text_col)))
                 keep[[h[0] for h in searcher.search(texts)]] = False
                 yield batch.filter(pa.array(keep))
 

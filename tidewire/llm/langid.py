@@ -27,7 +27,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewire.llm._words import portions
+from tidewire.llm._common import fresh
+from tidewire.llm._words import portions, values_of
 
 BUCKETS, ORDERS = 4096, (1, 2, 3)
 #: Bounds of the fitting sample.
@@ -90,10 +91,6 @@ class Model:
     bias: np.ndarray
     temperature: float = 1.0
 
-    def features(self, counts: np.ndarray) -> np.ndarray:
-        x = frequencies(counts) * self.idf
-        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-
     def logits(self, counts: np.ndarray) -> np.ndarray:
         """Those of the features, without making them: idf and length are brought into the weights."""
         tf = frequencies(counts)
@@ -113,12 +110,37 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def fit_ftrl(x: np.ndarray, y: np.ndarray, n_classes: int, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and bias by follow-the-regularised-leader; the bias has no penalty."""
-    x1 = np.hstack([x, np.ones((len(x), 1), np.float32)])
-    z = np.zeros((x1.shape[1], n_classes))
+class Rows:
+    """Sparse feature rows of length one: those of the fitting sample."""
+
+    def __init__(self, offsets: np.ndarray, buckets: np.ndarray, values: np.ndarray):
+        self.offsets, self.buckets, self.values = offsets, buckets, values
+
+    @classmethod
+    def of(cls, offsets: np.ndarray, buckets: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> Rows:
+        values = frequencies(counts) * idf[buckets]
+        row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+        norms = np.sqrt(np.bincount(row, values.astype(np.float64) ** 2, minlength=len(offsets) - 1))
+        return cls(offsets, buckets, values / np.maximum(norms, 1e-12)[row].astype(np.float32))
+
+    def __len__(self) -> int:
+        return len(self.offsets) - 1
+
+    def dense(self, rows: np.ndarray) -> np.ndarray:
+        """The given rows with a last column of ones; only ever a batch."""
+        out = np.zeros((len(rows), BUCKETS + 1), np.float32)
+        out[:, -1] = 1
+        for i, r in enumerate(rows.tolist()):
+            at = slice(self.offsets[r], self.offsets[r + 1])
+            out[i, self.buckets[at]] = self.values[at]
+        return out
+
+
+def fit_ftrl(x: Rows, y: np.ndarray, n_classes: int, seen: np.ndarray, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and bias by follow-the-regularised-leader over the ``seen`` rows; the bias has no penalty."""
+    z = np.zeros((BUCKETS + 1, n_classes))
     n = np.zeros_like(z)
-    l1 = np.full((x1.shape[1], 1), L1)
+    l1 = np.full((BUCKETS + 1, 1), L1)
     l1[-1] = 0
 
     def weights():
@@ -126,13 +148,14 @@ def fit_ftrl(x: np.ndarray, y: np.ndarray, n_classes: int, seed: int = 3) -> tup
 
     rng = np.random.default_rng(seed)
     for _ in range(EPOCHS):
-        order = rng.permutation(len(x1))
+        order = rng.permutation(seen)
         for first in range(0, len(order), BATCH):
             rows = order[first : first + BATCH]
+            batch = x.dense(rows)
             w = weights()
-            p = _softmax(x1[rows] @ w)
+            p = _softmax(batch @ w)
             p[np.arange(len(rows)), y[rows]] -= 1
-            g = x1[rows].T @ p
+            g = batch.T @ p
             sigma = (np.sqrt(n + g * g) - np.sqrt(n)) / ALPHA
             z += g - sigma * w
             n += g * g
@@ -159,7 +182,7 @@ def fit_temperature(logits: np.ndarray, y: np.ndarray) -> float:
 def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     df = np.zeros(BUCKETS, np.int64)
     for batch in batches:
-        for part in portions(batch.column(0).to_pylist(), _weight, 1_000_000):
+        for part in portions(values_of(batch.column(0)), _weight, 1_000_000):
             df += (gram_counts(part) > 0).sum(axis=0)
     yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS)), pa.array(df)], ["bucket", "df"])
 
@@ -172,7 +195,7 @@ def _sparse_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         langs, places = batch.column(0), batch.column(1)
         first = 0
-        for part in portions(batch.column(2).to_pylist(), _weight, 1_000_000):
+        for part in portions(values_of(batch.column(2)), _weight, 1_000_000):
             counts = gram_counts(part)
             rows, buckets = np.nonzero(counts)
             offsets = np.searchsorted(rows, np.arange(len(part) + 1)).astype(np.int32)
@@ -218,18 +241,20 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         df[r["bucket"]] = r["df"]
     n = sum(r["count"] for r in totals)
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
-    model = Model(langs, idf, np.zeros((BUCKETS, len(langs)), np.float32), np.zeros(len(langs), np.float32))
-
-    x = np.zeros((sample.num_rows, BUCKETS), np.int32)
-    for i, (b, c) in enumerate(zip(sample["buckets"], sample["counts"], strict=True)):
-        x[i, b.values.to_numpy()] = c.values.to_numpy()
-    x = model.features(x)
+    lists = [sample[c].combine_chunks() for c in ("buckets", "counts")]
+    if isinstance(lists[0], pa.ChunkedArray):
+        lists = [pa.concat_arrays(c.chunks) for c in lists]
+    offsets = np.concatenate([[0], np.cumsum(lists[0].value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+    buckets, counts = (c.flatten().to_numpy() for c in lists)
     place = {lang: i for i, lang in enumerate(langs)}
     y = np.array([place[v] for v in sample["lang"].to_pylist()], int)
-    unseen = np.arange(len(y)) % 5 == 4
-    model.weights, model.bias = fit_ftrl(x[~unseen], y[~unseen], len(langs))
-    model.temperature = fit_temperature(x[unseen] @ model.weights + model.bias, y[unseen])
-    return model
+    del sample, lists
+    x = Rows.of(offsets, buckets, counts, idf)
+    every = np.arange(len(y))
+    seen, unseen = every[every % 5 != 4], every[every % 5 == 4]
+    weights, bias = fit_ftrl(x, y, len(langs), seen)
+    logits = [x.dense(part)[:, :-1] @ weights + bias for part in np.array_split(unseen, len(unseen) // 500 + 1)]
+    return Model(langs, idf, weights, bias, fit_temperature(np.concatenate(logits), y[unseen]))
 
 
 def with_language(
@@ -242,7 +267,7 @@ def with_language(
     """
     if model is None:
         return docs.withColumn(lang_name, F.lit(UNDETERMINED)).withColumn(score_name, F.lit(0.0))
-    lettered = "__lettered"
+    lettered = fresh(docs, "__lettered")
     schema = T.StructType(
         [*docs.schema.fields, T.StructField(lang_name, T.StringType()), T.StructField(score_name, T.DoubleType())]
     )
@@ -252,7 +277,7 @@ def with_language(
         model = held.value
         names = np.array(model.langs, object)
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
+            texts = values_of(batch.column(batch.schema.get_field_index(text_col)))
             known = batch.column(batch.num_columns - 1).to_pylist()
             first = 0
             for part in portions(texts, _weight, 1_000_000):
