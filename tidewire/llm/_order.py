@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The ids' range is cut into so many equal cells; a shard is one or more of them.
-CELLS = 4096
+CELLS = 16_384
 
 
 def store_of(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -48,12 +48,17 @@ def shards(light: DataFrame, shard_bytes: int, overhead: int = 0) -> tuple[Colum
             split[c] = True
             shard, held = shard + 16, 0
     part = F.conv(F.substring("sha", 1, 1), 16, 10).cast("int")
-    of_cell = F.array(*map(F.lit, first))[cell]
+    of_cell = _constant(first)[cell]
     if any(split):
-        of_cell += F.when(F.array(*map(F.lit, split))[cell], part).otherwise(0)
+        of_cell += F.when(_constant(split)[cell] == 1, part).otherwise(0)
     return of_cell, shard + 1
 
 
+def _constant(values: list) -> Column:
+    """An array of integers that the optimizer folds into one literal."""
+    return F.split(F.lit(",".join(str(int(v)) for v in values)), ",").cast("array<int>")
+
+
 class RollingFiles:
     """The files of one shard, numbered from 0.
 

@@ -10,8 +10,8 @@ that the probability of the predicted language can be read as such.
 
 Only the text is an input.  Learning uses documents with a label whose
 ``crc32(id) mod 5`` is not 0.  The weights are fitted on at most ``SAMPLE`` of
-them: of each of the ``MAX_LANGS`` most frequent labels an equal share, those of
-the smallest hash of the id.  What is gathered on the driver is bounded by this
+them: of each of the ``MAX_LANGS`` most frequent labels about an equal share, those
+whose hash of the id is smallest.  What is gathered on the driver is bounded by this
 sample and the number of buckets.  Prediction reads whole texts where they lie;
 no text is shuffled.
 """
@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -217,16 +217,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         return None
     langs = sorted(r["lang"] for r in totals)
     share = max(SAMPLE // len(langs), 1)
-    order = Window.partitionBy("lang").orderBy("h")
-    cuts = (
-        rows.where(F.col("lang").isin(langs))
-        .select("lang", "h", F.row_number().over(order).alias("place"))
-        .where(F.col("place") <= share)
-        .groupBy("lang")
-        .agg(F.max("h").alias("cut"))
-        .collect()
-    )
-    cut = F.create_map(*(F.lit(x) for r in cuts for x in (r["lang"], r["cut"])))
+    # hashes are uniform, so this part of their range holds about a label's share of rows
+    parts = {r["lang"]: min(share / r["count"], 1.0) for r in totals}
+    cuts = {lang: min(int(part * 2**64) - 2**63, 2**63 - 1) for lang, part in parts.items()}
+    cut = F.create_map(*(F.lit(x) for kv in cuts.items() for x in kv))
     sample = (
         rows.where(F.col("h") <= cut[F.col("lang")])
         .mapInArrow(_sparse_counts, "lang string, h bigint, buckets array<int>, counts array<int>")

@@ -25,7 +25,9 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +43,7 @@ MAGIC = b"TWWM0001"
 BLOCK = 512
 SHARD_BYTES, ROLL_TOKENS = 8 << 20, 8 << 20
 #: So many pre-tokens are remembered in each task.
-REMEMBERED = 700_000
+REMEMBERED = 1_200_000
 _MANIFEST = "shard int, seq int, file string, bytes bigint, sha256 string, n_docs bigint, n_tokens bigint"
 
 
@@ -226,13 +228,16 @@ class Encoder:
         known = self.known
         if len(known) >= REMEMBERED:
             known.clear()
-        new = [t for t in set().union(*(c for c in cut if c)) if t not in known]
+        here = dict.fromkeys(chain.from_iterable(c for c in cut if c))  # small, so it stays in the processor's cache
+        new = [t for t in here if t not in known]
         for t, ids in zip(new, self._library(new), strict=True):
-            known[t] = np.array(ids, "<u4").tobytes()
+            known[t] = array("I", ids).tobytes()
+        for t in here:
+            here[t] = known[t]
         rest = iter(self._library(whole))
-        get = known.__getitem__
+        get = here.__getitem__
         return [
-            np.array(next(rest), np.uint32) if c is None else np.frombuffer(b"".join(map(get, c)), "<u4") for c in cut
+            np.array(next(rest), np.uint32) if c is None else np.frombuffer(b"".join(map(get, c)), np.uint32) for c in cut
         ]
 
     def _library(self, texts: list[str]) -> list[list[int]]:
