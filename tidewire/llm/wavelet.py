@@ -27,7 +27,6 @@ import uuid
 import zlib
 from array import array
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -228,14 +227,11 @@ class Encoder:
         known = self.known
         if len(known) >= REMEMBERED:
             known.clear()
-        here = dict.fromkeys(chain.from_iterable(c for c in cut if c))  # small, so it stays in the processor's cache
-        new = [t for t in here if t not in known]
+        new = [t for t in set().union(*(c for c in cut if c)) if t not in known]
         for t, ids in zip(new, self._library(new), strict=True):
             known[t] = array("I", ids).tobytes()
-        for t in here:
-            here[t] = known[t]
         rest = iter(self._library(whole))
-        get = here.__getitem__
+        get = known.__getitem__
         return [
             np.array(next(rest), np.uint32) if c is None else np.frombuffer(b"".join(map(get, c)), np.uint32) for c in cut
         ]
@@ -300,7 +296,7 @@ def write_tokens(
 
         for batch in batches:
             rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
-            for part in portions(rows, lambda r: len(r[2]) + 64, 1_000_000):
+            for part in portions(rows, lambda r: len(r[2]) + 64, 3_000_000):
                 for (s, doc_id, _), x in zip(part, encoder.encode([r[2] for r in part]), strict=True):
                     x = np.concatenate([x, end])
                     if doc_ids and (s != files.shard or total + len(x) > roll_tokens):
