@@ -26,6 +26,27 @@ def test_hidden_and_odd_markup():
     assert text(None) == text("") == text("<p></p>") == ""
 
 
+def test_loose_matches_drop_nothing():
+    story = """<h2>How the mill was saved</h2><p>The old mill by the river had stood empty for thirty years when a few families of the village bought it
+        together, and they have rebuilt its wheel with their own hands since then.</p><p>It turns again.</p><p>On Sundays they grind flour for all who come,
+        and the children of the village school learn there how bread was made before there were shops, ovens and trucks to bring it.</p>"""
+    want = text(f"<article>{story}</article>")
+    assert want.startswith("How the mill was saved\n") and want.endswith("bring it.")
+    for attribute in ('style="overflow:hidden"', 'class="overflow-hidden"', "data-hidden=1", 'class="content has-sidebar"', 'title="hidden"', 'class="post tags"'):
+        assert text(f"<body><div {attribute}><article>{story}</article></div></body>") == want, attribute
+        assert text(f"<body><div {attribute}>{story}</div></body>") == want, attribute
+    assert text(f"<body><div class='layout-with-sidebar'>{story}<div class='cookie-notice'>We use cookies here.</div></div>") == want
+    other = "<p>" + "Words of the menu that go on and on. " * 9 + "</p>"
+    for foreign in (f"<nav>{other}</nav>", f"<footer>{other}</footer>", f"<div hidden>{other}</div>", f"<div class=comments>{other}</div>",
+                    "<div class='ad'><p>Buy two now and get a third one for free.</p></div>"):
+        assert text(f"<body><div>{story}</div>{foreign}</body>") == want, foreign
+        assert text(f"<body><main>{story}{foreign}</main></body>") == want, foreign
+    for tag in ("button", "svg", "noscript", "select"):
+        assert text(f"<body><article><{tag}>{story}</article>") == want, tag
+    assert text(f"<body><article><button>{story}<button>Send</button></article>") == want
+    assert text("<article><p style='visibility:hidden'>no</p><p style='color:red; display:none'>no</p><p>yes</p></article>") == "yes"
+
+
 def test_words_are_never_dropped_within_an_article():
     words = [f"w{i}" for i in range(20_000)]
     assert text("<main><p>" + " ".join(words) + "</p></main>") == " ".join(words)

@@ -23,9 +23,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Element names and the words by which sites name their containers.
-_SKIPPED = (
-    "script|style|title|noscript|template|svg|math|iframe|object|textarea|select|button|datalist|canvas|audio|video"
-)
+#: Their text ends only with their end tag, or with the page.
+_RAW = "script|style|title|textarea"
+#: Skipped up to the end tag; without one only the tag itself is.
+_SKIPPED = frozenset("noscript template svg math iframe object select button datalist canvas audio video".split())
+_NESTING = frozenset("template svg math object canvas audio video".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr picture q rp rt ruby"
     " s samp small source span strike strong sub sup time tt u var wbr".split()
@@ -41,19 +43,25 @@ _FOREIGN_WORDS = frozenset(
     " notice notification alert newsletter subscribe subscription signup login popup modal overlay share sharing social"
     " widget widgets tags toc copyright legal disclaimer skip search".split()
 )
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?false)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+#: Words that say nothing of their own in a class like comment-list.
+_FILLERS = frozenset("area bar block body box buttons container form group inner item items left links list outer posts right section site"
+    " text top bottom wrap wrapper".split())
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
+_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
 _WORD = re.compile(r"[a-z]+")
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<skipped>{_SKIPPED})\b[^>]*(?<!/)>.*?(?:</(?P=skipped)\s*>|\Z)"
+    rf"|<(?P<raw>{_RAW})\b[^>]*(?<!/)>.*?(?:</(?P=raw)\s*>|\Z)"
     r"""|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>[^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*)>"""
     r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.I | re.S,
 )
 
+_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in _SKIPPED}
+_START = {tag: re.compile(rf"<{tag}\b", re.I) for tag in _SKIPPED}
+
 
 @dataclass
 class Block:
@@ -63,20 +71,40 @@ class Block:
     foreign: bool
     in_main: bool
     heading: bool
+    named: int  #: the container that calls itself a menu, an advert, ... or 0
 
 
-def _kind(tag: str, rest: str) -> tuple[bool, bool]:
-    """(foreign wherever it stands, foreign unless an article is inside)."""
-    strong = tag in _FOREIGN_TAGS
-    weak = tag == "header"
+def _kind(tag: str, rest: str) -> tuple[bool, bool, bool]:
+    """(foreign wherever it stands, foreign unless an article is inside, called so by its class, id or role)."""
+    strong, named = tag in _FOREIGN_TAGS, False
     if rest and tag not in ("html", "body"):
-        if _HIDDEN.search(rest):
-            return True, True
-        for m in _NAMES.finditer(rest):
-            words = set(_WORD.findall((m[1] or m[2] or m[3] or "").lower()))
-            strong = strong or not words.isdisjoint(_COMMENT_WORDS)
-            weak = weak or not words.isdisjoint(_FOREIGN_WORDS)
-    return strong, weak
+        for m in _ATTRIBUTE.finditer(rest):
+            name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+            if name == "hidden" and value.lower() != "false" or name == "style" and _UNSEEN.search(value):
+                return True, True, False
+            if name in ("class", "id", "role"):
+                for token in value.lower().split():
+                    words = set(_WORD.findall(token)) - _FILLERS
+                    # a token that has other words too (has-sidebar) says nothing of this container
+                    if words and words <= _COMMENT_WORDS | _FOREIGN_WORDS:
+                        strong = strong or not words.isdisjoint(_COMMENT_WORDS)
+                        named = True
+    return strong, tag == "header", named
+
+
+def _skipped_to(html: str, tag: str, at: int, missing: set[str]) -> int:
+    """Where the element ends whose start tag ends at ``at``, or ``at`` if its end tag is missing."""
+    if tag in missing:
+        return at
+    end = _END[tag].search(html, at)
+    if end is None:
+        missing.add(tag)
+        return at
+    if tag not in _NESTING:
+        again = _START[tag].search(html, at, end.start())
+        if again is not None:
+            return at
+    return end.end()
 
 
 def blocks_of(html: str | None) -> list[Block]:
@@ -84,8 +112,10 @@ def blocks_of(html: str | None) -> list[Block]:
     out: list[Block] = []
     if not html:
         return out
-    # open containers: (tag, foreign, foreign even for an article in it, in an article, heading)
-    stack: list[tuple[str, bool, bool, bool, bool]] = [("", False, False, False, False)]
+    # open containers: (tag, foreign, foreign even for an article in it, in an article, heading, number of the named container)
+    stack: list[tuple[str, bool, bool, bool, bool, int]] = [("", False, False, False, False, 0)]
+    n_named = 0
+    missing: set[str] = set()
     pieces: list[str] = []
     linked: list[str] = []
     in_link = 0
@@ -101,14 +131,14 @@ def blocks_of(html: str | None) -> list[Block]:
         if pieces:
             words = "".join(pieces).split()
             if words:
-                _, foreign, _, main, heading = stack[-1]
+                _, foreign, _, main, heading, named = stack[-1]
                 n_linked = min(len(words), sum(len(x.split()) for x in linked))
-                out.append(Block(" ".join(words), len(words), n_linked, foreign, main, heading))
+                out.append(Block(" ".join(words), len(words), n_linked, foreign, main, heading, named))
             pieces.clear()
             linked.clear()
 
     at = 0
-    for m in _TOKEN.finditer(html):
+    while m := _TOKEN.search(html, at):
         say(html[at : m.start()])
         at = m.end()
         tag = m["tag"] or m["tag2"]
@@ -116,6 +146,10 @@ def blocks_of(html: str | None) -> list[Block]:
             continue
         tag = tag.lower()
         ending = m["close"] or m["close2"]
+        if tag in _SKIPPED:
+            if not ending and not (m["rest"] or m["rest2"] or "").endswith("/"):
+                at = _skipped_to(html, tag, at, missing)
+            continue
         if tag == "a":
             in_link = 0 if ending else 1
         elif tag == "br":
@@ -134,27 +168,38 @@ def blocks_of(html: str | None) -> list[Block]:
             continue
         if tag in ("p", *_HEADINGS, "li", "dt", "dd", "tr", "td", "th", "option") and stack[-1][0] in ("p", *_HEADINGS, tag):
             stack.pop()  # these end by themselves
-        strong, weak = _kind(tag, rest)
-        _, foreign, surely, main, heading = stack[-1]
+        strong, weak, called = _kind(tag, rest)
+        _, foreign, surely, main, heading, named = stack[-1]
+        n_named += called
         if tag in _MAIN_TAGS:
             # outside an article, only comments and the like say something of the article
-            stack.append((tag, surely or strong or weak, surely or strong, True, heading))
+            stack.append((tag, surely or strong or weak, surely or strong, True, heading, n_named if called else 0))
         else:
             weak = weak and not (tag == "header" and main)
             foreign = foreign or strong or weak
-            stack.append((tag, foreign, surely or strong, main, heading or tag in _HEADINGS))
+            named = named or (n_named if called else 0)
+            stack.append((tag, foreign, surely or strong, main, heading or tag in _HEADINGS, named))
     say(html[at:])
     close()
     return out
 
 
+#: Words of the named container of blocks that are in none: more than any has.
+_UNNAMED = 1e9
+
+
 def features(blocks: list[Block]) -> np.ndarray:
-    """A row per block: words, link density, those of the block before and after, containers, heading."""
+    """A row per block: words, link density, those of the block before and after, containers, heading, words and link density of a named container."""
     own = np.array([[b.words, b.link_words / b.words] for b in blocks], float).reshape(-1, 2)
     none = np.zeros((1, 2))
     says = np.array([[b.foreign, b.in_main, b.heading] for b in blocks], float).reshape(-1, 3)
     before, after = np.vstack([none, own])[:-1], np.vstack([own, none])[1:]
-    return np.hstack([own, before, after, says])
+    named = np.array([b.named for b in blocks], int)
+    words = np.bincount(named, [b.words for b in blocks])[named] if blocks else np.zeros(0)
+    linked = np.bincount(named, [b.link_words for b in blocks])[named] if blocks else np.zeros(0)
+    inside = named > 0
+    held = np.column_stack([np.where(inside, words, _UNNAMED), np.where(inside, linked / np.maximum(words, 1), 0)])
+    return np.hstack([own, before, after, says, held])
 
 
 #: Labelled pages: blocks in [[ ]] are main text.
@@ -189,6 +234,23 @@ _LABELLED = (
     the week, so that the match was called off and the lawns were closed.]]</p><p>[[More.]]</p></article>
     <div class=comments><article><p>Here it was dry all week, I don't know where you live.</p></article></div></main>
     <nav><a href=/p>Previous story</a><a href=/q>Next story about something else</a></nav><footer><p>Contact</p></footer></body>""",
+    """<body><div class="post tags"><h2>[[A shed from old doors]]</h2><p>[[My neighbour threw out eleven doors when the school was rebuilt, and I have made
+    a shed of them that has stood through two winters without a leak.]]</p><p>[[Measure first.]]</p><p>[[Set four posts a metre deep, and then hang the doors
+    between them, so that each wall can <a href=/t>be opened</a> on a hot day.]]</p></div>
+    <div class="widget sidebar"><p>Doors and windows of the month, chosen by our readers out of all that were sent in</p>
+    <p><a href=/1>How to choose a hinge that does not squeak in the cold months of the year</a></p><p><a href=/2>Paint for wood that has been outside for
+    more than a winter or two already</a></p><p><a href=/3>The tools that we would buy again and those that we would not</a></p><p>Archive</p></div>
+    <div class="cookie-banner"><p>We and our partners store small files on your device to show you offers; you can refuse them at any time.</p><p>Accept</p></div></body>""",
+    """<body><main><div class="post tags"><h1>[[Night train]]</h1><p>[[The train left the border station at two in the morning with nine people in a sleeping car that had been
+    built for sixty, and none of us slept, because the guard told stories of the line until it was light.]]</p><p>[[He was born on it.]]</p><p>[[By noon the hills had
+    gone, the fields were flat, and the nine of us had shared all the bread and most of the cheese that we had brought.]]</p></div>
+    <div class="promo"><p>Our book of forty journeys by rail is out now in all good shops.</p></div></main>
+    <aside><p>The writer has lived in five countries and has written for this magazine since the year in which it was founded, mostly on trains, ships, and the
+    people who work on them, but now and then also on food.</p></aside>
+    <section id=comments><p>I took the same train with my father when I was a child, and I remember that guard or one who was very much like him, he had a dog in his
+    cabin and gave us all tea in tin cups.</p></section><div hidden><p>This browser is too old to show the map of the line, please use a newer one or turn on the scripts of this
+    site in the settings of your browser and load the page again.</p></div><footer><p>Published by the travel press, all rights in texts and pictures reserved; no part may be
+    copied, stored or sent on in any form without the written leave of the publisher, whose address is below.</p></footer></body>""",
 )
 
 
@@ -225,7 +287,11 @@ def decision_tree(max_depth: int = 6) -> tuple:
         low = x[:, j] <= limit
         return (j, float(limit), grow(x[low], y[low], depth - 1), grow(x[~low], y[~low], depth - 1))
 
-    return grow(*labelled_table(), max_depth)
+    # what is foreign for certain stays so; blocks in a named container and all others have a tree each
+    x, y = labelled_table()
+    sure, named = x[:, 6] > 0.5, x[:, 9] < _UNNAMED
+    trees = [grow(x[rows], y[rows], max_depth - 2) for rows in (named & ~sure, ~named & ~sure)]
+    return (6, 0.5, (9, _UNNAMED / 2, *trees), False)
 
 
 def is_main(row: list[float], tree) -> bool:
