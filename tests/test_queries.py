@@ -41,3 +41,11 @@ def test_equals_sql(spark, duck, name):
 def test_entry_has_rows(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_whole_texts_are_read(spark, tmp_path):
+    texts = {3: "word " * 40 + "Ann signs today", 7: "word " * 40 + "Ann sings today"}
+    rows = [(i, x, "en") for i, x in texts.items()]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert [r.doc_id for r in QUERIES["recruit_headline_whole"](spark, str(tmp_path)).collect()] == [3]
+    assert {r.doc_id: r.title for r in QUERIES["feed_items_whole"](spark, str(tmp_path)).collect()} == texts

@@ -217,6 +217,18 @@ def recruit_headline_filter(t: Tables) -> DataFrame:
     return t.documents.where(recruit_headline(F.expr(_RECRUIT_TEXT))).select("doc_id")
 
 
+_RECRUIT_WHOLE = _RECRUIT_TEXT.replace("substring(text, 1, 80)", "text")
+
+
+@query(
+    f"""SELECT doc_id FROM documents WHERE regexp_matches({_RECRUIT_WHOLE},
+    '(?i)\\b(?:signs?|signing|signees?|recruiting class|adds\\b.{{0,80}}\\bto roster|welcomes\\b.{{0,80}}\\bclass)\\b')"""
+)
+def recruit_headline_whole(t: Tables) -> DataFrame:
+    """As ``recruit_headline_filter``, over whole texts."""
+    return t.documents.where(recruit_headline(F.expr(_RECRUIT_WHOLE))).select("doc_id")
+
+
 @query(
     """SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'committed' WHEN '2-HIGH' THEN 'signed'
         WHEN '3-MEDIUM' THEN 'enrolled' WHEN '5-LOW' THEN 'unknown' END AS status FROM orders"""
