@@ -19,9 +19,15 @@ LANGUAGE_SCORE = 0.5
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter and those of no certain language; the label is not compared."""
+    """Drops documents without a letter and those of no certain language; the label is not compared.
+
+    If no document has a label, no language can be learned, and all with a letter stay.
+    """
     lang, score = fresh(docs, "__lang"), fresh(docs, "__score")
-    found = langid.with_language(docs, langid.fit(docs), "text", lang, score)
+    model = langid.fit(docs)
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = langid.with_language(docs, model, "text", lang, score)
     keep = (F.col(lang) != langid.UNDETERMINED) & (F.col(score) >= LANGUAGE_SCORE)
     return found.where(keep).select(*docs.columns)
 

@@ -64,3 +64,9 @@ def test_nothing_to_learn_from(spark, odd_documents, no_documents):
     assert {r.lang_pred for r in langid.identify(nobody).collect()} == {"und"}
     kept = langid.with_language(odd_documents, langid.fit(odd_documents), "text", "l", "p")
     assert kept.columns == [*odd_documents.columns, "l", "p"] and kept.count() == 9
+
+
+def test_every_label_is_learned(spark):
+    rows = [(i, f"{chr(0x4E00 + i % 230)} word{i % 230}x", f"l{i % 230:03}") for i in range(2300)] + [(i, "lone words", "only") for i in (5001, 5002, 5003)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert model.langs == sorted({r[2] for r in rows})

@@ -59,3 +59,9 @@ def test_stages_keep_columns_and_stand_odd_rows(spark, odd_documents, no_documen
                 assert out.columns == docs.columns
                 docs = out
         assert out.count() == docs.count()
+
+
+def test_documents_with_a_letter_stay_without_labels(spark, odd_documents):
+    nobody = odd_documents.selectExpr("doc_id", "text", "cast(null as string) lang", "score")
+    kept = corpus_pipeline.known_language(spark, nobody, "")
+    assert kept.columns == nobody.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 3, 3, 5, 6, 7]

@@ -10,7 +10,7 @@ that the probability of the predicted language can be read as such.
 
 Only the text is an input.  Learning uses documents with a label whose
 ``crc32(id) mod 5`` is not 0.  The weights are fitted on at most ``SAMPLE`` of
-them: of each of the ``MAX_LANGS`` most frequent labels about an equal share, those
+them: of each label about an equal share, those
 whose hash of the id is smallest.  What is gathered on the driver is bounded by this
 sample and the number of buckets.  Prediction reads whole texts where they lie;
 no text is shuffled.
@@ -31,8 +31,8 @@ from tidewire.llm._common import fresh
 from tidewire.llm._words import portions, values_of
 
 BUCKETS, ORDERS = 4096, (1, 2, 3)
-#: Bounds of the fitting sample.
-SAMPLE, MAX_LANGS = 6000, 200
+#: Bound of the fitting sample, unless there are more labels: each has a document in it.
+SAMPLE = 6000
 EPOCHS, BATCH, ALPHA, BETA, L1, L2 = 4, 16, 0.3, 1.0, 0.5, 0.01
 #: Bounds of the temperature, for samples that the weights separate fully.
 COLDEST, HOTTEST = 0.25, 16.0
@@ -212,20 +212,23 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col).cast("string"), F.lit("fit")).alias("h"),
         F.col(text_col).alias("text"),
     )
-    totals = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    totals = rows.groupBy("lang").agg(F.count("*").alias("count"), F.min("h").alias("first")).orderBy("lang").collect()
     if not totals:
         return None
     langs = sorted(r["lang"] for r in totals)
     share = max(SAMPLE // len(langs), 1)
     # hashes are uniform, so this part of their range holds about a label's share of rows
     parts = {r["lang"]: min(share / r["count"], 1.0) for r in totals}
-    cuts = {lang: min(int(part * 2**64) - 2**63, 2**63 - 1) for lang, part in parts.items()}
-    cut = F.create_map(*(F.lit(x) for kv in cuts.items() for x in kv))
+    # and the first of each label is always among them
+    cuts = [(r["lang"], max(min(int(parts[r["lang"]] * 2**64) - 2**63, 2**63 - 1), r["first"]), r["first"]) for r in totals]
+    cut = F.broadcast(docs.sparkSession.createDataFrame(cuts, "lang string, cut bigint, first bigint"))
     sample = (
-        rows.where(F.col("h") <= cut[F.col("lang")])
+        rows.join(cut, "lang").where("h <= cut").select("lang", "h", "text")
         .mapInArrow(_sparse_counts, "lang string, h bigint, buckets array<int>, counts array<int>")
-        .orderBy("h", "lang")
-        .limit(SAMPLE)
+        .join(cut, "lang")
+        .orderBy(F.col("h") > F.col("first"), "h", "lang")
+        .select("lang", "h", "buckets", "counts")
+        .limit(max(SAMPLE, len(langs)))
         .toArrow()
     )
     df = np.zeros(BUCKETS)
@@ -245,7 +248,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     del sample, lists
     x = Rows.of(offsets, buckets, counts, idf)
     every = np.arange(len(y))
-    seen, unseen = every[every % 5 != 4], every[every % 5 == 4]
+    later = np.ones(len(y), bool)
+    later[np.unique(y, return_index=True)[1]] = False  # no label is left to the rows held back
+    back = later & (every % 5 == 4)
+    seen, unseen = every[~back], every[back]
     weights, bias = fit_ftrl(x, y, len(langs), seen)
     logits = [x.dense(part)[:, :-1] @ weights + bias for part in np.array_split(unseen, len(unseen) // 500 + 1)]
     return Model(langs, idf, weights, bias, fit_temperature(np.concatenate(logits), y[unseen]))
