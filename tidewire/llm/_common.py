@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,11 +11,13 @@ from pyspark.sql import functions as F
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``, or a fresh one where it is unset."""
+    """The folder all executors see: ``spark.checkpoint.dir``, or a fresh one where it is unset and all runs in one process."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         root = "file://" + tempfile.mkdtemp(prefix="tidewire-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -31,9 +34,11 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+        self.names: set[str] = set()
 
     def save(self, df: DataFrame, name: str, compression: str = "uncompressed") -> DataFrame:
         schema = df.schema
+        self.names.add(name)
         path = f"{self.path}/{name}"
         df.write.mode("overwrite").option("compression", compression).parquet(path)
         return self.spark.read.schema(schema).parquet(path)
@@ -43,6 +48,12 @@ class Scratch:
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        self.names.discard(name)
+
+    def keep(self, *names: str) -> None:
+        """Delete all tables but these: those that the result, which is read later, is made of."""
+        for name in self.names - set(names):
+            self.drop(name)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,3 +71,14 @@ def fresh(df: DataFrame, base: str) -> str:
     while base.lower() in taken:
         base += "_"
     return base
+
+
+def one_of_each(keyed: DataFrame, docs: DataFrame, id_col: str, text_col: str, sha: str) -> DataFrame:
+    """One row per id and ``sha`` with the columns of ``docs``; of several, the one whose further columns come first as JSON."""
+    key, found = fresh(keyed, "__key"), fresh(keyed, "__found")
+    column = lambda c: F.col(f"`{c}`")
+    others = [column(c) for c in docs.columns if c not in (id_col, text_col)]
+    order = F.to_json(F.struct(*others)) if others else F.lit("")
+    first = F.min_by(F.struct(*map(column, docs.columns)), order)
+    rows = keyed.groupBy(column(id_col).alias(key), sha).agg(first.alias(found))
+    return rows.select(*(F.col(found)[c].alias(c) for c in docs.columns))

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewire.llm._common import Scratch, fresh, text_or_empty
+from tidewire.llm._common import Scratch, fresh, one_of_each, text_or_empty
 
 BLOCK_CHARS = 16_384
 
@@ -140,13 +140,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each text, all its columns unchanged."""
+    """``docs`` with one row of each text, all its columns unchanged.
+
+    Of repeated rows with other values in further columns, the one whose further columns come first as JSON stays.
+    """
     kept = exact_groups(docs, id_col, text_col).where("kept")
     sha, kid, ksha = (fresh(docs, x) for x in ("__sha", "__kid", "__ksha"))
     kept = kept.select(F.col(id_col).alias(kid), F.col("text_sha256").alias(ksha))
     keyed = docs.withColumn(sha, F.sha2(text_or_empty(text_col).cast("binary"), 256))
-    return (
-        keyed.join(kept, keyed[id_col].eqNullSafe(kept[kid]) & (keyed[sha] == kept[ksha]), "left_semi")
-        .dropDuplicates([id_col, sha])
-        .select(*docs.columns)
-    )
+    same = keyed[id_col].eqNullSafe(kept[kid]) & (keyed[sha] == kept[ksha])
+    return one_of_each(keyed.join(kept, same, "left_semi"), docs, id_col, text_col, sha)
