@@ -98,3 +98,31 @@ def optional_number(text: Column, most: float) -> Column:
 def slot_label(at: Column) -> Column:
     """To the minute, in UTC."""
     return F.date_format(at, "yyyy-MM-dd'T'HH:mm'Z'")
+
+
+def iso_date(text: Column) -> Column:
+    """A date as text in its one form, or null; without a zone it is taken as UTC (T5)."""
+    return iso(F.coalesce(parsed_instant(text), text.try_cast("timestamp")))
+
+
+def conference_day(text: Column) -> Column:
+    """A conference's day: M/D/20YY and nothing else."""
+    return F.when(text.rlike(r"^\d{1,2}/\d{1,2}/20\d{2}$"), F.try_to_timestamp(text, F.lit("M/d/yyyy")))
+
+
+def static_day(datetime: Column, toggle: Column, label: Column) -> Column:
+    """The day of a static game card: of its time element, else the full date of its toggle or label."""
+    day = F.try_to_timestamp(F.regexp_extract(datetime, r"^(\d{4}-\d{2}-\d{2})(?:[T ]|$)", 1), F.lit("yyyy-MM-dd"))
+    written = F.coalesce(
+        F.nullif(F.regexp_extract(toggle, r"-\s*([A-Za-z]+ \d{1,2},? \d{4})\s*$", 1), F.lit("")),
+        F.nullif(F.regexp_extract(label, r"\bon ([A-Za-z]+ \d{1,2},? \d{4})\b", 1), F.lit("")),
+    )
+    named = F.regexp_replace(written, ",", "")
+    full = F.when(named.rlike("^[A-Z][a-z]{2} "), F.try_to_timestamp(named, F.lit("MMM d yyyy"))).otherwise(F.try_to_timestamp(named, F.lit("MMMM d yyyy")))
+    return F.when(F.coalesce(datetime, F.lit("")) != "", day).otherwise(full)
+
+
+def season_of(title: Column, kind: str) -> Column:
+    """The season in a heading that is about the kind of page, or null."""
+    told = F.nullif(F.regexp_extract(title, r"\b(20\d\d(?:[-–](?:20)?\d\d)?)\b", 1), F.lit(""))
+    return F.when(F.contains(F.lower(title), F.lit(kind)), told)

@@ -49,7 +49,7 @@ PLAIN_NAMES = {
     "acrobatics and tumbling": ("acrobatics", "acrobatics tumbling"),
 }
 
-#: Rewrites of a lower-case label, in order.
+# Rewrites of a lower-case label, in order (T17), of its base and its family.
 LABEL_STEPS = (
     (r"^cross[- ]country-women$", "womens cross country"),
     (r"^(.*?)\s*\(w\)\s*$", "womens $1"),

@@ -68,8 +68,11 @@ def _folded(form: str):
 
 
 def fold(value: Column, form: str = "NFKD") -> Column:
-    """Compatibility decomposition without combining marks.  An Arrow UDF: the JVM side has no normaliser."""
-    return _folded(form)(value)
+    """Compatibility decomposition without combining marks.  An Arrow UDF: the JVM side has no normaliser.
+
+    Plain ASCII stays as it is and is not sent to Python.
+    """
+    return F.coalesce(_folded(form)(F.when(value.rlike(r"[^\x00-\x7f]"), value)), value)
 
 
 def slugify_ascii(value: Column) -> Column:
@@ -127,3 +130,30 @@ def plain(html: Column, longest: int = 300) -> Column:
     for name, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         text = F.replace(text, F.lit(name), F.lit(char))
     return clean_text(text, longest)
+
+
+def digest(value: Column) -> Column:
+    """SHA-256 in hex of a text's bytes."""
+    return F.sha2(value.cast("binary"), 256)
+
+
+def commit_id(value: Column) -> Column:
+    """40 lower-case hex digits, or null."""
+    return F.when(value.rlike("^[a-f0-9]{40}$"), value)
+
+
+def exact_keys(document: Column, keys: list[str]) -> Column:
+    """Whether a JSON object has exactly these keys."""
+    return F.coalesce(F.array_sort(F.json_object_keys(document)) == F.array(*map(F.lit, sorted(keys))), F.lit(False))
+
+
+def public_json(document: Column) -> Column:
+    """struct (value, error): a text that parses as JSON; the code withholds the contents."""
+    value = F.try_parse_json(document)
+    bad = document.isNull() | value.isNull()
+    return F.struct(F.when(~bad, document).alias("value"), F.when(bad, "malformed-public-json").alias("error"))
+
+
+def decoded_utf8(body: Column) -> Column:
+    """Bytes as text if they are valid UTF-8, else null."""
+    return F.try_validate_utf8(body.cast("string"))

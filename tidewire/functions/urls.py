@@ -99,3 +99,49 @@ def in_scope(url: Column, host: Column, prefix: Column) -> Column:
     path = F.regexp_replace(F.regexp_replace(url, r"^https://[^/?#]*", ""), r"[?#].*$", "")
     return (host_of(url) == host) & path.startswith(prefix)
 
+
+
+def in_article_scope(url: Column, prefix: Column, feed_url: Column) -> Column:
+    """Whether an article is the feed's (P3): below its path, and of its sport where the feed's own address names one.
+
+    Indoor and outdoor track of both genders share their announcements.
+    """
+    path = F.regexp_replace(F.regexp_replace(url, r"^https://[^/?#]*", ""), r"[?#].*$", "")
+    below = prefix.isNull() | path.startswith(prefix)
+    sport = F.nullif(F.regexp_extract(feed_url, r"^https://www\.ncaa\.com/news/([^/]+)/(?:d[123]|nc|fbs|fcs)/rss\.xml$", 1), F.lit(""))
+    route = F.regexp_extract(path, r"^/(?:news|video|live-updates)/([^/]+)/", 1)
+    track = r"^trackfield-(?:indoor|outdoor)-(?:men|women)$"
+    same = F.when(sport.rlike(track), route.rlike(track)).otherwise(route == sport)
+    return F.coalesce(below & (sport.isNull() | same), F.lit(False))
+
+
+def athletics_url(raw: Column) -> Column:
+    """A directory's athletics address with https and without fragment; null if there is none or it is not a public host."""
+    text = F.trim(F.regexp_replace(raw, r"(?U)\s+", " "))
+    full = F.when(text.rlike(r"(?i)^[a-z][a-z0-9+.-]*:"), text).otherwise(F.concat(F.lit("https://"), text))
+    bare = F.regexp_replace(F.regexp_replace(full, r"(?i)^https?://", "https://"), "#.*$", "")
+    public = full.rlike(r"(?i)^https?://") & ~bare.rlike(r"^https://[^/?#]*[@:]") & ~bare.rlike(_NO_HOST) & bare.rlike(r"^https://[^/?#]*\.[^/?#]")
+    host = F.lower(F.regexp_extract(bare, r"^https://([^/?#]*)", 1))
+    rest = F.regexp_replace(bare, r"^https://[^/?#]*", "")
+    slash = F.when(rest.startswith("/"), F.lit("")).otherwise("/")
+    return F.when((text != "") & public & ~bare.rlike(r"\s"), F.concat(F.lit("https://"), host, slash, rest))
+
+
+def official_hosts(url: Column) -> Column:
+    """The host of a school's site with and without www. (T25); none for an unsafe address."""
+    host = F.regexp_extract(safe_url(url), "^https://([^/?#]*)", 1)
+    other = F.when(host.startswith("www."), F.substring(host, 5, 2048)).otherwise(F.concat(F.lit("www."), host))
+    return F.when(safe_url(url).isNotNull(), F.array(host, other)).otherwise(F.array().cast("array<string>"))
+
+
+def official_link(url: Column, hosts: Column) -> Column:
+    """A link of a site as an address of its own pages, without fragment, or null (F14, R20).  ``url`` is absolute."""
+    host = F.regexp_extract(safe_url(url), "^https://([^/?#]*)", 1)
+    bare = F.regexp_replace(safe_url(url), "#.*$", "")
+    path = F.regexp_replace(bare, r"\?.*$", "")
+    return F.when(F.array_contains(hosts, host) & ~path.rlike(r"(?i)\.(?:pdf|jpg|png|gif|mp4|zip)$"), bare)
+
+
+def source_route(url: Column, slugs: Column, kind: str) -> Column:
+    """Whether an address is the sport's page of a kind (R13): its route one of the slugs, a segment the kind."""
+    return F.coalesce(F.array_contains(slugs, sport_route(url)) & has_segment(url, kind), F.lit(False))

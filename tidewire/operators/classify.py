@@ -5,11 +5,11 @@ All texts are folded first (``fold`` and ``ascii_words``), so they are single-sp
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -38,8 +38,10 @@ RECRUIT_HEADLINE = r"(?i)\b(?:signs?|signing|signees?|recruiting class|adds\b.{0
 class AliasMatcher:
     """Longest names win: a name takes its words out of the text before shorter ones are looked for."""
 
-    def __init__(self, owners: dict[str, Iterable[str]]):
+    def __init__(self, owners: dict[str, Iterable[str]], strong: Iterable[str] | None = None):
         self.owners = {a: sorted(set(o)) for a, o in owners.items() if len(a) >= 3 and a not in AMBIGUOUS}
+        #: Names that count; the others still take their words.
+        self.strong = set(self.owners) if strong is None else set(strong)
         self.machine = ahocorasick.Automaton()
         for alias in self.owners:
             self.machine.add_word(f" {alias} ", alias)
@@ -58,22 +60,31 @@ class AliasMatcher:
         for start, end, alias in found:
             if not any(taken[start:end]):
                 taken[start:end] = b"\1" * (end - start)
-                if len(self.owners[alias]) == 1:
+                if len(self.owners[alias]) == 1 and alias in self.strong:
                     out[self.owners[alias][0]] = None
         return list(out)
 
 
-def schools_mentioned(owners: dict[str, Iterable[str]]):
+#: A dictionary of names is sent to every executor; one of a catalog has a few thousand.
+MAX_NAMES = 200_000
+
+
+def schools_mentioned(owners: dict[str, Iterable[str]], strong: Iterable[str] | None = None):
     """A function of folded text: the slugs of schools it mentions.
 
+    In summaries only ``strong`` names count (whole official names): a town or a surname there is no school.
     An Arrow UDF over an automaton: the fold over remaining text has no JVM-side form
-    that is linear in the text.  The dictionary has an entry per school name.
+    that is linear in the text.  The dictionary, of at most ``MAX_NAMES`` names, is broadcast once.
     """
-    matcher = AliasMatcher(owners)
+    if len(owners) > MAX_NAMES:
+        raise ValueError(f"more than {MAX_NAMES} names")
+    held = SparkSession.active().sparkContext.broadcast((owners, None if strong is None else set(strong)))
 
     @pandas_udf("array<string>")
-    def mentions(texts: pd.Series) -> pd.Series:
-        return texts.map(matcher.mentions)
+    def mentions(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        matcher = AliasMatcher(*held.value)
+        for texts in batches:
+            yield texts.map(matcher.mentions)
 
     return mentions
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewire.functions.sports import match_labels, normal_label, route_slugs
 from tidewire.functions.text import slugify
-from tidewire.functions.urls import has_segment
+from tidewire.functions.urls import has_segment, official_hosts, official_link, safe_url
 
 # Labels that say what a link leads to.
 KINDS = {"roster": "roster", "schedule": "schedule", "archives": "news", "news": "news"}
@@ -63,10 +63,6 @@ def declared_archive(links: DataFrame, keys: list[str]) -> DataFrame:
     return n.where("n = 1").drop("n")
 
 
-def label_matches(labels: DataFrame, aliases: DataFrame) -> DataFrame:
-    return match_labels(labels, aliases)
-
-
 def conference_key(name: Column) -> Column:
     """A conference's slug: without "The" before and "Conference" after; null for none."""
     bare = F.regexp_replace(F.regexp_replace(F.trim(name), r"(?i)^the\s+", ""), r"(?i)\s+conference$", "")
@@ -87,21 +83,105 @@ def split_members(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     return told.where("reason is null").drop("reason"), told.where("reason is not null")
 
 
-def import_evidence(programs: DataFrame) -> DataFrame:
-    """One row of counts of an imported catalog."""
-    return programs.agg(
+def import_evidence(programs: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Counts of an imported catalog (A11, A12, A13, R22), for all of it or per keys."""
+    return programs.groupBy(*(keys or [])).agg(
         F.count_distinct("school").alias("schools"), F.count("*").alias("programs"), F.count_distinct("sport").alias("sports"),
         F.count_distinct("primary_conference").alias("conferences"),
         F.count_if(~F.col("conference").eqNullSafe(F.col("primary_conference"))).alias("affiliates"),
     )
 
 
+def count_by(rows: DataFrame, field: str) -> DataFrame:
+    """A histogram."""
+    return rows.groupBy(field).agg(F.count("*").alias("n"))
+
+
+def affiliations(programs: DataFrame, conference: str, member: str) -> DataFrame:
+    """The members of each conference, in order (A14).  A conference has hundreds at most."""
+    return programs.groupBy(conference).agg(F.sort_array(F.collect_list(member)).alias("members"))
+
+
+def imported_slugs(schools: DataFrame, previous: DataFrame, fixed: DataFrame) -> DataFrame:
+    """A slug per school (R22): the one it has had, else a reviewed one, else its name's.  Each is joined by the school's number."""
+    old = previous.select("ncaa_id", F.col("slug").alias("old_slug"))
+    given = fixed.select("ncaa_id", F.col("slug").alias("given_slug"))
+    out = schools.join(old, "ncaa_id", "left").join(given, "ncaa_id", "left")
+    return out.withColumn("slug", F.coalesce("old_slug", "given_slug", slugify(F.col("name")))).drop("old_slug", "given_slug")
+
+
+def sponsored_sports(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Sponsored sports of a directory's table (P29): keys, code, name, slug, conference, repeated, conflict.
+
+    rows: keys, cells (of one table row), code (of the label, null if unknown).  Identical rows are one sponsorship.
+    """
+    told = rows.where(F.size("cells") >= 4).select(
+        *keys, "code", F.col("cells")[0].alias("name"), F.nullif(F.col("cells")[2], F.lit("")).alias("division"), conference_key(F.col("cells")[3]).alias("conference")
+    )
+    value = F.struct("name", "division", "conference")
+    n = told.groupBy(*keys, "code").agg(
+        F.min(value).alias("v"), (F.count("*") - F.count_distinct(F.to_json(value, {"ignoreNullFields": "false"}))).alias("repeated"),
+        (F.count_distinct(F.to_json(value, {"ignoreNullFields": "false"})) > 1).alias("conflict"),
+    )
+    return n.select(*keys, "code", "v.name", sport_key(F.col("v.name"), F.col("code")).alias("slug"), "v.division", "v.conference", "repeated", "conflict")
+
+
+def source_policy(schools: DataFrame, overrides: DataFrame) -> DataFrame:
+    """Each school's site, hosts and the code of an override that is not its own.
+
+    schools: school, ncaa_id, athletics_url; overrides: school, ncaa_id, original_url, athletics_url, evidence_url, news_url.
+    """
+    o = overrides.select("school", *(F.col(c).alias(f"o_{c}") for c in ("ncaa_id", "original_url", "athletics_url", "evidence_url", "news_url")), F.lit(True).alias("given"))
+    rows = schools.join(o, "school", "left")
+    own = (F.col("o_ncaa_id") == F.col("ncaa_id")) & (F.col("o_original_url") == F.col("athletics_url"))
+    own &= safe_url(F.col("o_athletics_url")).isNotNull() & safe_url(F.col("o_evidence_url")).isNotNull()
+    hosts = F.array_distinct(F.concat(official_hosts(F.col("athletics_url")), F.when(F.col("given").isNotNull(), official_hosts(F.col("o_athletics_url"))).otherwise(F.array().cast("array<string>"))))
+    rows = rows.withColumn("hosts", hosts)
+    fallback = F.col("o_news_url").isNull() | official_link(F.col("o_news_url"), F.col("hosts")).isNotNull()
+    code = F.when(F.col("given").isNotNull() & ~F.coalesce(own, F.lit(False)), "override-identity-mismatch").when(
+        F.col("given").isNotNull() & ~F.coalesce(fallback, F.lit(False)), "override-host-mismatch"
+    )
+    return rows.select("school", F.coalesce("o_athletics_url", "athletics_url").alias("athletics_url"), "hosts", F.col("o_news_url").alias("news_url"), code.alias("error_code"))
+
+
+def sitemap_page(locs: DataFrame, keys: list[str]) -> DataFrame:
+    """The first page of a sitemap that belongs to a sport's schedule or roster (S16): keys, url.  locs: keys, pos, loc."""
+    page = F.col("loc").rlike(r"^https://[^/]*/sports?/[a-z][a-z0-9-]*/(?:schedule|roster)(?:/|$|[?#])")
+    return locs.where(page).groupBy(*keys).agg(F.min_by("loc", "pos").alias("url"))
+
+
+def navigation_label(text: Column) -> Column:
+    """A link's label without what collection it leads to."""
+    steps = (
+        (r"(?i)^(?:roster|schedule|news|coaches|stats|statistics) for\s+", ""), (r"(?i)^(men['’]?s|women['’]?s) sports\s+", "$1 "),
+        (r"(?i)^(.+?),\s*(men['’]?s|women['’]?s) sports$", "$2 $1"), (r"(?i)^w-\s*", "Women's "), (r"(?i)^m-\s*", "Men's "),
+        (r"(?i)\s*:\s*(?:roster|schedule|news|coaches|stats|statistics|home|tickets).*$", ""),
+    )
+    for pattern, to in steps:
+        text = F.regexp_replace(text, pattern, to)
+    return F.trim(text)
+
+
+def discovery_status(schools: DataFrame, pages: DataFrame, done: DataFrame, version: int = 3) -> DataFrame:
+    """What is left to discover and what it came to (R21): school, status.
+
+    Schools whose sources are of this version are left out; a failed page is a row with its code, not an error.
+    schools: school; pages: school, error_code, n_sources; done: school, version.
+    """
+    due = schools.join(done.where(F.col("version") == version).select("school"), "school", "left_anti")
+    status = F.when(F.col("n_sources").isNull() & F.col("error_code").isNull(), "not-fetched").when(F.col("error_code").isNotNull(), F.col("error_code")).when(
+        F.col("n_sources") == 0, "no-sources-found"
+    ).otherwise("ok")
+    return due.join(pages, "school", "left").select("school", status.alias("status"))
+
+
 # Families that are one program for several sponsored sports, and labels of joint track and cross-country pages.
 COMBINED_FAMILIES = ("track and field", "cross country", "swimming and diving", "skiing", "fencing", "rifle", "sailing")
 TRACK_AND_CROSS = (
     "track and field xc", "track and field cross country", "track cross country", "cross country track", "cross country and track",
     "cross country track and field", "cross country and track and field", "xc track", "xc track and field",
 )
+#: Forms of a family's name in menus.
 _FAMILY_WORDS = (
     (r"^(?:mens and womens|womens and mens|m and w) ", ""),
     (r"^track(?: field)?$", "track and field"),

@@ -11,6 +11,11 @@ from tidewire.operators.windows import enrichment_rank, needs_enrichment
 
 # Paths of brand images that sites declare where an article has no photo.
 BRAND_IMAGES = r"(?i)/images/logos/site/site\.(?:png|svg|jpe?g|webp)$"
+BRAND_PATHS = ("/wp-content/themes/arkansasTheme/assets/images/ark-logo-left.png",)
+DEFAULT_IMAGES = (
+    r"(?i)^https://(?:[^/]*\.)?foxsports\.com/[^?#]*/?static/orion/images/defaults/(?:\d+/\d+/)?story-card\.jpg(?:[?#]|$)"
+    r"|^https://(?:[^/]*\.)?cbsistatic\.com/[^?#]*/?bundles/sportsmediacss/images/fantasy/default-article-image-large\.png(?:[?#]|$)"
+)
 
 
 def title_identity(value: Column) -> Column:
@@ -23,10 +28,14 @@ def article_image(image: Column, page: Column) -> Column:
     url = safe_url(image)
     path = F.regexp_replace(F.regexp_replace(url, r"^https://[^/?#]*", ""), r"[?#].*$", "")
     home = (host_of(url) == host_of(page)) & path.isin("", "/") & ~F.contains(url, F.lit("?"))
-    return F.when(~(article_identity(url) == article_identity(page)) & ~home & ~path.rlike(BRAND_IMAGES), url)
+    # a resizing service names the image in its own address
+    nested = F.coalesce(safe_url(F.try_url_decode(F.regexp_extract(url, r"[?&]url=([^&#]*)", 1))), F.lit(""))
+    brand = lambda u, p: u.rlike(DEFAULT_IMAGES) | p.rlike(BRAND_IMAGES) | p.isin(*BRAND_PATHS)
+    inner = F.regexp_replace(F.regexp_replace(nested, r"^https://[^/?#]*", ""), r"[?#].*$", "")
+    return F.when(~(article_identity(url) == article_identity(page)) & ~home & ~brand(url, path) & ~brand(nested, inner), url)
 
 
-def confirmed_metadata(pages: DataFrame) -> DataFrame:
+def confirmed_metadata(pages: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Image, text and author of pages that are the article asked for.
 
     pages: url, title, and a row of ``sources.parsers.article_metadata``.  A page that declares another
@@ -37,11 +46,11 @@ def confirmed_metadata(pages: DataFrame) -> DataFrame:
     title = title_identity(F.col("title"))
     named = (title_identity(F.col("h1")) == title) | (title_identity(F.col("og_title")) == title)
     is_article = declared & (F.col("og_type") == "article")
-    told = F.coalesce(title_identity(F.col("headline")) == title, F.lit(True))
+    told = F.col("headline").isNull() | (title_identity(F.col("headline")) == title)
     graph = F.coalesce(article_image(F.col("og_image"), F.col("url")))
     image = F.coalesce(graph, F.when(told, article_image(F.col("ld_image"), F.col("url"))))
     return pages.select(
-        "url",
+        *(keys or []), "url",
         F.when(F.coalesce(other, F.lit(False)), "article-identity-mismatch")
         .when(~F.coalesce(named | is_article, F.lit(False)), "article-identity-not-confirmed").alias("error_code"),
         image.alias("found_image"),

@@ -73,17 +73,47 @@ def totals(programs: DataFrame) -> DataFrame:
 
 
 def health_report(expected: DataFrame, programs: DataFrame, key: str) -> DataFrame:
-    """The counters of a whole report, expected programs that are missing counted as errors."""
-    lost = missing(expected, programs, [key]).agg(F.count("*").alias("missing_programs"))
-    n = expected.agg(F.count("*").alias("expected_programs"))
-    errors = programs.agg(F.coalesce(F.sum(F.size("issues")), F.lit(0)).alias("issue_count"))
-    one = lambda df: df.withColumn("one", F.lit(1))  # noqa: E731  each side has one row
-    out = one(totals(programs)).join(one(lost), "one").join(one(n), "one").join(one(errors), "one").drop("one")
+    """The counters of a whole report, expected programs that are missing counted as errors.
+
+    One aggregate over one full outer join.
+    """
+    both = programs.withColumn("told", F.lit(True)).join(expected.select(key).distinct().withColumn("wanted", F.lit(True)), key, "full_outer")
+    told, wanted = F.col("told").isNotNull(), F.col("wanted").isNotNull()
+    out = both.agg(
+        F.count_if(told).alias("checked_programs"), F.count_if(told & (F.size("issues") == 0)).alias("healthy_programs"),
+        F.count_if(told & (F.size("warnings") > 0)).alias("programs_to_review"), F.coalesce(F.sum("articles"), F.lit(0)).alias("articles"),
+        F.count_if(told & (F.col("articles") == 0)).alias("programs_without_articles"), F.count_if(wanted & ~told).alias("missing_programs"),
+        F.count_if(wanted).alias("expected_programs"), F.coalesce(F.sum(F.when(told, F.size("issues"))), F.lit(0)).alias("issue_count"),
+    )
     return out.withColumn("repair_programs", F.col("expected_programs") - F.col("healthy_programs")).withColumn(
         "passed", (F.col("issue_count") == 0) & (F.col("missing_programs") == 0)
     )
 
 
+def summarize(records: DataFrame, keys: list[str], status: str, has_image: Column, counted: list[str], group: str) -> DataFrame:
+    """Per school: records, of which statuses, with images, from how many sources."""
+    return records.groupBy(*keys).agg(
+        F.count("*").alias("records"), *(F.count_if(F.col(status) == s).alias(s) for s in counted), F.count_if(has_image).alias("with_image"),
+        F.count_distinct(group).alias("sources"),
+    )
+
+
+def health_projection(collections: DataFrame, records: str = "records") -> DataFrame:
+    """Envelopes as health rows (J3): without records and season, with their number."""
+    return collections.withColumn("record_count", F.coalesce(F.size(records), F.lit(0))).drop(records, "season")
+
+
+def provenance(articles: DataFrame, declared: DataFrame, keys: list[str], url: str, count: str) -> DataFrame:
+    """Distinct articles per source against what the source has declared (A17, K9): keys, n_records, record_count, agrees."""
+    n = articles.groupBy(*keys).agg(F.count_distinct(url).alias("n_records"))
+    return n.join(declared.select(*keys, F.col(count).alias("record_count")), keys).withColumn("agrees", F.col("n_records") <= F.col("record_count"))
+
+
+def repeated_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that are there more than once (A23): keys, n_rows."""
+    return rows.groupBy(*keys).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
+
+
 def violations(rows: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
     """One row per broken rule: rule, key.  A rule is a condition that must hold; null counts as broken."""
     broken = F.filter(

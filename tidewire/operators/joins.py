@@ -6,14 +6,19 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: So many entries may apply to everything in a wildcard join.
+MAX_GENERAL = 1000
 
 
 def wildcard_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``right`` whose keys are equal or null, null meaning any.
 
     A disjunction would be a nested loop over both tables; instead each pattern of null
-    keys is an equi-join on the others.  The pattern without any key has no join key: it
-    is as large as its rows are many, so it must be a handful of general entries.
+    keys is an equi-join on the others.  The pattern without any key has no join key: each of its
+    entries goes to every row, so there must be no more than ``MAX_GENERAL`` of them (an error otherwise);
+    they stand in the plan as one literal.
     """
     rest = [c for c in right.columns if c not in keys]
     parts = []
@@ -25,9 +30,12 @@ def wildcard_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFra
         if on:
             parts.append(left.join(rows, on))
         else:
-            listed = rows.agg(F.collect_list(F.struct(*rows.columns)).alias("all"))
-            one = left.withColumn("one", F.lit(1)).join(F.broadcast(listed.withColumn("one", F.lit(1))), "one").drop("one")
-            parts.append(one.select(*left.columns, F.inline("all")))
+            general = rows.limit(MAX_GENERAL + 1).collect()
+            if len(general) > MAX_GENERAL:
+                raise ValueError(f"more than {MAX_GENERAL} entries apply to everything")
+            kind = T.ArrayType(rows.schema)
+            listed = F.array(*(F.struct(*(F.lit(r[c]).cast(rows.schema[c].dataType).alias(c) for c in rows.columns)) for r in general)).cast(kind)
+            parts.append(left.select(*left.columns, F.inline(listed)))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -82,6 +90,26 @@ def as_of(rows: DataFrame, at: str, facts: DataFrame, fact_at: str, keys: list[s
     return both.withColumn(value, F.last("__fact", ignorenulls=True).over(order)).where("__row = 1").drop("__at", "__fact", "__row")
 
 
-def prefer(first: Column, *others: Column) -> Column:
-    """The first source that has a value."""
-    return F.coalesce(first, *others)
+def with_previous(rows: DataFrame, previous: DataFrame, keys: list[str], defaults: dict[str, Column] | None = None) -> DataFrame:
+    """Rows with what is known of them from before (K1, K2): a left join; ``defaults`` for what is not."""
+    out = rows.join(previous, keys, "left")
+    for name, value in (defaults or {}).items():
+        out = out.withColumn(name, F.coalesce(F.col(name), value))
+    return out
+
+
+def replaced(rows: DataFrame, replacements: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Rows whose columns a reviewed replacement of the same keys overrides (K26); ``replaced`` says which."""
+    r = replacements.select(*keys, *(F.col(c).alias(f"__{c}") for c in columns), F.lit(True).alias("replaced"))
+    out = rows.join(r, keys, "left")
+    for c in columns:
+        out = out.withColumn(c, F.coalesce(f"__{c}", c)).drop(f"__{c}")
+    return out.withColumn("replaced", F.coalesce("replaced", F.lit(False)))
+
+
+def unchanged_files(there: DataFrame, manifest: DataFrame, keys: list[str]) -> DataFrame:
+    """Manifest rows with whether the bytes are there and the same (K10): keys, agrees.  there: keys, body."""
+    told = there.select(*keys, F.sha2(F.col("body").cast("binary"), 256).alias("__sha"), F.octet_length("body").alias("__n"))
+    out = manifest.join(told, keys, "left")
+    same = (F.col("sha256") == F.col("__sha")) & (F.col("bytes") == F.col("__n"))
+    return out.select(*keys, F.coalesce(same, F.lit(False)).alias("agrees"))

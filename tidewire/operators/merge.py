@@ -34,31 +34,27 @@ def upsert_by_url(records: DataFrame, keys: list[str], pos: str = "pos") -> Data
     order = F.col(pos)
     last = [c for c in _LAST if c in records.columns]
     rows = records.withColumn("url", canonical_url(F.col("url")))
-    folded = rows.groupBy(*keys, "url").agg(
-        F.max_by(F.struct(*last), order).alias("l"),
-        _last_known("author", order).alias("author"),
-        F.max("metadata_checked_at").alias("metadata_checked_at"),
-        F.min(order).alias("first_pos"),
-        F.max(order).alias("last_pos"),
-    )
-    # per image its last place and its last text with that text's place; then the image of the last place, whose text
-    # counts if it was told after the last place of any other image
     told = F.when(F.col("image_alt").isNotNull(), order)
-    images = rows.where("image_url is not null").groupBy(*keys, "url", "image_url").agg(
-        F.max(order).alias("at"), F.max_by("image_alt", told).alias("alt"), F.max(told).alias("alt_at")
+    author = F.when(F.col("author").isNotNull(), F.struct(order.alias("p"), F.col("author").alias("v")))
+    # a row per image, which carries the fold of everything else; so records are read and sent once
+    images = rows.groupBy(*keys, "url", "image_url").agg(
+        F.max_by(F.struct(*last), order).alias("l"), F.max(author).alias("author"), F.max("metadata_checked_at").alias("metadata_checked_at"),
+        F.min(order).alias("first_pos"), F.max(order).alias("at"), F.max_by("image_alt", told).alias("alt"), F.max(told).alias("alt_at"),
     )
-    of_url = Window.partitionBy(*keys, "url").orderBy(F.col("at").desc())
-    images = images.withColumn("r", F.row_number().over(of_url)).withColumn("other_at", F.lead("at").over(of_url)).where("r = 1")
+    # the image of the last place stays; its text counts if it was told after the last place of any other image
+    of_url = Window.partitionBy(*keys, "url").orderBy(F.col("image_url").isNull(), F.col("at").desc())
+    other_at = F.lead(F.when(F.col("image_url").isNotNull(), F.col("at"))).over(of_url)
+    images = images.withColumn("r", F.row_number().over(of_url)).withColumn("other_at", other_at)
     alt = F.when(F.col("other_at").isNull() | (F.col("alt_at") > F.col("other_at")), F.col("alt"))
-    images = images.select(*keys, "url", "image_url", alt.alias("image_alt"))
-    return (
-        folded.join(images, [*keys, "url"], "left")
-        .select(
-            *keys, "url", *(F.col(f"l.{c}").alias(c) for c in last), "image_url", "image_alt", "author", "metadata_checked_at",
-            "first_pos", "last_pos",
-        )
-        .withColumn("id", stable_id(*(F.col(k) for k in keys), F.col("url")))
+    final = F.when((F.col("r") == 1) & F.col("image_url").isNotNull(), F.struct("image_url", alt.alias("image_alt")))
+    folded = images.groupBy(*keys, "url").agg(
+        F.max_by("l", "at").alias("l"), F.max(final).alias("i"), F.max("author").alias("author"), F.max("metadata_checked_at").alias("metadata_checked_at"),
+        F.min("first_pos").alias("first_pos"), F.max("at").alias("last_pos"),
     )
+    return folded.select(
+        *keys, "url", *(F.col(f"l.{c}").alias(c) for c in last), F.col("i.image_url").alias("image_url"), F.col("i.image_alt").alias("image_alt"),
+        F.col("author.v").alias("author"), "metadata_checked_at", "first_pos", "last_pos",
+    ).withColumn("id", stable_id(*(F.col(k) for k in keys), F.col("url")))
 
 
 def newest_first(published_at: str = "published_at", url: str = "url") -> list[Column]:
@@ -111,3 +107,8 @@ def conflicting(records: DataFrame, key: list[str], values: list[str]) -> DataFr
     return records.groupBy(*key).agg(F.count("*").alias("n_rows"), n.alias("n_values")).select(
         *key, "n_rows", (F.col("n_rows") - F.col("n_values")).alias("n_repeated"), (F.col("n_values") > 1).alias("conflict")
     )
+
+
+def by_date_text(records: DataFrame, at: str) -> DataFrame:
+    """Newest first by the text of the date; no date sorts last (O2)."""
+    return records.orderBy(F.coalesce(F.col(at), F.lit("")).desc())

@@ -40,9 +40,29 @@ def reconciled(rows: DataFrame, keys: list[str]) -> DataFrame:
 def ranks(text: Column) -> Column:
     """National, position and state rank and the state of a row's ranking line (P20)."""
     number = lambda pattern: optional_number(F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")), 100_000).cast("int")
+    # the state stands behind the position, whose rank looks like one
+    behind = F.regexp_replace(text, r"(?i)^.*?\b(?:Pos|[A-Z]{1,4})\.?\s*#\d+", "")
+    of_state = lambda i: F.nullif(F.regexp_extract(behind, r"\b([A-Z]{2})\s+#?(\d+)\s*$", i), F.lit(""))
     return F.struct(
         number(r"(?i)\bNatl?\.?\s*#?(\d+)").alias("national_rank"),
         number(r"(?i)\b(?:Pos|[A-Z]{1,4})\.?\s*#(\d+)").alias("position_rank"),
-        number(r"\b(?:[A-Z]{2})\s+#?(\d+)\s*$").alias("state_rank"),
-        F.nullif(F.regexp_extract(text, r"\b([A-Z]{2})\s+#?\d+\s*$", 1), F.lit("")).alias("ranking_state"),
+        optional_number(of_state(2), 100_000).cast("int").alias("state_rank"),
+        of_state(1).alias("ranking_state"),
     )
+
+
+def continued(sections: DataFrame, shown: DataFrame, more: DataFrame, keys: list[str]) -> DataFrame:
+    """Sections of an offers list with their rows (P18): keys, section, rows, whole.
+
+    sections: keys, section, declared; shown, more: keys, section, player_id, of the list and of the sections' continuations.
+    A continuation takes the place of what the list shows of its section; one that lacks a row shown first is not whole.
+    """
+    n_more = more.groupBy(*keys, "section").agg(F.count("*").alias("n_more"))
+    n_shown = shown.groupBy(*keys, "section").agg(F.count("*").alias("n_shown"))
+    lost = shown.join(n_more, [*keys, "section"]).join(more.select(*keys, "section", "player_id").distinct(), [*keys, "section", "player_id"], "left_anti")
+    lost = lost.groupBy(*keys, "section").agg(F.count("*").alias("n_lost"))
+    out = sections
+    for part in (n_more, n_shown, lost):
+        out = out.join(part, [*keys, "section"], "left")
+    rows = F.coalesce("n_more", "n_shown", F.lit(0))
+    return out.select(*keys, "section", "declared", rows.alias("rows"), ((rows == F.col("declared")) & F.col("n_lost").isNull()).alias("whole"))

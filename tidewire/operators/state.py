@@ -74,3 +74,12 @@ def disabled_refresh(prior_success_at: Column) -> tuple[Column, Column]:
         F.when(known, "stale").otherwise("unavailable"),
         F.when(known, "refresh-disabled-news-only").otherwise("disabled-news-only"),
     )
+
+
+def empty_dataset(at: Column, status: Column, reason: Column, source_url: Column) -> Column:
+    """An envelope without records."""
+    none = F.lit(None)
+    return F.struct(
+        status.alias("status"), at.alias("last_attempt_at"), none.cast("timestamp").alias("last_success_at"), source_url.alias("source_url"),
+        none.cast("string").alias("season"), reason.alias("reason"), F.array().cast("array<string>").alias("records"),
+    )

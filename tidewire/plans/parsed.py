@@ -85,13 +85,13 @@ def _feed_items(t: Tables, words: Column) -> DataFrame:
 ALIASES = {"the": ["a"], "with the": ["b"], "in the": ["c"], "that": ["d", "e"], "and the": ["f"], "for": ["g"], "for the": ["h"]}
 
 
-def _mentions_sql() -> str:
+def _mentions_sql(strong=None) -> str:
     names = sorted(ALIASES, key=lambda a: (-len(a), a))
     step, hits = "' ' || trim(regexp_replace(replace(lower(text), '&', ' and '), '[^a-z0-9]+', ' ', 'g')) || ' '", []
     ctes = [f"s0 AS (SELECT doc_id, replace({step}, ' ', '  ') AS t FROM documents)"]
     for i, name in enumerate(names):
         wide = " " + name.replace(" ", "  ") + " "
-        found = f"contains(t, '{wide}')" if len(ALIASES[name]) == 1 else "FALSE"
+        found = f"contains(t, '{wide}')" if len(ALIASES[name]) == 1 and (strong is None or name in strong) else "FALSE"
         kept = "".join(f", h{j}" for j in range(i))
         ctes.append(f"s{i + 1} AS (SELECT doc_id, replace(t, '{wide}', ' | ') AS t{kept}, CASE WHEN {found} THEN '{ALIASES[name][0]}' END AS h{i} FROM s{i})")
         hits.append(f"h{i}")

@@ -107,13 +107,23 @@ def current_version(store: Store) -> str | None:
 
 
 def _pointer(store: Store) -> int:
-    n = 0
-    while store.read(f"pointers/{n + 1:08d}") is not None:
-        n += 1
-    return n
+    """The number of the newest pointer: one listing of their folder."""
+    at = store._at("pointers")
+    if not store.fs.exists(at):
+        return 0
+    return max((int(f.getPath().getName()) for f in store.fs.listStatus(at) if f.getPath().getName().isdigit()), default=0)
 
 
-def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame], parent: str | None, partition: str = "conference") -> str:
+def published_batch(store: Store) -> int:
+    """The number of the last batch of a stream that is published, or -1."""
+    n = _pointer(store)
+    told = json.loads(store.read(f"pointers/{n:08d}")).get("batch") if n else None
+    return -1 if told is None else told
+
+
+def publish(
+    spark: SparkSession, root: str, tables: dict[str, DataFrame], parent: str | None, partition: str = "conference", batch: int | None = None
+) -> str:
     """Write tables as a new version and point to it, if ``parent`` is still the current one.
 
     Pointers are numbered files that are created exclusively, so of two publishers with the same parent
@@ -131,10 +141,10 @@ def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame], parent
         writer = df.write.partitionBy(partition) if partition in df.columns else df.write
         writer.parquet(path)
         digests[name] = table_digest(spark.read.parquet(path))
-    if parent is not None and json.loads(store.read(f"pointers/{n:08d}")).get("digests") == digests:
+    if parent is not None and batch is None and json.loads(store.read(f"pointers/{n:08d}")).get("digests") == digests:
         store.delete(f"versions/{version}")
         return parent
-    if not store.create(f"pointers/{n + 1:08d}", json.dumps({"version": version, "parent": parent, "digests": digests})):
+    if not store.create(f"pointers/{n + 1:08d}", json.dumps({"version": version, "parent": parent, "digests": digests, "batch": batch})):
         raise Conflict("another publisher was faster")
     return version
 
@@ -180,3 +190,63 @@ def scope(conference: str | None = None, school: str | None = None, sport: str |
                 raise ValueError(f"not a slug: {value}")
             out &= F.col(column) == value
     return out
+
+
+def resolve_scope(event: str, requested: str | None, conferences: list[str]) -> tuple[list[str], str]:
+    """The conferences of a run and its selector (C6, R34): a schedule is for all, a manual run for all or one known conference."""
+    if event not in ("schedule", "workflow_dispatch"):
+        raise ValueError("unsupported event")
+    if event == "schedule" or requested in (None, "", "all"):
+        return sorted(conferences), ""
+    if requested not in conferences:
+        raise ValueError("unknown conference")
+    return [requested], requested
+
+
+def assert_publish_context(env: dict[str, str], repository: str, workflow: str = ".github/workflows/maintainers.yml") -> None:
+    """Publication runs only where it is meant to (C8, R32); the first thing that is otherwise is named."""
+    wanted = {
+        "GITHUB_ACTIONS": ("true",), "GITHUB_REPOSITORY": (repository,), "GITHUB_REF": ("refs/heads/main",),
+        "GITHUB_EVENT_NAME": ("schedule", "workflow_dispatch"), "GITHUB_WORKFLOW_REF": (f"{repository}/{workflow}@refs/heads/main",),
+    }
+    for name, values in wanted.items():
+        if env.get(name) not in values:
+            raise ValueError(f"{name} is not as publication requires")
+    if not re.fullmatch("[a-f0-9]{40}", env.get("GITHUB_SHA", "")):
+        raise ValueError("GITHUB_SHA is no commit")
+    if not env.get("GITHUB_TOKEN"):
+        raise ValueError("no token")
+
+
+def public_index(schools: DataFrame, programs: DataFrame) -> DataFrame:
+    """Schools of the public index with the path of their snapshot and how many programs they have.
+
+    schools: conference, school; programs: school.
+    """
+    n = programs.groupBy("school").agg(F.count("*").alias("programs"))
+    path = F.concat(F.lit("v1/conferences/"), F.lower("conference"), F.lit("/schools/"), F.lower("school"), F.lit(".json"))
+    return schools.join(n, "school", "left").select("conference", "school", path.alias("path"), F.coalesce("programs", F.lit(0)).cast("bigint").alias("programs"))
+
+
+def running_size(files: DataFrame, order: str, most: int = MAX_BUNDLE) -> DataFrame:
+    """Files with the bytes up to each and whether a bundle holds that much (A20).  A bundle has a file per school."""
+    from pyspark.sql import Window
+
+    return files.withColumn("running", F.sum("bytes").over(Window.orderBy(order))).withColumn("fits", F.col("running") <= most)
+
+
+def manifest_document_violations(manifests: DataFrame, expected: DataFrame, now: Column) -> DataFrame:
+    """Manifests as documents (X9): key (the conference), rule.
+
+    manifests: conference, version, generated_at (text), schools (array of slugs); expected: conference, schools.
+    """
+    from tidewire.functions.dates import age_hours
+    from tidewire.operators.health import violations
+
+    at = F.try_to_timestamp("generated_at", F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSX"))
+    age = age_hours(at, now)
+    rows = manifests.join(expected.select("conference", F.col("schools").alias("wanted")), "conference", "left")
+    return violations(rows, "conference", {
+        "version": F.col("version") == 1, "canonical-time": F.col("generated_at").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{3}Z$") & at.isNotNull(),
+        "not-in-future": age >= -5 / 60, "not-old": age <= 24, "exact-schools": F.array_sort("schools") == F.array_sort("wanted"),
+    })

@@ -15,19 +15,31 @@ SLUG = r"^[a-z0-9]+(?:-[a-z0-9]+)*$"
 MIN_SCHOOLS, MAX_SCHOOLS, MAX_SPORTS = 300, 500, 60
 
 
-def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The JSON at a path, or an empty table if there is none; other errors are raised."""
+def read_optional(spark: SparkSession, path: str, schema: T.StructType, lines: bool = False) -> DataFrame:
+    """The JSON at a path, or an empty table if there is none; other errors are raised.
+
+    Files hold a document or an array of them, or with ``lines`` one document a line.
+    """
     try:
-        return spark.read.schema(schema).option("multiLine", True).json(path)
+        return spark.read.schema(schema).option("multiLine", not lines).json(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
-def schools(spark: SparkSession, path: str) -> DataFrame:
+def registry(spark: SparkSession, path: str, schema: T.StructType, lines: bool = False) -> DataFrame:
+    """A registry's JSON of version 1 (S3, S4, S5); another version is an error."""
+    versioned = T.StructType([T.StructField("schemaVersion", T.IntegerType()), *schema])
+    rows = spark.read.schema(versioned).option("multiLine", not lines).option("mode", "FAILFAST").json(path)
+    if not rows.where("schemaVersion is null or schemaVersion <> 1").isEmpty():
+        raise ValueError("unsupported registry version")
+    return rows.drop("schemaVersion")
+
+
+def schools(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """School records of a catalog's JSON files."""
-    return spark.read.schema(SCHOOL).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    return spark.read.schema(SCHOOL).option("multiLine", not lines).option("mode", "FAILFAST").json(path)
 
 
 def conferences(spark: SparkSession, path: str) -> DataFrame:
@@ -88,3 +100,18 @@ def snapshot_articles(rows: DataFrame) -> DataFrame:
     """The news records of snapshots, as prior records of a merge."""
     news = snapshot_programs(rows).select("school", "sport", F.posexplode("program.news.records").alias("pos", "r"))
     return news.select("school", "sport", "pos", "r.*")
+
+
+def write_snapshots(rows: DataFrame, root: str, conferences_: list[str], body: str = "body", conference: str = "conference", school: str = "school") -> None:
+    """One JSON text per school below its conference's folder (X2); ``preview`` for incomplete ones.
+
+    Conferences are few; each is one distributed write, so a folder is complete or not there.
+    """
+    for c in conferences_:
+        part = rows.where(F.col(conference) == c).select(F.col(school).alias("school"), F.col(body).alias("value"))
+        part.select("value").write.mode("overwrite").text(f"{root}/v1/conferences/{c}/schools/all.json")
+
+
+def exclusions_in_order(excluded: DataFrame) -> DataFrame:
+    """Schools by name and exclusions by number (O5): the order of a published catalog."""
+    return excluded.orderBy("ncaa_id")

@@ -11,6 +11,7 @@ import ipaddress
 import zlib
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,9 +37,11 @@ def _decode(body: bytes | None, encoding: str | None, most: int) -> tuple[str |
             body = zlib.decompressobj(31).decompress(body, most + 1)
         elif kind == "deflate":
             body = zlib.decompressobj().decompress(body, most + 1)
+        elif kind == "br":
+            body = pa.CompressedInputStream(pa.BufferReader(body), "brotli").read(most + 1)
         elif kind != "identity":
             return None, "unexpected-encoding"
-    except (zlib.error, gzip.BadGzipFile, EOFError):
+    except (zlib.error, gzip.BadGzipFile, EOFError, OSError, pa.ArrowException):
         return None, "invalid-compressed-response"
     if len(body) > most:
         return None, "response-too-large"
@@ -58,6 +61,21 @@ def decode_body(body: Column, encoding: Column, most: int = MAX_BYTES) -> Column
     return decode(body, encoding)
 
 
+@pandas_udf(T.BinaryType())
+def encoded_body(texts: pd.Series, encodings: pd.Series) -> pd.Series:
+    """Texts as a server sends them: plain, gzip, deflate or br (to land documents)."""
+
+    def one(text, encoding):
+        body = (text or "").encode()
+        if encoding == "gzip":
+            return gzip.compress(body, mtime=0)
+        if encoding == "deflate":
+            return zlib.compress(body)
+        return pa.compress(body, codec="brotli", asbytes=True) if encoding == "br" else body
+
+    return pd.Series([one(t, e) for t, e in zip(texts, encodings, strict=True)])
+
+
 @pandas_udf(T.BooleanType())
 def is_public_address(addresses: pd.Series) -> pd.Series:
     """Whether an address is a global unicast one."""
@@ -113,3 +131,57 @@ def pages_complete(pages: DataFrame, keys: list[str]) -> DataFrame:
     return pages.groupBy(*keys).agg(F.sum(F.size("rows")).alias("found"), F.max("total_count").alias("declared")).withColumn(
         "complete", F.col("found") == F.col("declared")
     )
+
+
+MAX_PAGES = 10
+
+
+def listed_pages(pages: DataFrame, keys: list[str], most: int = MAX_PAGES) -> DataFrame:
+    """The pages of a listing that are read (S11): one after another until the declared total is reached, ``most`` at most.
+
+    pages: keys, page (from 1), total_count, rows.  Later pages are not read; a gap ends the listing, which is then not complete.
+    """
+    so_far = Window.partitionBy(*keys).orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    known = pages.withColumn("n_before", F.coalesce(F.sum(F.size("rows")).over(so_far), F.lit(0)))
+    known = known.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy("page")))
+    return known.where((F.col("page") == F.col("place")) & (F.col("page") <= most) & (F.col("n_before") < F.col("total_count"))).drop("place", "n_before")
+
+
+#: A directory is asked again after a rate limit or a server's error, so many times in all, waiting no longer than this.
+MAX_ATTEMPTS, MAX_WAIT_SECONDS = 3, 30
+
+
+def directory_response(attempts: DataFrame, most: int = 4 << 20) -> DataFrame:
+    """One response per address of a directory (S15): url, attempt, waited, error_code.
+
+    attempts: url, attempt (from 1), status, retry_after (seconds, null: none), n_bytes.  The first answer that is
+    neither a rate limit nor a server's error counts, else the last of ``MAX_ATTEMPTS``.
+    """
+    again = (F.col("status") == 429) | (F.col("status") >= 500)
+    wait = F.when(F.col("retry_after") > 0, F.least(F.col("retry_after"), F.lit(MAX_WAIT_SECONDS))).otherwise(F.col("attempt") * 2)
+    rows = attempts.where(F.col("attempt") <= MAX_ATTEMPTS)
+    best = rows.groupBy("url").agg(
+        F.min_by(F.struct("attempt", "status", "n_bytes"), F.when(~again, F.col("attempt"))).alias("good"),
+        F.max_by(F.struct("attempt", "status", "n_bytes"), "attempt").alias("last"),
+        F.map_from_entries(F.collect_list(F.struct("attempt", F.when(again, wait).otherwise(0).alias("w")))).alias("waits"),
+    )
+    best = best.withColumn("b", F.coalesce("good", "last"))
+    waited = F.aggregate(F.map_entries("waits"), F.lit(0).cast("bigint"), lambda a, e: a + F.when(e["key"] < F.col("b.attempt"), e["value"]).otherwise(0))
+    code = F.when(~F.col("b.status").between(200, 299), F.concat(F.lit("http-"), F.col("b.status").cast("string"))).when(F.col("b.n_bytes") > most, "response-too-large")
+    return best.select("url", F.col("b.attempt").alias("attempt"), waited.alias("waited"), code.alias("error_code"))
+
+
+def feed_checks(feeds: DataFrame, counted: DataFrame) -> DataFrame:
+    """The state of each registered feed (A21, R25): id, status, item_count, sha256, reason.
+
+    feeds: id, text (null: not fetched), error_code; counted: id, n_items, error_code of the parsed document.  A failed feed has
+    neither digest nor count.
+    """
+    c = counted.select("id", "n_items", F.col("error_code").alias("parse_error"))
+    rows = feeds.join(c, "id", "left")
+    reason = F.coalesce("error_code", "parse_error", F.when(F.col("text").isNull(), "empty-response"))
+    ok = reason.isNull()
+    return rows.select(
+        "id", F.when(ok, "verified").otherwise("unavailable").alias("status"), F.when(ok, F.coalesce("n_items", F.lit(0))).alias("item_count"),
+        F.when(ok, F.sha2(F.col("text").cast("binary"), 256)).alias("sha256"), reason.alias("reason"),
+    )

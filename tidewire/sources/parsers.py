@@ -1,8 +1,9 @@
 """Parsers: a document becomes rows, or one error code.
 
-A parser is a function of (text, context) that returns dicts or raises ``SourceError``; any other
-exception is a change of the source's format.  ``parse`` applies it to a table of documents in
-Arrow batches, so a document that cannot be read costs a row with its code and never the job.
+A parser is a function of (text, context) that returns dicts or raises ``SourceError``; exceptions that a document
+of another shape causes are a change of the source's format, all others are errors of the program and are raised.
+``parse`` applies it to a table of documents, a few at a time, so a document that cannot be read costs a row with its
+code and never the job.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ MAX_FEED, MAX_ITEMS = 2_000_000, 200
 MAX_DOCUMENT, MAX_RECORDS, MAX_SCALAR = 8_000_000, 1000, 4096
 MAX_NODES = 150_000
 MAX_LOCS, MAX_PAGES = 1000, 3000
+MAX_GAMES, MAX_PLAYERS, MAX_GRAPH = 400, 300, 100
+#: Documents that are held as Python objects at a time.
+PORTION = 16
 _MEDIA = "{http://search.yahoo.com/mrss/}"
 _ATOM = "{http://www.w3.org/2005/Atom}"
 
@@ -47,9 +51,10 @@ def parse(documents: DataFrame, parser: Parser, row: T.StructType, context: list
     arrow = T.StructType([*row]).fieldNames()
 
     def run(batches):
+        held = []
         for batch in batches:
-            rows = []
-            for doc in batch.to_pylist():
+            for doc in (d for first in range(0, batch.num_rows, PORTION) for d in batch.slice(first, PORTION).to_pylist()):
+                rows = []
                 told = {c: doc[c] for c in context}
                 try:
                     if doc[text] is None:
@@ -60,11 +65,18 @@ def parse(documents: DataFrame, parser: Parser, row: T.StructType, context: list
                     for i, r in enumerate(found):
                         rows.append(told | {"error_code": None, "pos": i} | {k: r.get(k) for k in arrow})
                 except SourceError as e:
-                    rows.append(told | {"error_code": e.code, "pos": -1})
-                except Exception:
-                    rows.append(told | {"error_code": "source-format-changed", "pos": -1})
-            if rows:
-                yield pa.RecordBatch.from_pylist([{n: r.get(n) for n in names} for r in rows], target)
+                    rows = [told | {"error_code": e.code, "pos": -1}]
+                except (ValueError, LookupError, TypeError, AttributeError, ET.ParseError, RecursionError):
+                    rows = [told | {"error_code": "source-format-changed", "pos": -1}]
+                held += rows
+                if len(held) >= 1000:
+                    yield batch_of(held)
+                    held = []
+        if held:
+            yield batch_of(held)
+
+    def batch_of(rows):
+        return pa.RecordBatch.from_pylist([{n: r.get(n) for n in names} for r in rows], target)
 
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -197,7 +209,9 @@ def graph_objects(nodes: list) -> Iterator[dict]:
 
 
 def _scalar(value) -> str | None:
-    return str(value)[:MAX_SCALAR] if isinstance(value, (str, int, float)) and not isinstance(value, bool) and value != "" else None
+    if isinstance(value, str) and len(value) > MAX_SCALAR:
+        raise SourceError("source-format-changed")
+    return str(value) if isinstance(value, (str, int, float)) and not isinstance(value, bool) and value != "" else None
 
 
 def official_stories(text: str, context: dict) -> Iterator[dict]:
@@ -248,52 +262,121 @@ def _container(nodes: list, key: str) -> list[dict] | None:
     return None
 
 
+def _first(row: dict, *names: str) -> str | None:
+    """The first of the fields that says something."""
+    return next((v for n in names if (v := _scalar(row.get(n))) is not None), None)
+
+
 def official_roster(text: str, context: dict) -> Iterator[dict]:
-    """Players of the graph's list (P12); without one the page is not a roster."""
+    """Players of the graph's list, else of the static cards (P12); a page with neither is not a roster."""
     rows = _container(index_graph(text) or [], "players")
     if rows is None:
-        raise SourceError("source-format-changed")
+        yield from _static_players(text)
+        return
     for r in rows:
-        if r.get("hidden") is True:
+        if r.get("hidden") is True or r.get("hide") is True:
             continue
-        name = r.get("name") or " ".join(x for x in (r.get("first_name"), r.get("last_name")) if isinstance(x, str))
-        yield {"id": _scalar(r.get("id")), "name": _scalar(name), "position": _scalar(r.get("position")), "jersey": _scalar(r.get("jersey_number")),
-               "year": _scalar(r.get("academic_year")), "path": _scalar(r.get("url")), "gender": _scalar(r.get("gender"))}
+        parts = [_first(r, "firstName", "first_name"), _first(r, "lastName", "last_name")]
+        yield {"id": _first(r, "rosterPlayerId", "id"), "name": _first(r, "name") or " ".join(x for x in parts if x) or None,
+               "position": _first(r, "positionShort", "positionLong", "position"), "jersey": _first(r, "jerseyNumber", "jersey_number"),
+               "year": _first(r, "academicYearLong", "academicYearShort", "academic_year"), "path": _first(r, "call_to_action", "url"),
+               "gender": _first(r, "gender")}
+
+
+def _static_players(text: str) -> Iterator[dict]:
+    from tidewire.sources.cards import tree_of
+
+    cards = tree_of(text).all(".sidearm-roster-player")
+    if not cards or len(cards) > MAX_RECORDS:
+        raise SourceError("source-format-changed")
+    said = lambda card, *names: (found.text() or None) if (found := card.first(*names)) is not None else None
+    for card in cards:
+        name = card.first(".sidearm-roster-player-name")
+        link = name.first("a") if name is not None else None
+        if link is None or not link.attrs.get("href"):
+            raise SourceError("source-format-changed")
+        yield {"id": None, "name": link.text(), "path": link.attrs["href"], "position": said(card, ".sidearm-roster-player-position-long-short"),
+               "jersey": said(card, ".sidearm-roster-player-jersey-number"), "year": said(card, ".sidearm-roster-player-academic-year"), "gender": None}
+
+
+# How sites abbreviate where a game is and how it ended.
+_WHERE = {"H": "home", "A": "away", "N": "neutral"}
+_ENDED = {"W": "Final - Win", "L": "Final - Loss", "T": "Final - Tie"}
 
 
 def official_schedule(text: str, context: dict) -> Iterator[dict]:
-    """Games of the graph's list, by date."""
-    rows = _container(index_graph(text) or [], "games")
+    """Games of the graph's list, else of the static cards, by date."""
+    nodes = index_graph(text) or []
+    rows = _container(nodes, "games")
     if rows is None:
-        raise SourceError("source-format-changed")
-    where = {"H": "home", "A": "away", "N": "neutral"}
-    result = {"W": "Final - Win", "L": "Final - Loss", "T": "Final - Tie"}
-    games = [
-        {"id": _scalar(r.get("id")), "date": _scalar(r.get("date")), "opponent": _scalar(r.get("opponent_name")), "location": where.get(r.get("location_indicator")),
-         "venue": _scalar(r.get("location")), "result": result.get(r.get("result_status")), "team_score": _scalar(r.get("team_score")),
-         "opponent_score": _scalar(r.get("opponent_score")), "path": _scalar(r.get("url"))} for r in rows
-    ]
+        yield from sorted(_static_games(text), key=lambda g: g["date"] or "")
+        return
+    inner = lambda r, key: {k: looked_up(nodes, v) for k, v in r[key].items()} if isinstance(r.get(key), dict) else {}
+    games = []
+    for r in rows:
+        result, opponent, facility = inner(r, "result"), inner(r, "opponent"), inner(r, "facility")
+        ended = _ENDED.get(result.get("status") or r.get("result_status"))
+        games.append(
+            {"id": _first(r, "id"), "date": _first(r, "date"), "opponent": _first(opponent, "title") or _first(r, "opponent_name"),
+             "location": _WHERE.get(r.get("location_indicator")), "venue": _first(facility, "title") or _first(r, "location"),
+             "result": _first(r, "noplay_text") or ended or _first(r, "game_state_display"),
+             "team_score": _first(result, "team_score") or _first(r, "team_score"), "opponent_score": _first(result, "opponent_score") or _first(r, "opponent_score"),
+             "path": _first(r, "game_center_link", "url")}
+        )
     yield from sorted(games, key=lambda g: g["date"] or "")
 
 
+def _static_games(text: str) -> Iterator[dict]:
+    from tidewire.sources.cards import tree_of
+
+    cards = tree_of(text).all(".sidearm-schedule-game")
+    if not cards or len(cards) > MAX_RECORDS:
+        raise SourceError("source-format-changed")
+    said = lambda card, name: (found.text() or None) if (found := card.first(name)) is not None else None
+    for card in cards:
+        time = card.first("time[datetime]")
+        result = said(card, ".sidearm-schedule-game-result") or ""
+        scores = re.search(r"(?:^|[, ])(\d+(?:\.\d+)?)[-–](\d+(?:\.\d+)?)(?:\b|$)", result)
+        place = re.search(r"sidearm-schedule-(?:game-)?(home|away|neutral)\b", card.attrs.get("class") or "")
+        yield {"id": None, "date": time.attrs["datetime"][:10] if time is not None else None, "opponent": said(card, ".sidearm-schedule-game-opponent-name"),
+               "location": place[1] if place else None, "venue": said(card, ".sidearm-schedule-game-location"), "result": result or "Scheduled",
+               "team_score": scores[1] if scores else None, "opponent_score": scores[2] if scores else None, "path": None}
+
+
 # ---- providers' JSON, read by Spark itself
 
 PROVIDER_NEWS = (
-    "struct<header: string, articles: array<struct<id: bigint, headline: string, description: string, published: string,"
+    "struct<header: string, link: struct<href: string>, articles: array<struct<id: bigint, headline: string, description: string, published: string, byline: string,"
     " images: array<struct<url: string, alt: string>>, links: struct<web: struct<href: string>>,"
     " categories: array<struct<type: string, teamId: bigint, leagueId: bigint>>>>>"
 )
 
 
+def _rows_or_error(documents: DataFrame, context: list[str], code, items) -> DataFrame:
+    """context, error_code, pos, x: the items of a sound document, or one row with the code and pos -1."""
+    found = documents.select(*context, code.alias("error_code"), F.posexplode_outer(F.when(code.isNull(), items)).alias("pos", "x"))
+    return found.where("error_code is not null or pos is not null").withColumn("pos", F.coalesce("pos", F.lit(-1)))
+
+
 def provider_news(documents: DataFrame, context: list[str]) -> DataFrame:
     """Articles of a provider's league news that carry the league's and the team's category.
-    context includes league_id and team_id."""
+
+    context includes league_id and team_id; with header and league_url, the document must be that league's.  A document of more
+    than ``MAX_ITEMS`` articles, or another league's, is one row with its error_code and nothing else.
+    """
     told = F.from_json("text", PROVIDER_NEWS)
-    rows = documents.select(*context, F.posexplode(F.slice(told["articles"], 1, MAX_ITEMS)).alias("pos", "a"))
-    has = lambda kind, field, wanted: F.exists("a.categories", lambda c: (c["type"] == kind) & (c[field] == F.col(wanted)))
-    return rows.where(has("league", "leagueId", "league_id") & has("team", "teamId", "team_id")).select(
-        *context, "pos", F.col("a.headline").alias("title"), F.col("a.links.web.href").alias("url"), F.col("a.description").alias("description"),
-        F.col("a.published").alias("published"), F.get("a.images", F.lit(0))["url"].alias("image_url"),
+    other = F.lit(False)
+    if "header" in context:
+        other = ~told["header"].eqNullSafe(F.col("header"))
+    if "league_url" in context:
+        other |= ~told["link"]["href"].eqNullSafe(F.col("league_url"))
+    code = F.when(told["articles"].isNull() | other | (F.size(told["articles"]) > MAX_ITEMS), "news-identity-mismatch")
+    rows = _rows_or_error(documents, context, code, told["articles"])
+    has = lambda kind, field, wanted: F.exists("x.categories", lambda c: (c["type"] == kind) & (c[field] == F.col(wanted)))
+    ours = has("league", "leagueId", "league_id") & has("team", "teamId", "team_id")
+    return rows.where(F.col("error_code").isNotNull() | ours).select(
+        *context, "error_code", "pos", F.col("x.headline").alias("title"), F.col("x.links.web.href").alias("url"), F.col("x.description").alias("description"),
+        F.col("x.published").alias("published"), F.get("x.images", F.lit(0))["url"].alias("image_url"), F.col("x.byline").alias("author"),
     )
 
 
@@ -304,40 +387,64 @@ PROVIDER_SCHEDULE = (
 )
 
 
-def provider_schedule(documents: DataFrame, context: list[str], most: int = 400) -> DataFrame:
-    """Games of a team's schedule, own and other side told apart, one row per game (P15, K24).  context includes team_id."""
+def provider_schedule(documents: DataFrame, context: list[str], most: int = MAX_GAMES) -> DataFrame:
+    """Games of a team's schedule, own and other side told apart, the last of each id by date.
+
+    context includes team_id.  A document of another team, of too many games, or with a game that lacks its own side, opponent,
+    id or zoned date is one row with its error_code.
+    """
     told = F.from_json("text", PROVIDER_SCHEDULE)
-    rows = documents.where(told["team"]["id"] == F.col("team_id").cast("string"))
-    rows = rows.select(*context, F.posexplode(F.slice(told["events"], 1, most)).alias("pos", "e"))
-    match = F.get("e.competitions", F.lit(0))
-    own = F.get(F.filter(match["competitors"], lambda c: c["id"] == F.col("team_id").cast("string")), F.lit(0))
-    other = F.get(F.filter(match["competitors"], lambda c: c["id"] != F.col("team_id").cast("string")), F.lit(0))
-    rows = rows.where(F.col("e.date").rlike(r"(?:Z|[+-]\d\d:?\d\d)$"))
-    return rows.select(
-        *context, "pos", F.col("e.id").alias("id"), F.col("e.date").alias("date"), F.col("e.name").alias("name"),
-        F.when(F.col("e.timeValid") == F.lit(False), "day").otherwise("instant").alias("date_precision"),
+    team = F.col("team_id").cast("string")
+    sides = lambda e, own: F.filter(F.get(e["competitions"], F.lit(0))["competitors"], lambda c: (c["id"] == team) == F.lit(own))
+    whole = lambda e: (
+        e["id"].isNotNull() & F.coalesce(e["date"].rlike(r"(?:Z|[+-]\d\d:?\d\d)$"), F.lit(False)) & (F.size(sides(e, True)) > 0)
+        & F.get(sides(e, False), F.lit(0))["team"]["displayName"].isNotNull()
+    )
+    code = (
+        F.when(~told["team"]["id"].eqNullSafe(team), "source-team-mismatch")
+        .when(told["events"].isNull() | (F.size(told["events"]) > most), "invalid-schedule")
+        .when(~F.coalesce(F.forall(told["events"], whole), F.lit(False)), "invalid-event-scope")
+    )
+    rows = _rows_or_error(documents, context, code, told["events"])
+    match = F.get("x.competitions", F.lit(0))
+    own, other = F.get(sides(F.col("x"), True), F.lit(0)), F.get(sides(F.col("x"), False), F.lit(0))
+    games = rows.select(
+        *context, "error_code", "pos", F.col("x.id").alias("id"), F.col("x.date").alias("date"), F.col("x.name").alias("name"),
+        F.when(F.col("x.timeValid") == F.lit(False), "day").when(F.col("x").isNotNull(), "instant").alias("date_precision"),
         match["status"]["type"]["description"].alias("status"), match["venue"]["fullName"].alias("venue"),
         F.when(match["neutralSite"], "neutral").otherwise(own["homeAway"]).alias("home_away"),
         other["team"]["displayName"].alias("opponent"), own["score"]["value"].alias("team_score"), other["score"]["value"].alias("opponent_score"),
     )
+    from tidewire.operators.merge import unique_by_id
+
+    return unique_by_id(games, [*context, "error_code", "id"])
 
 
 PROVIDER_PLAYER = "struct<id: string, displayName: string, jersey: string, position: struct<abbreviation: string>, experience: struct<displayValue: string>>"
 PROVIDER_ROSTER = f"struct<team: struct<id: string>, athletes: array<struct<items: array<{PROVIDER_PLAYER}>, id: string, displayName: string, jersey: string, position: string>>>"
 
 
-def provider_roster(documents: DataFrame, context: list[str], most: int = 300) -> DataFrame:
-    """Players of a team's roster, whose list is grouped or flat (P16).  context includes team_id."""
+def provider_roster(documents: DataFrame, context: list[str], most: int = MAX_PLAYERS) -> DataFrame:
+    """Players of a team's roster, whose list is grouped, flat or both, the last of each id.
+
+    context includes team_id.  Another team's document, too many players, or one without id or name: one row with the error_code.
+    """
     grouped = F.from_json("text", PROVIDER_ROSTER)
     flat = F.from_json("text", f"struct<team: struct<id: string>, athletes: array<{PROVIDER_PLAYER}>>")
-    items = F.flatten(F.transform(grouped["athletes"], lambda g: F.coalesce(g["items"], F.array().cast(f"array<{PROVIDER_PLAYER}>"))))
-    players = F.when(F.size(items) > 0, items).otherwise(flat["athletes"])
-    rows = documents.where(grouped["team"]["id"] == F.col("team_id").cast("string"))
-    rows = rows.select(*context, F.posexplode(F.slice(players, 1, most)).alias("pos", "p")).where("p.id is not null")
-    return rows.select(
-        *context, "pos", F.col("p.id").alias("id"), F.col("p.displayName").alias("name"), F.col("p.jersey").alias("jersey"),
-        F.col("p.position.abbreviation").alias("position"), F.col("p.experience.displayValue").alias("year"),
-    )
+    players = F.flatten(F.transform(grouped["athletes"], lambda g, i: F.coalesce(g["items"], F.array(F.get(flat["athletes"], i)))))
+    code = (
+        F.when(~grouped["team"]["id"].eqNullSafe(F.col("team_id").cast("string")), "source-team-mismatch")
+        .when(players.isNull(), "invalid-roster")
+        .when(F.size(players) > most, "roster-too-large")
+        .when(~F.coalesce(F.forall(players, lambda p: p["id"].isNotNull() & p["displayName"].isNotNull()), F.lit(False)), "invalid-athlete")
+    )
+    rows = _rows_or_error(documents, context, code, players)
+    from tidewire.operators.merge import unique_by_id
+
+    return unique_by_id(rows.select(
+        *context, "error_code", "pos", F.col("x.id").alias("id"), F.col("x.displayName").alias("name"), F.col("x.jersey").alias("jersey"),
+        F.col("x.position.abbreviation").alias("position"), F.col("x.experience.displayValue").alias("year"),
+    ), [*context, "error_code", "id"])
 
 
 # ---- links, sitemaps, metadata
@@ -456,7 +563,9 @@ def article_metadata(text: str, context: dict) -> Iterator[dict]:
         except json.JSONDecodeError:
             continue
         nodes = data if isinstance(data, list) else data.get("@graph", [data]) if isinstance(data, dict) else []
-        for node in nodes[:100]:
+        if not isinstance(nodes, list) or len(nodes) > MAX_GRAPH:
+            continue
+        for node in nodes:
             if isinstance(node, dict) and node.get("@type") in ("NewsArticle", "Article", "BlogPosting"):
                 image = node.get("image")
                 image = image[0] if isinstance(image, list) and image else image
