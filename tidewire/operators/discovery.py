@@ -243,3 +243,13 @@ def navigation_matches(labels: DataFrame, programs: DataFrame, aliases: DataFram
     by_alias = match_labels(plain_labels, aliases.join(programs.select("program_id", F.col("school").alias("of")), "program_id"))
     by_alias = by_alias.where("school = of").select("school", "label", "program_id")
     return by_rule.unionByName(by_alias).distinct()
+
+
+def without_routing(rows: DataFrame) -> DataFrame:
+    """Without what is for routing only and never published."""
+    return rows.drop("description")
+
+
+def narrowed(conference: Column) -> Column:
+    """A conference as a snapshot names it."""
+    return F.struct(conference["slug"].alias("slug"), conference["name"].alias("name"))

@@ -80,3 +80,8 @@ def apply_metadata(records: DataFrame, asked: DataFrame, metadata: DataFrame, ke
         .withColumn("metadata_checked_at", F.when(use, observed_at).otherwise(F.col("metadata_checked_at")))
         .drop("asked", "found_image", "found_alt", "found_author")
     )
+
+
+def as_asked(records: DataFrame, asked: str, provenance: str) -> DataFrame:
+    """Records of a page that was followed, as of the page that was asked for."""
+    return records.withColumn(provenance, F.col(asked)).drop(asked)

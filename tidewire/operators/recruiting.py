@@ -66,3 +66,12 @@ def continued(sections: DataFrame, shown: DataFrame, more: DataFrame, keys: list
         out = out.join(part, [*keys, "section"], "left")
     rows = F.coalesce("n_more", "n_shown", F.lit(0))
     return out.select(*keys, "section", "declared", rows.alias("rows"), ((rows == F.col("declared")) & F.col("n_lost").isNull()).alias("whole"))
+
+
+#: Fields of a recruit that a source may leave out.
+OPTIONAL = ("profile_url", "image_url", "school_name", "hometown", "rating", "rating_system", "stars", "national_rank", "position_rank", "state_rank", "ranking_state", "ranking_group")
+
+
+def with_defaults(rows: DataFrame) -> DataFrame:
+    """Recruits with every optional field, null where the source has none."""
+    return rows.select("*", *(F.lit(None).cast("string").alias(c) for c in OPTIONAL if c not in rows.columns))

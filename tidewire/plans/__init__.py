@@ -1,6 +1,6 @@
 """Registered queries: the engine's operators over the driver's tables, with equivalent SQL."""
 
-from tidewire.plans import landed, parsed, provided, relational, routing, rules, scalars  # noqa: F401
+from tidewire.plans import audited, landed, parsed, provided, relational, routing, rules, scalars  # noqa: F401
 from tidewire.plans.registry import OPERATORS, ORACLES, QUERIES
 
 __all__ = ["OPERATORS", "ORACLES", "QUERIES"]

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewire import publish
 from tidewire.functions import text, urls
-from tidewire.operators import health, joins, merge, slots, state, windows
+from tidewire.operators import discovery, health, joins, merge, providers, slots, state, windows
 from tidewire.plans.registry import Tables, query
 from tidewire.plans.scalars import NOW, _canonical_sql, _clean_sql, _safe_sql
 
@@ -158,7 +159,8 @@ def conflicting_duplicates(t: Tables) -> DataFrame:
 
 @query("SELECT n_nationkey, n_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA'")
 def scope_partition(t: Tables) -> DataFrame:
-    return t.nation.join(t.region.where("r_name = 'ASIA'"), F.expr("n_regionkey = r_regionkey")).select("n_nationkey", "n_name")
+    rows = t.nation.join(t.region, F.expr("n_regionkey = r_regionkey")).withColumn("conference", F.lower("r_name"))
+    return rows.where(publish.scope(conference="asia")).select("n_nationkey", "n_name")
 
 
 @query(
@@ -166,9 +168,8 @@ def scope_partition(t: Tables) -> DataFrame:
     LEFT JOIN (SELECT o_custkey, count(*) AS n, max(o_orderdate) AS last_order FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey"""
 )
 def previous_left_join(t: Tables) -> DataFrame:
-    prior = t.orders.groupBy("o_custkey").agg(F.count("*").alias("n"), F.max("o_orderdate").alias("last_order"))
-    out = t.customer.join(prior, F.expr("c_custkey = o_custkey"), "left")
-    return out.select("c_custkey", F.coalesce("n", F.lit(0)).alias("n_orders"), "last_order")
+    prior = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n_orders"), F.max("o_orderdate").alias("last_order"))
+    return joins.with_previous(t.customer.select("c_custkey"), prior, ["c_custkey"], {"n_orders": F.lit(0)})
 
 
 @query(
@@ -177,7 +178,7 @@ def previous_left_join(t: Tables) -> DataFrame:
 )
 def provider_mapping_status(t: Tables) -> DataFrame:
     labels = t.labels.withColumn("known", F.lit(True))
-    mapping = F.when(F.col("known").isNull(), "noProvider").when(F.col("quality") == 1, "verified").otherwise("unverified")
+    mapping = providers.mapping_status(F.col("known"), F.col("quality") == 1)
     out = t.documents.select("doc_id", "source").join(labels, "doc_id", "left")
     return out.groupBy("source", mapping.alias("mapping")).agg(F.count("*").alias("n"))
 
@@ -306,15 +307,17 @@ def asof_last_view(t: Tables) -> DataFrame:
 )
 def affiliate_count(t: Tables) -> DataFrame:
     rows = t.supplier.join(t.nation, F.expr("s_nationkey = n_nationkey"))
-    return rows.groupBy(F.col("n_regionkey").alias("conference")).agg(
-        F.count("*").alias("programs"), F.count_if(F.col("s_nationkey") % 5 != F.col("n_regionkey")).alias("affiliates")
+    programs = rows.select(
+        F.col("s_nationkey").alias("school"), F.col("s_suppkey").alias("sport"), F.col("n_regionkey").alias("primary_conference"), (F.col("s_nationkey") % 5).alias("conference")
     )
+    found = discovery.import_evidence(programs, ["primary_conference"])
+    return found.select(F.col("primary_conference").alias("conference"), "programs", "affiliates")
 
 
 @query("SELECT r_name, string_agg(n_name, ',' ORDER BY n_name) AS members FROM region JOIN nation ON r_regionkey = n_regionkey GROUP BY r_name")
 def affiliations_collect(t: Tables) -> DataFrame:
     rows = t.region.join(t.nation, F.expr("r_regionkey = n_regionkey"))
-    return rows.groupBy("r_name").agg(F.array_join(F.sort_array(F.collect_list("n_name")), ",").alias("members"))
+    return discovery.affiliations(rows, "r_name", "n_name").select("r_name", F.array_join("members", ",").alias("members"))
 
 
 @query(
@@ -322,15 +325,13 @@ def affiliations_collect(t: Tables) -> DataFrame:
         count(DISTINCT event_type) AS sources FROM events GROUP BY user_id"""
 )
 def summarize_school(t: Tables) -> DataFrame:
-    return t.events.groupBy("user_id").agg(
-        F.count("*").alias("records"), F.count_if(F.col("event_type") == "error").alias("errors"),
-        F.count_if(F.col("value") > 40).alias("with_image"), F.count_distinct("event_type").alias("sources"),
-    )
+    found = health.summarize(t.events, ["user_id"], "event_type", F.col("value") > 40, ["error"], "event_type")
+    return found.withColumnRenamed("error", "errors")
 
 
 @query("SELECT lang, count(*) AS n FROM documents GROUP BY lang")
 def count_by(t: Tables) -> DataFrame:
-    return t.documents.groupBy("lang").agg(F.count("*").alias("n"))
+    return discovery.count_by(t.documents, "lang")
 
 
 @query(
@@ -383,8 +384,8 @@ def status_fold(t: Tables) -> DataFrame:
 
 @query(f"WITH {_STATES} SELECT program, min(last_success_at) AS oldest_success FROM states WHERE last_success_at IS NOT NULL GROUP BY program")
 def oldest_success(t: Tables) -> DataFrame:
-    rows = source_states(t).where("last_success_at is not null")
-    return rows.groupBy("program").agg(F.min("last_success_at").alias("oldest_success"))
+    found = state.collection_state(source_states(t), ["program"], "source_url").where("last_success_at is not null")
+    return found.select("program", F.col("last_success_at").alias("oldest_success"))
 
 
 @query(f"WITH {_STATES} SELECT source_url, status, coalesce(reason, '') AS reason, count(*) AS programs FROM states GROUP BY ALL")
@@ -398,9 +399,8 @@ def source_health_groups(t: Tables) -> DataFrame:
 )
 def provenance_counts(t: Tables) -> DataFrame:
     a = articles(t).withColumn("url", urls.canonical_url(F.col("url")))
-    n = a.groupBy("program", "source").agg(F.count_distinct("url").alias("n_records"))
-    declared = t.events.groupBy(F.col("user_id").alias("program"), F.col("event_type").alias("source")).agg(F.count("*").alias("record_count"))
-    return n.join(declared, ["program", "source"]).withColumn("agrees", F.col("n_records") <= F.col("record_count"))
+    declared = t.events.groupBy(F.col("user_id").alias("program"), F.col("event_type").alias("source")).agg(F.count("*").alias("declared"))
+    return health.provenance(a, declared, ["program", "source"], "url", "declared")
 
 
 @query(
@@ -463,15 +463,12 @@ def health_totals(t: Tables) -> DataFrame:
     SELECT n_regionkey, sha256, bytes, CAST(sum(bytes) OVER (ORDER BY n_regionkey) AS BIGINT) AS running FROM f"""
 )
 def manifest_digest(t: Tables) -> DataFrame:
-    from pyspark.sql import Window
-
     body = F.concat("n_name", F.lit("|"), F.col("n_nationkey").cast("string"), F.lit("\n"))
     files = t.nation.select("n_regionkey", body.alias("body")).groupBy("n_regionkey").agg(
         F.array_join(F.sort_array(F.collect_list("body")), "").alias("text")
     )
-    files = files.select("n_regionkey", F.sha2(F.col("text").cast("binary"), 256).alias("sha256"), F.octet_length("text").cast("bigint").alias("bytes"))
-    # a manifest has a row per file of one conference, so one ordered pass is enough
-    return files.withColumn("running", F.sum("bytes").over(Window.orderBy("n_regionkey")))
+    files = files.select("n_regionkey", text.digest(F.col("text")).alias("sha256"), F.octet_length("text").cast("bigint").alias("bytes"))
+    return publish.running_size(files, "n_regionkey").drop("fits")
 
 
 _RULES = {
@@ -549,6 +546,6 @@ def section_carry_forward(t: Tables) -> DataFrame:
         count(s_suppkey) AS programs FROM region JOIN nation ON r_regionkey = n_regionkey LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY r_name, n_name"""
 )
 def public_index(t: Tables) -> DataFrame:
-    rows = t.region.join(t.nation, F.expr("r_regionkey = n_regionkey")).join(t.supplier, F.expr("s_nationkey = n_nationkey"), "left")
-    path = F.concat(F.lit("v1/conferences/"), F.lower("r_name"), F.lit("/schools/"), F.lower("n_name"), F.lit(".json"))
-    return rows.groupBy(F.col("r_name").alias("conference"), F.col("n_name").alias("school"), path.alias("path")).agg(F.count("s_suppkey").alias("programs"))
+    schools = t.region.join(t.nation, F.expr("r_regionkey = n_regionkey")).select(F.col("r_name").alias("conference"), F.col("n_name").alias("school"))
+    programs = t.supplier.join(t.nation, F.expr("s_nationkey = n_nationkey")).select(F.col("n_name").alias("school"))
+    return publish.public_index(schools, programs)
