@@ -29,16 +29,22 @@ class Scratch:
     ``save`` cuts the lineage: what follows reads a committed Parquet table.  The
     tables hold mostly hashes, which don't compress, and compressors keep memory
     outside the heap for each file, so they are written plainly unless told otherwise.
+    Tables far smaller than what they are made from are saved with ``few`` files: a few for each slot of the
+    cluster instead of one for each partition of the shuffle, whose number follows the large tables.
     """
 
+    FILES_PER_SLOT = 3
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
         self.names: set[str] = set()
 
-    def save(self, df: DataFrame, name: str, compression: str = "uncompressed") -> DataFrame:
+    def save(self, df: DataFrame, name: str, compression: str = "uncompressed", few: bool = False) -> DataFrame:
         schema = df.schema
         self.names.add(name)
+        if few:
+            df = df.coalesce(self.FILES_PER_SLOT * max(self.spark.sparkContext.defaultParallelism, 4))
         path = f"{self.path}/{name}"
         df.write.mode("overwrite").option("compression", compression).parquet(path)
         return self.spark.read.schema(schema).parquet(path)
