@@ -102,6 +102,7 @@ def block_names(
         done = last if done is None else done.unionByName(last)
         more = rows.where("n > 1")
         if more.isEmpty():
+            scratch.keep(*(f"level_{i}" for i in range(depth + 1)))
             return done
         depth += 1
         pairs = (
