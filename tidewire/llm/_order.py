@@ -5,13 +5,18 @@ from __future__ import annotations
 import hashlib
 import posixpath
 import uuid
+from collections.abc import Callable
 
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: The ids' range is cut into so many equal cells; a shard is one or more of them.
-CELLS = 16_384
+#: The keys' range is cut into so many equal cells; a cell that is too large is cut again, into ``PARTS`` over the range that its rows have.
+CELLS, PARTS = 16_384, 16
+#: There are no more shards than this, so what the driver holds is bounded; shards of larger tables are larger.
+MAX_SHARDS = 65_536
+#: Bits of the digest behind the id in a key.
+_BITS = 48
 
 
 def store_of(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -19,44 +24,90 @@ def store_of(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri if ":" in uri.split("/", 1)[0] else "file://" + uri)
 
 
-def shards(light: DataFrame, shard_bytes: int, overhead: int = 0) -> tuple[Column, int]:
-    """A column that gives a row's shard, and the number of shards.
+def shards(light: DataFrame, shard_bytes: int, overhead: int = 0) -> tuple[Callable[[DataFrame], DataFrame], int]:
+    """A function that adds ``shard`` to rows with id and sha, and the number of shards.
 
-    ``light`` has a row for each row to be dealt: id (bigint), sha (hex), n (bytes).
-    Shards are ranges of (id, sha) in that order, a null id first.  Their bounds
-    come from a histogram of the bytes over ``CELLS`` equal ranges of the id, so
-    they are the same for equal tables.  A large cell with one id only is split by
-    the first digit of ``sha``.
+    ``light`` has a row for each row to be dealt: id (bigint), sha (hex), n (bytes).  Shards are ranges of (id, first digits
+    of sha) in that order, a null id first.  Their bounds come from a histogram of the bytes that is refined where the rows
+    are: a cell with more than ``shard_bytes`` is cut anew over the range from its least to its largest key, until it fits or has one
+    key only.  So one far id, ids in clusters, and one id with many rows give even shards, and equal tables equal shards.  Rows
+    of equal id and content stay together.
     """
-    ends = light.agg(F.min("id").alias("lo"), F.max("id").alias("hi")).first()
-    lo, hi = (ends["lo"], ends["hi"]) if ends["lo"] is not None else (0, 0)
-    width = (hi - lo) // CELLS + 1
-    cell = F.expr(f"cast(coalesce((cast(id as decimal(38,0)) - {lo}) div {width}, 0) as int)")
-    one_id = (F.min("id") == F.max("id")) & (F.count("id") == F.count("*"))
-    found = light.groupBy(cell.alias("cell")).agg(F.sum(F.col("n") + overhead).alias("bytes"), one_id.alias("one_id"))
-    by_cell = {r["cell"]: r for r in found.collect()}
-    first, split = [0] * CELLS, [False] * CELLS
+    ends = light.agg(F.min("id").alias("lo"), F.sum(F.col("n") + overhead).alias("bytes")).first()
+    lo, total = ends["lo"] or 0, ends["bytes"] or 0
+    shard_bytes = max(shard_bytes, total // MAX_SHARDS + 1)
+    number = F.coalesce(F.col("id").cast("decimal(20,0)") - F.lit(lo) + 1, F.lit(0)).cast("decimal(20,0)")
+    digits = F.conv(F.substring("sha", 1, _BITS // 4), 16, 10).cast("decimal(15,0)")
+    key = (number * F.lit(1 << _BITS).cast("decimal(15,0)") + digits).cast("decimal(38,0)")
+    keyed = light.select(key.alias("key"), (F.col("n") + overhead).alias("n"))
+    span = keyed.agg(F.min("key").alias("lo"), F.max("key").alias("hi")).first()
+    levels: list[_Level] = []
+    # ranges that are cut at a level: (least key, width of a part); the whole table is the only one at first
+    cuts = [(int(span["lo"] or 0), (int(span["hi"] or 0) - int(span["lo"] or 0)) // CELLS + 1)]
+    rows, parts = keyed.withColumn("child", F.lit(0)), CELLS
+    while cuts:
+        level = _Level(cuts, parts)
+        rows = rows.withColumn("cell", level.cell(F.col("key"), F.col("child")))
+        found = rows.groupBy("cell").agg(F.sum("n").alias("bytes"), F.min("key").alias("lo"), F.max("key").alias("hi")).collect()
+        cuts = []
+        for r in sorted(found, key=lambda r: r["cell"]):
+            low, high = int(r["lo"]), int(r["hi"])
+            level.bytes[r["cell"]] = r["bytes"]
+            if r["bytes"] > shard_bytes and low < high:
+                level.child[r["cell"]] = len(cuts)
+                cuts.append((low, (high - low) // PARTS + 1))
+        levels.append(level)
+        parts = PARTS
+        if cuts:
+            rows = rows.withColumn("child", _constant(level.child)[F.col("cell")]).where("child >= 0").select("key", "n", "child")
+    n_shards = _number(levels, shard_bytes)
+
+    def deal(df: DataFrame) -> DataFrame:
+        out = df.withColumn("__key", key).withColumn("__child", F.lit(0)).withColumn("shard", F.lit(-1))
+        for i, level in enumerate(levels):
+            cell = F.when(F.col("__child") >= 0, level.cell(F.col("__key"), F.greatest(F.col("__child"), F.lit(0))))
+            out = out.withColumn("__cell", cell).withColumn("shard", F.coalesce(_constant(level.first)[F.col("__cell")], F.col("shard")))
+            child = _constant(level.child)[F.col("__cell")] if i + 1 < len(levels) else F.lit(-1)
+            out = out.withColumn("__child", F.coalesce(child, F.lit(-1)))
+        return out.drop("__key", "__child", "__cell")
+
+    return deal, n_shards
+
+
+class _Level:
+    """The cells of one refinement: ``parts`` for each range that is cut."""
+
+    def __init__(self, cuts: list[tuple[int, int]], parts: int):
+        self.cuts, self.parts = cuts, parts
+        self.bytes, self.child, self.first = ([x] * (len(cuts) * parts) for x in (0, -1, -1))
+
+    def cell(self, key: Column, child: Column) -> Column:
+        low = _constant([c[0] for c in self.cuts], "decimal(38,0)")[child]
+        width = _constant([c[1] for c in self.cuts], "decimal(38,0)")[child]
+        return (child * self.parts + F.call_function("div", key - low, width)).cast("int")
+
+
+def _number(levels: list[_Level], shard_bytes: int) -> int:
+    """Gives every cell that is not cut again its shard, in order; returns how many shards there are."""
     shard, held = 0, 0
-    for c in range(CELLS):
-        r = by_cell.get(c)
-        size = r["bytes"] if r else 0
-        if held and held + size > shard_bytes:
+    stack = [(0, c) for c in reversed(range(len(levels[0].bytes)))]
+    while stack:
+        at, c = stack.pop()
+        level = levels[at]
+        if level.child[c] >= 0:
+            begin = level.child[c] * levels[at + 1].parts
+            stack += [(at + 1, x) for x in reversed(range(begin, begin + levels[at + 1].parts))]
+            continue
+        if held and held + level.bytes[c] > shard_bytes:
             shard, held = shard + 1, 0
-        first[c] = shard
-        held += size
-        if r and r["one_id"] and size > shard_bytes:
-            split[c] = True
-            shard, held = shard + 16, 0
-    part = F.conv(F.substring("sha", 1, 1), 16, 10).cast("int")
-    of_cell = _constant(first)[cell]
-    if any(split):
-        of_cell += F.when(_constant(split)[cell] == 1, part).otherwise(0)
-    return of_cell, shard + 1
-
-
-def _constant(values: list) -> Column:
+        level.first[c] = shard
+        held += level.bytes[c]
+    return shard + 1
+
+
+def _constant(values: list, kind: str = "int") -> Column:
     """An array of integers that the optimizer folds into one literal."""
-    return F.split(F.lit(",".join(str(int(v)) for v in values)), ",").cast("array<int>")
+    return F.split(F.lit(",".join(str(int(v)) for v in values)), ",").cast(f"array<{kind}>")
 
 
 class RollingFiles:

@@ -1,9 +1,9 @@
 """WARC archives: a deterministic sharded writer, and a reader.
 
 Records are written in order of (id, SHA-1 of the payload).  A histogram of
-payload bytes over equal ranges of the id gives the bounds of the shards, so equal
+payload bytes, refined where the rows are, gives the bounds of the shards, so equal
 tables give equal files whatever machines write them.  Each shard is sorted and written by one task as a stream: it starts a new file whenever the
-compressed size passes ``roll_bytes``, writes each file under a temporary name,
+compressed size passes ``roll_bytes`` (a shard holds several such files), writes each file under a temporary name,
 moves it to its final name when it is complete, and returns a manifest row with
 its size and SHA-256.  The manifest is committed by Spark when all tasks have
 ended.  A reader takes what the manifest names and nothing else, so files of lost
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from tidewire.llm._common import Scratch, shared_root, text_or_empty
 from tidewire.llm._order import RollingFiles, shards, store_of
 
-SHARD_BYTES, ROLL_BYTES = 16 << 20, 128 << 20
+SHARD_BYTES, ROLL_BYTES = 32 << 20, 2 << 20
 DATE = "1970-01-01T00:00:00Z"
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _RECORD_BYTES = 600
@@ -124,7 +124,8 @@ def write_warc(
 
     A null payload is the empty one; a null id sorts first and is left out of the
     headers; of repeated rows, the first is treated as having the largest id.  An
-    empty table makes an empty manifest.
+    empty table makes an empty manifest.  Other columns of ``pages``, whatever their names, are not read.  A very long
+    payload is one record of its shard; it is held once, as the record that is written.
     """
     spark = pages.sparkSession
     scratch = Scratch(spark, "warc")
@@ -135,7 +136,7 @@ def write_warc(
     ).withColumn("sha", F.sha1("payload"))
     light = scratch.save(base.select("id", "sha", F.octet_length("payload").cast("bigint").alias("n")), "light")
 
-    shard, n_shards = shards(light, shard_bytes, _RECORD_BYTES)
+    deal, n_shards = shards(light, shard_bytes, _RECORD_BYTES)
 
     known = light.where(F.col("n") >= min_revisit_bytes)
     tops = known.groupBy("sha").agg(F.max("id").alias("top"), F.count("*").alias("c")).where("c > 1")
@@ -148,8 +149,7 @@ def write_warc(
         F.lit(None).cast("binary").alias("payload"), "top",
     )
     dealt = (
-        rows.unionByName(says)
-        .withColumn("shard", shard)
+        deal(rows.unionByName(says))
         .repartitionById(n_shards, "shard")
         .sortWithinPartitions("shard", "id", "sha", "kind", "url")
     )
@@ -179,6 +179,7 @@ def write_warc(
             yield _manifest_rows(files.done)
 
     dealt.mapInArrow(write, _MANIFEST).write.option("compression", "uncompressed").parquet(f"{folder}/manifest")
+    scratch.keep()
     return folder
 
 

@@ -269,9 +269,9 @@ def write_tokens(
         "sha", F.sha1(F.col("text").cast("binary"))
     )
     light = scratch.save(base.select("id", "sha", F.octet_length("text").cast("bigint").alias("n")), "light")
-    shard, n_shards = shards(light, shard_bytes, 16)
+    deal, n_shards = shards(light, shard_bytes, 16)
     dealt = (
-        base.withColumn("shard", shard)
+        deal(base)
         .repartitionById(n_shards, "shard")
         .sortWithinPartitions("shard", "id", "sha")
         .select("shard", "id", "text")
