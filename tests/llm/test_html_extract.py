@@ -59,3 +59,10 @@ def test_operator(spark):
         (-1, "v", "", 0), (1, "u", "x", 1), (1, "u", "x", 1), (2, "-", "", 0)
     ]
     assert h.extract(df.limit(0)).count() == 0
+
+
+def test_elements_whose_names_begin_like_others():
+    story = "<h1>Bridge opens</h1><p>The new bridge over the river was opened on Monday by the mayor and some hundred people who had waited for it.</p>"
+    for name in ("title-bar", "style-guide", "script-box", "button-group", "video-player", "object-list", "textarea-label"):
+        assert text(f"<body><article><{name}>{story}</{name}></article></body>") == text(f"<body><article>{story}</article></body>") != "", name
+        assert text(f"<body><article><{name}>{story}</article></body>").startswith("Bridge opens\n"), name

@@ -52,7 +52,7 @@ _WORD = re.compile(r"[a-z]+")
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{_RAW})\b[^>]*(?<!/)>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<raw>{_RAW})(?=[\s/>])[^>]*(?<!/)>.*?(?:</(?P=raw)\s*>|\Z)"
     r"""|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>[^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*)>"""
     r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
@@ -60,7 +60,7 @@ _TOKEN = re.compile(
 )
 
 _END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in _SKIPPED}
-_START = {tag: re.compile(rf"<{tag}\b", re.I) for tag in _SKIPPED}
+_START = {tag: re.compile(rf"<{tag}(?=[\s/>])", re.I) for tag in _SKIPPED}
 
 
 @dataclass
@@ -314,7 +314,9 @@ def extract(
     """One row per row of ``pages``: id, url, text, n_chars (code points).
 
     A null page and one without main text give the empty text; repeated rows give
-    a row each; an empty table gives no rows.
+    a row each; an empty table gives no rows.  Pages are read whole however long they are; markup that is not closed
+    ends with the page (scripts, styles), or is taken as if it were not there (buttons and the like); elements of unknown names, also
+    those whose names begin like others (title-bar, button-group), are containers like any other.
     """
     tree = decision_tree()
     schema = pages.select(id_col, url_col).schema.add("text", T.StringType()).add("n_chars", T.LongType())
