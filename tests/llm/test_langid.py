@@ -70,3 +70,39 @@ def test_every_label_is_learned(spark):
     rows = [(i, f"{chr(0x4E00 + i % 230)} word{i % 230}x", f"l{i % 230:03}") for i in range(2300)] + [(i, "lone words", "only") for i in (5001, 5002, 5003)]
     model = langid.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
     assert model.langs == sorted({r[2] for r in rows})
+
+
+def plain_predict(model, text):
+    """The likeliest label and its probability, n-gram by n-gram."""
+    counts = {}
+    lowered = [ord(c) for c in (text or "").lower()]
+    for n in langid.ORDERS:
+        for at in range(len(lowered) - n + 1):
+            h = 0
+            for c in lowered[at : at + n]:
+                h = (h + c) * 0x9E3779B1 % 2**32
+                h ^= h >> 15
+            bucket = ((h + n) * 0x85EBCA6B % 2**32) >> (32 - (langid.BUCKETS.bit_length() - 1))
+            counts[bucket] = counts.get(bucket, 0) + 1
+    x = {b: (1 + np.log(k)) * float(model.idf[b]) for b, k in counts.items()}
+    length = sum(v * v for v in x.values()) ** 0.5 or 1.0
+    z = [sum(v / length * float(model.weights[b, i]) for b, v in x.items()) + float(model.bias[i]) for i in range(len(model.langs))]
+    e = np.exp(np.array(z) / model.temperature - max(z) / model.temperature)
+    return int(e.argmax()), float(e.max() / e.sum())
+
+
+def test_prediction_equals_a_plain_one(spark):
+    df = corpus(spark)
+    model = langid.fit(df)
+    long = "abc vwx " * 20_000
+    for text in [r.text for r in df.limit(40).collect()] + [long, "É", "a", "mno pqİ xyz"]:
+        best, p = model.predict([text])
+        want, q = plain_predict(model, text)
+        assert best[0] == want and abs(p[0] - q) < 1e-4, text[:40]
+
+
+def test_very_long_texts_are_read_whole(spark):
+    rows = [(1, "vwxyz " * 50_000, None, "s"), (2, "12 " * 50_000 + "vwx", None, "s")]
+    df = corpus(spark).unionByName(spark.createDataFrame([(d + 5000, *r) for d, *r in rows], "doc_id bigint, text string, lang string, score string"))
+    got = {r.doc_id: r.lang_pred for r in langid.identify(df).collect()}
+    assert got[5001] == "yy" and got[5002] != "und"

@@ -53,3 +53,20 @@ def test_equals_brute_force(spark, prose):
 def test_odd_rows(odd_documents, no_documents):
     assert repeated_spans(odd_documents).count() == 9
     assert repeated_spans(no_documents).count() == 0
+
+
+def test_very_long_texts_and_a_passage_that_many_share(spark):
+    r = np.random.default_rng(4)
+    letters = lambda n: bytes(r.integers(97, 123, n, dtype=np.uint8)).decode()
+    passage, shared = letters(300), letters(400)
+    long = letters(100_000) + "0" + passage + "1" + letters(2_600_000) + "2" + passage + "3" + letters(50)
+    texts = [long, "4" + passage + "5", *(f"{letters(60)}6{i:03}{shared}{i:03}7{letters(60)}" for i in range(60)), *(letters(500) for _ in range(60))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in repeated_spans(df).collect()}
+    assert got[0][:3] == (len(long), 600, 2) and got[1][:3] == (302, 300, 1)
+    assert [got[i] for i in range(2, len(texts))] == brute(texts[2:])
+
+
+def test_odd_rows_values(odd_documents):
+    got = sorted((x.doc_id or 0, x.n_bytes, x.n_removed, x.n_spans) for x in repeated_spans(odd_documents).collect())
+    assert got == [(0, 23, 0, 0), (1, 0, 0, 0), (2, 0, 0, 0), (3, 23, 0, 0), (3, 23, 0, 0), (4, 5, 0, 0), (5, 50_004, 50_000, 1), (6, 25, 0, 0), (7, 25, 0, 0)]
