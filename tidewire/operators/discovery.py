@@ -253,3 +253,12 @@ def without_routing(rows: DataFrame) -> DataFrame:
 def narrowed(conference: Column) -> Column:
     """A conference as a snapshot names it."""
     return F.struct(conference["slug"].alias("slug"), conference["name"].alias("name"))
+
+
+def feed_sources(programs: DataFrame, feeds: DataFrame) -> DataFrame:
+    """The verified feeds that each program reads, with the host that may be asked."""
+    from tidewire.functions.urls import host_of
+    from tidewire.operators.joins import wildcard_join
+
+    found = wildcard_join(programs, feeds.where("status = 'verified'").drop("status"), ["school", "sport"])
+    return found.drop("any_school", "any_sport").withColumn("host", host_of(F.col("url")))

@@ -58,7 +58,7 @@ def conference_list(t: Tables) -> DataFrame:
 
 
 @query("SELECT n_nationkey AS school, n_name AS name, 2 AS version FROM nation", "S2")
-def optional_sources(t: Tables) -> DataFrame:
+def absent_sources(t: Tables) -> DataFrame:
     """A registry that is not there is empty; one that is there is read."""
     schema = T.StructType([T.StructField("school", T.IntegerType()), T.StructField("name", T.StringType())])
     path = _folder(t, "sources")

@@ -250,3 +250,17 @@ def manifest_document_violations(manifests: DataFrame, expected: DataFrame, now:
         "version": F.col("version") == 1, "canonical-time": F.col("generated_at").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{3}Z$") & at.isNotNull(),
         "not-in-future": age >= -5 / 60, "not-old": age <= 24, "exact-schools": F.array_sort("schools") == F.array_sort("wanted"),
     })
+
+
+def regular_file(directory: str, name: str, most: int = MAX_FILE) -> bytes:
+    """The bytes of an ordinary file of a real folder on the driver (R30): no links, not empty, within bounds, not elsewhere."""
+    import stat
+    from pathlib import Path
+
+    folder, path = Path(directory), Path(directory, name)
+    if folder.is_symlink() or not folder.is_dir() or path.resolve().parent != folder.resolve():
+        raise ValueError("not a folder of its own, or a file outside it")
+    told = path.lstat()
+    if not stat.S_ISREG(told.st_mode) or told.st_nlink != 1 or not 0 < told.st_size <= most:
+        raise ValueError("not an ordinary file within bounds")
+    return path.read_bytes()
