@@ -5,7 +5,7 @@ from tidewire.plans.registry import OPERATORS, ORACLES, QUERIES
 
 #: The survey's operators that the queries of ``parsed``, ``relational`` and ``scalars`` run.
 _RUN = {
-    "consumer_fresh": "S13 J8", "feed_items": "P1 P2", "feed_items_whole": "P1 P2", "future_filter": "F3", "feed_wildcard_join": "F4 K6", "recruit_headline_filter": "F6",
+    "consumer_fresh": "S13 J8", "feed_items_whole": "P1 P2", "future_filter": "F3", "feed_wildcard_join": "F4 K6", 
     "recruit_headline_whole": "F6", "cooldown_candidates": "F13", "asof_slot": "F18 K22 W6", "confirmed_receipts": "F19 K23", "news_upsert": "K7 A5 U1", "missing_expected": "K11 U5",
     "unexpected_or_duplicate": "K12", "set_equality_check": "K13 U6", "match_provider_school": "K14 C9", "longest_match_mentions": "K17 C2 O6 T15", "alias_unique_owner": "K18",
     "public_index": "J6 R29", "summarize_school": "A1 J9 X15", "scope_partition": "F1 F2", "previous_left_join": "K1", "provider_mapping_status": "K3", "provenance_counts": "K9 A17",

@@ -45,29 +45,16 @@ def navigation_kinds(t: Tables) -> DataFrame:
     return t.pages.select("page_id", link_kind(F.lit("Link"), url).alias("kind"))
 
 
-_FEED_TITLE = "regexp_replace(substring(text, 1, 120), '[^\\p{L}\\p{N} .,]', ' ', 'g')"
+_FEED_TITLE = "regexp_replace(text, '[^\\p{L}\\p{N} .,]', ' ', 'g')"
 
 
 @query(
     f"""SELECT doc_id, trim({_FEED_TITLE}) AS title, 'https://x.org/a/' || doc_id AS url, lang || ' & co' AS category,
         'https://img.org/' || doc_id || '.jpg' AS image_url FROM documents"""
 )
-def feed_items(t: Tables) -> DataFrame:
-    """Documents written as RSS and parsed again."""
-    return _feed_items(t, F.substring("text", 1, 120))
-
-
-@query(
-    f"""SELECT doc_id, trim({_FEED_TITLE.replace("substring(text, 1, 120)", "text")}) AS title, 'https://x.org/a/' || doc_id AS url, lang || ' & co' AS category,
-        'https://img.org/' || doc_id || '.jpg' AS image_url FROM documents"""
-)
 def feed_items_whole(t: Tables) -> DataFrame:
-    """As ``feed_items``, with whole texts."""
-    return _feed_items(t, F.col("text"))
-
-
-def _feed_items(t: Tables, words: Column) -> DataFrame:
-    title = F.regexp_replace(words, r"[^\p{L}\p{N} .,]", " ")
+    """Whole documents written as RSS and parsed again."""
+    title = F.regexp_replace("text", r"[^\p{L}\p{N} .,]", " ")
     item = F.concat(
         F.lit('<rss version="2.0" xmlns:media="http://search.yahoo.com/mrss/"><channel><title>F</title><item><title>'), title,
         F.lit("</title><link>https://x.org/a/"), F.col("doc_id").cast("string"), F.lit("</link><category>"), F.col("lang"), F.lit(" &amp; co</category>"),

@@ -206,27 +206,16 @@ def cooldown_candidates(t: Tables) -> DataFrame:
     return rows.where(needs_enrichment(F.expr(NOW))).select("event_id")
 
 
-_RECRUIT_TEXT = "CASE doc_id % 4 WHEN 0 THEN 'Team signs ' WHEN 1 THEN 'Coach adds five to roster ' WHEN 2 THEN 'No designs here ' ELSE '' END || substring(text, 1, 80)"
+_RECRUIT_TEXT = "CASE doc_id % 4 WHEN 0 THEN 'Team signs ' WHEN 1 THEN 'Coach adds five to roster ' WHEN 2 THEN 'No designs here ' ELSE '' END || text"
 
 
 @query(
     f"""SELECT doc_id FROM documents WHERE regexp_matches({_RECRUIT_TEXT},
     '(?i)\\b(?:signs?|signing|signees?|recruiting class|adds\\b.{{0,80}}\\bto roster|welcomes\\b.{{0,80}}\\bclass)\\b')"""
 )
-def recruit_headline_filter(t: Tables) -> DataFrame:
-    return t.documents.where(recruit_headline(F.expr(_RECRUIT_TEXT))).select("doc_id")
-
-
-_RECRUIT_WHOLE = _RECRUIT_TEXT.replace("substring(text, 1, 80)", "text")
-
-
-@query(
-    f"""SELECT doc_id FROM documents WHERE regexp_matches({_RECRUIT_WHOLE},
-    '(?i)\\b(?:signs?|signing|signees?|recruiting class|adds\\b.{{0,80}}\\bto roster|welcomes\\b.{{0,80}}\\bclass)\\b')"""
-)
 def recruit_headline_whole(t: Tables) -> DataFrame:
-    """As ``recruit_headline_filter``, over whole texts."""
-    return t.documents.where(recruit_headline(F.expr(_RECRUIT_WHOLE))).select("doc_id")
+    """Texts that announce recruits, read whole."""
+    return t.documents.where(recruit_headline(F.expr(_RECRUIT_TEXT))).select("doc_id")
 
 
 @query(
