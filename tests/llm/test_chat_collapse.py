@@ -37,3 +37,11 @@ def test_repeated_rows_ties_and_empty(spark):
     got = render_conversations(spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA + ", k int, sha string")).collect()
     assert {(r.conv_id, r.n_turns) for r in got} == {(1, 2)}
     assert render_conversations(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_null_turns_and_long_conversations(spark):
+    long = [(2, i, "user", f"say {i}") for i in range(3000)]
+    rows = [(1, None, "user", "first"), (1, 0, "user", "then"), (3, None, "user", "first"), *long, *((4, *r[1:]) for r in long[:2999])]
+    got = {r.conv_id: (r.n_turns, r.text) for r in render_conversations(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert set(got) == {1, 2} and got[1][1].index("first") < got[1][1].index("then")
+    assert got[2] == (3000, "".join(f"<|im_start|>user\nsay {i}<|im_end|>\n" for i in range(3000)))

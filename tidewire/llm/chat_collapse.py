@@ -59,8 +59,10 @@ def maximal_conversations(
     """Conversations that no other one repeats or continues: conv, n_turns, n_copies.
 
     Rows with a null conversation id belong to no conversation and are left out.
-    Turns with the same number are ordered by the hash of their role and text;
-    repeated rows count as turns of their own.  An empty table gives no rows.
+    A null turn comes before all numbered ones; turns with the same number are ordered by the hash of their role and
+    text; repeated rows count as turns of their own.  Of a conversation only hashes of its turns come together here, so a
+    very long one costs some bytes a turn; its texts come together when it is rendered.  Other columns are not read.
+    An empty table gives no rows.
     """
     prefixes = turn_prefixes(turns.where(F.col(conv).isNotNull()), conv, turn, role, text)
     last = Window.partitionBy("conv")
