@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidewire.llm import block_dedup, chat_collapse, decontam, html_extract, langid, omh, sp_backtrack, suffix_buckets, warc, wavelet
+from tidewire.llm import block_dedup, chat_collapse, decontam, html_extract, langid, line_dedup, omh, sp_backtrack, suffix_buckets, warc, wavelet
 from tidewire.llm._common import read_table
 
 
@@ -68,6 +68,11 @@ def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op13_bloom_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.drop_repeated_lines(read_table(spark, sf_dir, "documents"), min_docs=10, keep="none", min_chars=1)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_warc_round_trip": op1_warc_round_trip,
     "op2_block_exact_dedup": op2_block_exact_dedup,
@@ -79,6 +84,7 @@ QUERIES = {
     "op8_order_minhash": op8_order_minhash,
     "op9_benchmark_leaks": op9_benchmark_leaks,
     "op10_repeated_spans": op10_repeated_spans,
+    "op13_bloom_line_dedup": op13_bloom_line_dedup,
 }
 
 ORACLES = {
@@ -150,4 +156,20 @@ ORACLES = {
         FROM d JOIN s USING (k, shingle) JOIN total USING (item_id)
         GROUP BY doc_id, item_id, n_shingles HAVING count(*) >= 0.8 * n_shingles
     """,
+    "op13_bloom_line_dedup": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+        ), l AS (
+            SELECT row, doc_id, at, lines[at] AS line,
+                   translate(regexp_replace(lines[at], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS at FROM d)
+        ), common AS (
+            SELECT key FROM l WHERE key <> '' GROUP BY key HAVING count(DISTINCT row) >= 10
+        )
+        SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
+        FROM l LEFT JOIN common c ON l.key = c.key
+        GROUP BY row, doc_id
+    """,
 }
