@@ -160,15 +160,15 @@ ORACLES = {
         WITH d AS (
             SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
         ), l AS (
-            SELECT row, doc_id, at, lines[at] AS line,
-                   translate(regexp_replace(lines[at], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+            SELECT row, doc_id, line_no, lines[line_no] AS line,
+                   translate(regexp_replace(lines[line_no], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
-            FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS at FROM d)
+            FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS line_no FROM d)
         ), common AS (
             SELECT key FROM l WHERE key <> '' GROUP BY key HAVING count(DISTINCT row) >= 10
         )
         SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
-               sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
         FROM l LEFT JOIN common c ON l.key = c.key
         GROUP BY row, doc_id
     """,
