@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidewire.llm import block_dedup, chat_collapse, decontam, html_extract, langid, line_dedup, omh, sp_backtrack, suffix_buckets, warc, wavelet
+from tidewire.llm import block_dedup, chat_collapse, decontam, html_extract, langid, line_dedup, omh, ranked_search, sp_backtrack, suffix_buckets, warc, wavelet, whiten
 from tidewire.llm._common import read_table
 
 
@@ -68,6 +68,15 @@ def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = ranked_search.build_index(read_table(spark, sf_dir, "documents"))
+    return ranked_search.search(index, read_table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 def op13_bloom_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.drop_repeated_lines(read_table(spark, sf_dir, "documents"), min_docs=10, keep="none", min_chars=1)
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -84,6 +93,8 @@ QUERIES = {
     "op8_order_minhash": op8_order_minhash,
     "op9_benchmark_leaks": op9_benchmark_leaks,
     "op10_repeated_spans": op10_repeated_spans,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_whitening": op12_whitening,
     "op13_bloom_line_dedup": op13_bloom_line_dedup,
 }
 
@@ -156,6 +167,38 @@ ORACLES = {
         FROM d JOIN s USING (k, shingle) JOIN total USING (item_id)
         GROUP BY doc_id, item_id, n_shingles HAVING count(*) >= 0.8 * n_shingles
     """,
+    "op11_ranked_search": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS row, doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents
+        ), i AS (
+            SELECT row_number() OVER () AS item, item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM benchmark
+        ), tf AS (
+            SELECT row, doc_id, term, count(*) AS tf
+            FROM (SELECT row, doc_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d)
+            GROUP BY row, doc_id, term
+        ), n AS (
+            SELECT row, sum(tf)::BIGINT AS n FROM tf GROUP BY row
+        ), total AS (
+            SELECT count(*) AS docs, sum(n)::BIGINT AS len FROM n
+        ), m AS (
+            SELECT row, 100 - 90 + (90 * n * docs) // len AS m FROM n, total
+        ), w AS (
+            SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+            FROM tf, total GROUP BY term
+        ), q AS (
+            SELECT DISTINCT item, item_id, term
+            FROM (SELECT item, item_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM i)
+        ), s AS (
+            SELECT item, item_id, row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+            FROM q JOIN tf USING (term) JOIN m USING (row) JOIN w USING (term)
+            GROUP BY item, item_id, row, doc_id
+        )
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+        FROM s WHERE score > 0
+        QUALIFY row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) <= 10
+    """,
     "op13_bloom_line_dedup": r"""
         WITH d AS (
             SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
