@@ -49,19 +49,17 @@ def test_official_pages():
     text = graph({"storyHeadline": 1, "storyPath": 2}, "Head", "/p", {"title": 1, "published_at": 4, "permalink": 2, "visibility": 5}, "2026-01-01", "public",
                  {"title": 1, "published_at": 4, "permalink": 2, "visibility": 1}, {"sub_headline": 1, "url": 2, "sport": 1, "app_exclusive": 8}, True)
     assert [(s["extractor"], s["excluded"]) for s in page(parsers.official_stories, text)] == [("graph-story", False), ("graph-post", False), ("graph-card", True)]
-    roster = graph({"players": 1}, [2, 5], {"id": 3, "name": 4}, 7, "P", {"id": 3, "name": 4, "hidden": 6}, True)
-    assert [(p["id"], p["name"]) for p in page(parsers.official_roster, roster)] == [("7", "P")]
-    assert page(parsers.official_roster, graph({"players": 1}, [])) == []
-    with pytest.raises(parsers.SourceError):
-        page(parsers.official_roster, "<p>no list</p>")
-    games = graph({"games": 1}, [2, 6], {"date": 3, "location_indicator": 4, "result_status": 5}, "2026-02-01", "H", "W", {"date": 7}, "2026-01-01")
-    assert [(g["date"], g["location"], g["result"]) for g in page(parsers.official_schedule, games)] == [("2026-01-01", None, None), ("2026-02-01", "home", "Final - Win")]
 
 
 def test_links_and_entrance():
     text = '<ul><li>Men<ul><li><a href="/sports/golf">Golf</a></li><li><a href="/x.pdf">File</a></li></ul></li></ul><a href="https://y.org/">Off</a><a href="#top">Top</a>'
     assert page(parsers.links, text) == [{"label": "Golf", "url": "https://x.org/sports/golf", "section": "Men"}]
-    assert [x["url"] for x in page(parsers.entrance, '<a href="/main">Continue to the site</a><a href="/b">Other</a>')] == ["https://x.org/main"]
+    way_in = '<a href="/b">Other</a><a href="/index.aspx#top">Continue to Site</a>'
+    assert [x["url"] for x in page(parsers.entrance, way_in)] == ["https://x.org/index.aspx"]
+    assert page(parsers.entrance, way_in + '<a href="https://y.org/">y</a>' * 14) == []  # links of any kind count
+    for label, path in (("Continue to the site", "/"), ("Enter", "/"), ("Enter Website now", "/"), ("enter site", "/main"), ("enter site", "https://y.org/")):
+        assert page(parsers.entrance, f'<a href="{path}">{label}</a>') == []
+    assert [x["url"] for x in page(parsers.entrance, '<a href="https://www.x.org">ENTER  website</a>')] == ["https://www.x.org"]
     assert [x["loc"] for x in page(parsers.robots_sitemap, "User-agent: *\nSitemap: https://x.org/s.xml\n")] == ["https://x.org/s.xml"]
     assert [x["loc"] for x in page(parsers.sitemap, "<urlset xmlns='u'><url><loc> https://x.org/1 </loc></url></urlset>")] == ["https://x.org/1"]
     assert [x["cells"] for x in page(parsers.table_rows, "<table><tr><th>A<th>B</th></tr><tr><td> 1 </td><td>2</td></tr></table>")][-1] == ["1", "2"]

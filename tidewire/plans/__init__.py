@@ -1,6 +1,6 @@
 """Registered queries: the engine's operators over the driver's tables, with equivalent SQL."""
 
-from tidewire.plans import audited, landed, parsed, provided, refreshing, relational, routing, rules, scalars  # noqa: F401
+from tidewire.plans import audited, landed, parsed, provided, refreshing, relational, routing, rules, scalars, structured  # noqa: F401
 from tidewire.plans.registry import OPERATORS, ORACLES, QUERIES
 
 #: The survey's operators that the queries of ``parsed``, ``relational`` and ``scalars`` run.
@@ -15,7 +15,7 @@ _RUN = {
     "bounded_confirmations": "W5 O7", "section_carry_forward": "W7", "snapshot_violations": "X7", "violations": "X7", "clean_text": "T1", "clean_document": "T1", "cleaned_lengths": "T1",
     "safe_url": "T2", "public_value_scan": "T3", "stable_id": "T4", "canonical_url": "T6", "article_identity_url": "T7", "title_key": "T8", "slugify": "T10", "label_normalize": "T17",
     "url_host_route": "T23 T24 R11", "date_precision": "T27", "recruiting_cycle": "T31", "bounded_score": "T32", "age_hours": "T33", "clean_author": "T35", "html_title_text": "T36",
-    "markdown_cell": "T44", "recruiting_section_status": "C4", "slot_plan": "C7 R35", "refresh_state": "C10", "navigation_kinds": "R13", "page_links": "F14 R20 P26",
+    "markdown_cell": "T44", "recruiting_section_status": "C4", "slot_plan": "C7 R35", "refresh_state": "C10", "navigation_kinds": "R13", "page_links": "F14 R20",
     "order_violations": "X7", "asof_last_view": "K22",
 }
 OPERATORS |= {name: tuple(ops.split()) for name, ops in _RUN.items()}

@@ -225,7 +225,7 @@ _NAV = '<ul><li>Men<ul><li><a href="/sports/mens-golf">Golf</a></li><li><a href=
 @query(
     """SELECT n_nationkey AS school, n_nationkey * 10 + p AS program_id, home_url, news_url, roster_url FROM nation,
         (VALUES (4, 'https://a.edu/sports/mens-golf', NULL, 'https://a.edu/deeper'), (1, NULL, 'https://a.edu/sports/football/archives', NULL)) v(p, home_url, news_url, roster_url)""",
-    "P25 P26 P27 K16 W10 F14 R20",
+    "P25 P27 K16 W10 F14 R20",
 )
 def school_sources(t: Tables) -> DataFrame:
     """Navigation to the sources of each program, and the deeper page that overrides one."""
@@ -241,17 +241,6 @@ def _links_of_page(page: str, context: dict):
     return parsers.links(page, {"url": context["page"]})
 
 
-@query("SELECT n_nationkey, 'https://a.edu/main' AS url FROM nation WHERE n_nationkey % 2 = 0", "P28")
-def entrances(t: Tables) -> DataFrame:
-    text_ = F.when(F.col("n_nationkey") % 2 == 0, '<a href="/main">Continue to the site</a><a href="/b">Other</a>').otherwise('<a href="/b">Other</a>')
-    rows = parsers.parse(t.nation.select("n_nationkey", F.lit("https://a.edu/").alias("page"), text_.alias("text")), _entrance, parsers.LINK_ROW, ["n_nationkey", "page"])
-    return rows.where("pos >= 0").select("n_nationkey", "url")
-
-
-def _entrance(page: str, context: dict):
-    return parsers.entrance(page, {"url": context["page"]})
-
-
 @query("SELECT user_id, min(event_type) AS archive_url FROM events WHERE value > 180 GROUP BY user_id HAVING count(DISTINCT event_type) = 1", "P23")
 def declared_archives(t: Tables) -> DataFrame:
     return discovery.declared_archive(t.events.where("value > 180").select("user_id", F.col("event_type").alias("url")), ["user_id"])
@@ -321,49 +310,6 @@ def declared_news_sports(t: Tables) -> DataFrame:
     return found.select("c_custkey", F.array_join("labels", ",").alias("labels"))
 
 
-# ---- rosters and schedules
-
-
-@query(
-    """SELECT c_custkey, unnest(CASE WHEN c_custkey % 2 = 0 THEN ['7', '8'] ELSE [NULL] END) AS id, unnest(CASE WHEN c_custkey % 2 = 0 THEN ['Ann ' || c_name, 'B'] ELSE [c_name] END) AS name,
-        unnest(CASE WHEN c_custkey % 2 = 0 THEN ['QB', NULL] ELSE ['K'] END) AS position FROM customer""",
-    "P12",
-)
-def official_rosters(t: Tables) -> DataFrame:
-    """Players of a graph's list, or of static cards."""
-    graph = F.concat(
-        F.lit('<script id="__NUXT_DATA__">[{"players":1},[2,6,8],{"rosterPlayerId":3,"firstName":4,"lastName":5,"positionShort":10},7,"Ann","'), F.col("c_name"),
-        F.lit('",{"id":7,"name":9},8,{"id":3,"name":9,"hide":11},"B","QB",true]</script>'),
-    )
-    static = F.concat(
-        F.lit('<li class="sidearm-roster-player"><div class="sidearm-roster-player-name"><a href="/sports/golf/roster/1">'), F.col("c_name"),
-        F.lit('</a></div><span class="sidearm-roster-player-position-long-short">K</span></li>'),
-    )
-    pages = t.customer.select("c_custkey", F.when(F.col("c_custkey") % 2 == 0, graph).otherwise(static).alias("text"))
-    return parsers.parse(pages, parsers.official_roster, parsers.ROSTER_ROW, ["c_custkey"]).select("c_custkey", "id", "name", "position")
-
-
-@query(
-    """SELECT c_custkey, unnest(CASE WHEN c_custkey % 2 = 0 THEN [0, 1] ELSE [0] END) AS pos, unnest(CASE WHEN c_custkey % 2 = 0 THEN ['2026-01-01', '2026-02-01'] ELSE ['2026-03-01'] END) AS date,
-        unnest(CASE WHEN c_custkey % 2 = 0 THEN ['away', 'home'] ELSE ['home'] END) AS location, unnest(CASE WHEN c_custkey % 2 = 0 THEN [NULL, 'Final - Win'] ELSE ['W, 3-1'] END) AS result,
-        unnest(CASE WHEN c_custkey % 2 = 0 THEN ['Other', c_name] ELSE [c_name] END) AS opponent, unnest(CASE WHEN c_custkey % 2 = 0 THEN [NULL, NULL] ELSE ['3'] END) AS team_score FROM customer""",
-    "P13 O3",
-)
-def official_schedules(t: Tables) -> DataFrame:
-    """Games of a graph's list, or of static cards, by date."""
-    graph = F.concat(
-        F.lit('<script id="__NUXT_DATA__">[{"games":1},[2,7],{"date":3,"location_indicator":4,"result":5,"opponent":6},"2026-02-01","H",{"status":10},{"title":11},'
-              '{"date":8,"location_indicator":9,"opponent_name":12},"2026-01-01","A","W","'), F.col("c_name"), F.lit('","Other"]</script>'),
-    )
-    static = F.concat(
-        F.lit('<li class="sidearm-schedule-game sidearm-schedule-game-home"><time datetime="2026-03-01T19:00">x</time><div class="sidearm-schedule-game-opponent-name">'), F.col("c_name"),
-        F.lit('</div><div class="sidearm-schedule-game-result">W, 3-1</div></li>'),
-    )
-    pages = t.customer.select("c_custkey", F.when(F.col("c_custkey") % 2 == 0, graph).otherwise(static).alias("text"))
-    rows = parsers.parse(pages, parsers.official_schedule, parsers.GAME_ROW, ["c_custkey"])
-    return rows.select("c_custkey", "pos", "date", "location", "result", "opponent", "team_score")
-
-
 # ---- article pages
 
 

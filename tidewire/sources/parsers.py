@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 MAX_FEED, MAX_ITEMS = 2_000_000, 200
 MAX_DOCUMENT, MAX_RECORDS, MAX_SCALAR = 8_000_000, 1000, 4096
 MAX_NODES = 150_000
-MAX_LOCS, MAX_PAGES = 1000, 3000
+MAX_LOCS, MAX_PAGES, MAX_ANCHORS = 1000, 3000, 6000
 MAX_GAMES, MAX_PLAYERS, MAX_GRAPH = 400, 300, 100
 #: Documents that are held as Python objects at a time.
 PORTION = 16
@@ -248,101 +248,6 @@ def official_stories(text: str, context: dict) -> Iterator[dict]:
             yield story("graph-card", o.get("headline") or o["sub_headline"], o["url"], o.get("date"), excluded=bool(o.get("app_exclusive")))
 
 
-ROSTER_ROW = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "name", "position", "jersey", "year", "path", "gender")])
-GAME_ROW = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "date", "opponent", "location", "venue", "result", "team_score", "opponent_score", "path")])
-
-
-def _container(nodes: list, key: str) -> list[dict] | None:
-    """The objects of the list that the graph names ``key``; None if there is no such list."""
-    for node in nodes:
-        if isinstance(node, dict) and key in node and isinstance(rows := looked_up(nodes, node[key]), list):
-            if len(rows) > MAX_RECORDS:
-                raise SourceError("source-format-changed")
-            return [{k: looked_up(nodes, v) for k, v in r.items()} for i in rows if isinstance(r := looked_up(nodes, i), dict)]
-    return None
-
-
-def _first(row: dict, *names: str) -> str | None:
-    """The first of the fields that says something."""
-    return next((v for n in names if (v := _scalar(row.get(n))) is not None), None)
-
-
-def official_roster(text: str, context: dict) -> Iterator[dict]:
-    """Players of the graph's list, else of the static cards (P12); a page with neither is not a roster."""
-    rows = _container(index_graph(text) or [], "players")
-    if rows is None:
-        yield from _static_players(text)
-        return
-    for r in rows:
-        if r.get("hidden") is True or r.get("hide") is True:
-            continue
-        parts = [_first(r, "firstName", "first_name"), _first(r, "lastName", "last_name")]
-        yield {"id": _first(r, "rosterPlayerId", "id"), "name": _first(r, "name") or " ".join(x for x in parts if x) or None,
-               "position": _first(r, "positionShort", "positionLong", "position"), "jersey": _first(r, "jerseyNumber", "jersey_number"),
-               "year": _first(r, "academicYearLong", "academicYearShort", "academic_year"), "path": _first(r, "call_to_action", "url"),
-               "gender": _first(r, "gender")}
-
-
-def _static_players(text: str) -> Iterator[dict]:
-    from tidewire.sources.cards import tree_of
-
-    cards = tree_of(text).all(".sidearm-roster-player")
-    if not cards or len(cards) > MAX_RECORDS:
-        raise SourceError("source-format-changed")
-    said = lambda card, *names: (found.text() or None) if (found := card.first(*names)) is not None else None
-    for card in cards:
-        name = card.first(".sidearm-roster-player-name")
-        link = name.first("a") if name is not None else None
-        if link is None or not link.attrs.get("href"):
-            raise SourceError("source-format-changed")
-        yield {"id": None, "name": link.text(), "path": link.attrs["href"], "position": said(card, ".sidearm-roster-player-position-long-short"),
-               "jersey": said(card, ".sidearm-roster-player-jersey-number"), "year": said(card, ".sidearm-roster-player-academic-year"), "gender": None}
-
-
-# How sites abbreviate where a game is and how it ended.
-_WHERE = {"H": "home", "A": "away", "N": "neutral"}
-_ENDED = {"W": "Final - Win", "L": "Final - Loss", "T": "Final - Tie"}
-
-
-def official_schedule(text: str, context: dict) -> Iterator[dict]:
-    """Games of the graph's list, else of the static cards, by date."""
-    nodes = index_graph(text) or []
-    rows = _container(nodes, "games")
-    if rows is None:
-        yield from sorted(_static_games(text), key=lambda g: g["date"] or "")
-        return
-    inner = lambda r, key: {k: looked_up(nodes, v) for k, v in r[key].items()} if isinstance(r.get(key), dict) else {}
-    games = []
-    for r in rows:
-        result, opponent, facility = inner(r, "result"), inner(r, "opponent"), inner(r, "facility")
-        ended = _ENDED.get(result.get("status") or r.get("result_status"))
-        games.append(
-            {"id": _first(r, "id"), "date": _first(r, "date"), "opponent": _first(opponent, "title") or _first(r, "opponent_name"),
-             "location": _WHERE.get(r.get("location_indicator")), "venue": _first(facility, "title") or _first(r, "location"),
-             "result": _first(r, "noplay_text") or ended or _first(r, "game_state_display"),
-             "team_score": _first(result, "team_score") or _first(r, "team_score"), "opponent_score": _first(result, "opponent_score") or _first(r, "opponent_score"),
-             "path": _first(r, "game_center_link", "url")}
-        )
-    yield from sorted(games, key=lambda g: g["date"] or "")
-
-
-def _static_games(text: str) -> Iterator[dict]:
-    from tidewire.sources.cards import tree_of
-
-    cards = tree_of(text).all(".sidearm-schedule-game")
-    if not cards or len(cards) > MAX_RECORDS:
-        raise SourceError("source-format-changed")
-    said = lambda card, name: (found.text() or None) if (found := card.first(name)) is not None else None
-    for card in cards:
-        time = card.first("time[datetime]")
-        result = said(card, ".sidearm-schedule-game-result") or ""
-        scores = re.search(r"(?:^|[, ])(\d+(?:\.\d+)?)[-–](\d+(?:\.\d+)?)(?:\b|$)", result)
-        place = re.search(r"sidearm-schedule-(?:game-)?(home|away|neutral)\b", card.attrs.get("class") or "")
-        yield {"id": None, "date": time.attrs["datetime"][:10] if time is not None else None, "opponent": said(card, ".sidearm-schedule-game-opponent-name"),
-               "location": place[1] if place else None, "venue": said(card, ".sidearm-schedule-game-location"), "result": result or "Scheduled",
-               "team_score": scores[1] if scores else None, "opponent_score": scores[2] if scores else None, "path": None}
-
-
 # ---- providers' JSON, read by Spark itself
 
 PROVIDER_NEWS = (
@@ -458,7 +363,7 @@ class _Links(HTMLParser):
 
     def __init__(self, base: str):
         super().__init__()
-        self.base, self.href, self.label, self.found, self.open, self.heads = base, None, [], [], 0, []
+        self.base, self.href, self.label, self.found, self.anchors, self.heads = base, None, [], [], 0, []
 
     def handle_starttag(self, tag, attrs):
         if tag == "ul":
@@ -466,6 +371,7 @@ class _Links(HTMLParser):
             self.label = []
         if tag == "a":
             self.href, self.label = dict(attrs).get("href"), []
+            self.anchors += self.href is not None
         elif tag == "li":
             self.label = []
 
@@ -483,22 +389,39 @@ class _Links(HTMLParser):
 
 
 def links(text: str, context: dict) -> Iterator[dict]:
-    """Links of a page on its own host, without files and mere fragments (P25, P26, F14, R20).  context: url."""
+    """Links among the first ``MAX_ANCHORS`` anchors of a page, on its own host, without files and mere fragments.
+
+    context: url.  Menus that a page declares as JSON are read by ``sources.navigation`` (P26).
+    """
     parser = _Links(context["url"])
     parser.feed(text)
     host = (urlsplit(context["url"]).hostname or "").removeprefix("www.")
-    for link in parser.found[:6000]:
+    for link in parser.found[:MAX_ANCHORS]:
         parts = urlsplit(link["url"])
         if parts.scheme == "https" and (parts.hostname or "").removeprefix("www.") == host and not re.search(DENIED_FILES, parts.path):
             if not (parts.fragment and link["url"].split("#")[0] == context["url"].split("#")[0]):
                 yield link
 
 
+# A splash page's most anchors, what its way in says, and where it leads.
+MAX_SPLASH = 15
+_WAY_IN = re.compile(r"(?:continue to (?:home|site)|enter (?:site|website))", re.I)
+_HOME = ("", "/", "/index.aspx")
+
+
 def entrance(text: str, context: dict) -> Iterator[dict]:
-    """The link by which a splash page with few links lets visitors in."""
-    found = list(links(text, context))
-    if len(found) <= 15:
-        yield from [x for x in found if re.search(r"(?i)^(?:continue|enter)\b.*\b(?:site|website)\b|^continue$|^enter$", x["label"])][:1]
+    """The first link by which a splash page lets visitors in (P28): to the home of its own site, by one of the known labels.
+
+    A page with more than ``MAX_SPLASH`` anchors of whatever kind is no splash page.  context: url.
+    """
+    parser = _Links(context["url"])
+    parser.feed(text)
+    if parser.anchors > MAX_SPLASH:
+        return
+    for link in links(text, context):
+        if _WAY_IN.fullmatch(link["label"][:80]) and urlsplit(link["url"]).path in _HOME:
+            yield link | {"url": link["url"].split("#")[0]}
+            return
 
 
 LOC_ROW = T.StructType([T.StructField("loc", T.StringType())])
