@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 
+from tidewire.llm._common import Scratch
 from tidewire.llm.suffix_buckets import _sliding_argmin, repeated_spans
 
 
@@ -70,3 +71,32 @@ def test_very_long_texts_and_a_passage_that_many_share(spark):
 def test_odd_rows_values(odd_documents):
     got = sorted((x.doc_id or 0, x.n_bytes, x.n_removed, x.n_spans) for x in repeated_spans(odd_documents).collect())
     assert got == [(0, 23, 0, 0), (1, 0, 0, 0), (2, 0, 0, 0), (3, 23, 0, 0), (3, 23, 0, 0), (4, 5, 0, 0), (5, 50_004, 50_000, 1), (6, 25, 0, 0), (7, 25, 0, 0)]
+
+
+def test_other_splits_of_the_input_midway(spark, prose, tmp_path, monkeypatch):
+    """A lost executor changes how many splits a scan has; the numbers of rows must not follow."""
+    passage = prose(60)
+    texts = [prose(40) + (" " + passage if i % 3 == 0 else "") + f" {i}" for i in range(300)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows.repartition(12).write.parquet(f"{tmp_path}/documents")
+    settings = {"spark.sql.leafNodeDefaultParallelism": "1", "spark.sql.files.minPartitionNum": "1", "spark.sql.files.openCostInBytes": "64m"}
+    real, saved = Scratch.save, []
+
+    def save(self, df, name, *how, **more):
+        out = real(self, df, name, *how, **more)
+        if not saved:
+            for k, v in settings.items():
+                spark.conf.set(k, v)
+        saved.append(name)
+        return out
+
+    monkeypatch.setattr(Scratch, "save", save)
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        spark.conf.set("spark.sql.files.minPartitionNum", "12")
+        found = repeated_spans(spark.read.parquet(f"{tmp_path}/documents")).collect()
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in found}
+    assert len(saved) > 5 and got == dict(enumerate(brute(texts)))

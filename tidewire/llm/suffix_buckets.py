@@ -17,7 +17,8 @@ into buckets, and the buckets are refined until what shares a bucket shares ``le
   settled hull is carried on once, as a string known to be repeated, and only as long as its
   bucket holds undecided rows.
 
-Texts are scanned twice for the first buckets and shuffled once, to get the texts of
+Rows are numbered in a table that is saved first, so all steps agree on them however often executors come and go.  Texts are
+scanned twice for the first buckets and shuffled once, to get the texts of
 documents with undecided rows together with those rows; everything else moves hashes.  Hashes of
 hulls have 128 bits.  Counts are pre-aggregated, and joins are left to adaptive
 execution to split, so a passage that a third of all documents share stays spread out.
@@ -220,9 +221,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     scratch = Scratch(spark, "buckets")
     id_type = docs.schema[id_col].dataType.simpleString()
     given = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    if "Exchange" in given._jdf.queryExecution().executedPlan().toString():
-        given = scratch.save(given, "given", "snappy")  # so that numbers of rows are the same in every scan
-    given = given.withColumn("uid", F.monotonically_increasing_id())
+    # rows are numbered once, in a saved table: a later scan of the input may be cut otherwise, as when executors are lost
+    given = scratch.save(given.withColumn("uid", F.monotonically_increasing_id()), "given", "snappy")
     sha = F.sha2(F.col("text").cast("binary"), 256)
     light = scratch.save(
         given.select("uid", "id", sha.alias("sha"), F.octet_length("text").cast("bigint").alias("n_bytes")), "light"
@@ -247,6 +247,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = scratch.save(
         windows.join(nodes.select("uid").distinct(), "uid", "left_semi"), "texts", "snappy"
     )
+    scratch.keep("light", "copied", "nodes_0", "texts")
     repeated = None
     for level, width in enumerate(WIDTHS):
         listed = nodes.groupBy("uid").agg(F.collect_list(F.struct("place", "known")).alias("rows"))
@@ -261,6 +262,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         repeated = found if repeated is None else repeated.unionByName(found)
         if level + 1 < len(WIDTHS):
             nodes = scratch.save(nodes, f"nodes_{level + 1}")
+        scratch.drop(f"nodes_{level}")
+        scratch.drop(f"parts_{level}")
 
     places = repeated.groupBy("uid").agg(F.collect_list("place").alias("places"))
     partly = texts.join(places, "uid").select("uid", "text", "places").mapInArrow(
