@@ -1,4 +1,5 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,17 +11,35 @@ from tidewire.streaming.upsert import start, windowed_counts
 T0 = dt.datetime(2026, 1, 1)
 
 
+def files_of(root):
+    return sum(1 for _ in Path(root.removeprefix("file://"), "versions").rglob("*.parquet"))
+
+
 def test_versions_and_conflicts(spark, tmp_path):
     root = f"file://{tmp_path}/p"
-    a = spark.createDataFrame([("c", 1), ("d", 2)], "conference string, n int")
+    a = spark.createDataFrame([("c", 1), ("d", 2), (None, 3), ("c d/é=", 4)], "conference string, n int")
+    rows = lambda v=None: sorted((str(r.conference), r.n) for r in publish.read_version(spark, root, "t", v).collect())
     first = publish.publish(spark, root, {"t": a}, None)
-    assert publish.read_version(spark, root, "t").count() == 2
-    assert publish.publish(spark, root, {"t": a.orderBy("n", ascending=False)}, first) == first
-    second = publish.publish(spark, root, {"t": a.where("n = 1")}, first)
-    assert second != first and publish.read_version(spark, root, "t").count() == 1 and publish.read_version(spark, root, "t", first).count() == 2
+    assert rows() == [("None", 3), ("c", 1), ("c d/é=", 4), ("d", 2)]
+    files = files_of(root)
+    assert publish.publish(spark, root, {"t": a.orderBy("n", ascending=False)}, first) == first and files_of(root) == files
+    # one conference is published: the others stay, and only its part is written
+    second = publish.publish(spark, root, {"t": spark.createDataFrame([("c", 5), ("d", 2)], "conference string, n int")}, first)
+    assert second != first and rows() == [("None", 3), ("c", 5), ("c d/é=", 4), ("d", 2)] and rows(first)[1] == ("c", 1)
+    assert files_of(root) == files + 1
+    assert publish.publish(spark, root, {"t": a.where("n = 2")}, second) == second
+    assert publish.publish(spark, root, {"t": a.limit(0)}, second) == second
     with pytest.raises(publish.Conflict):
         publish.publish(spark, root, {"t": a}, first)
-    store = publish.Store(spark, root)
+    third = publish.publish(spark, root, {"u": a.drop("conference").limit(0)}, second, without={"t": ["c", None]})
+    assert rows() == [("c d/é=", 4), ("d", 2)] and rows(second)[1] == ("c", 5)
+    assert publish.read_version(spark, root, "u").columns == ["n"] and publish.read_version(spark, root, "u").count() == 0
+    publish.publish(spark, root, {"u": a.drop("conference"), "v": a.limit(0)}, third)
+    assert publish.read_version(spark, root, "u").count() == 4 and publish.read_version(spark, root, "v").count() == 0
+
+
+def test_lock(spark, tmp_path):
+    store = publish.Store(spark, f"file://{tmp_path}/p")
     with publish.Lock(store), pytest.raises(publish.Conflict), publish.Lock(store):
         pass
     with publish.Lock(store):

@@ -10,11 +10,10 @@ from pyspark.sql import types as T
 
 from tidewire import publish
 from tidewire.functions import text
-from tidewire.operators import joins, state
+from tidewire.operators import joins, packing, state
 from tidewire.plans.registry import Tables, pick, pick_sql, query
-from tidewire.schemas import SNAPSHOT
 from tidewire.scratch import shared_root
-from tidewire.sources import catalog, documents, parsers
+from tidewire.sources import catalog, documents, parsers, snapshot_files
 
 
 def _folder(t: Tables, name: str) -> str:
@@ -82,19 +81,49 @@ def registries(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT lower(n_name) AS school, 'golf' AS sport, CAST(p AS INTEGER) AS pos, n_name || ' story ' || p AS title FROM nation, range(2) r(p)""",
+    """SELECT lower(n_name) AS school, 'golf' AS sport, CAST(row_number() OVER (PARTITION BY n_nationkey ORDER BY c_custkey) - 1 AS INTEGER) AS pos, c_name || ' story' AS title
+    FROM nation JOIN customer ON n_nationkey = c_nationkey WHERE c_acctbal > 0""",
     "S6 X1 X2 K1",
 )
 def previous_snapshots(t: Tables) -> DataFrame:
-    """Snapshots written per conference and read as those of the run before."""
-    news = lambda i: F.struct(F.lit(str(i)).alias("id"), F.concat(F.col("n_name"), F.lit(f" story {i}")).alias("title"))
-    program = F.struct(F.struct(F.array(news(0), news(1)).alias("records")).alias("news"))
+    """A snapshot per nation, written as a file of its own and read as those of the run before: stories of its customers."""
+    rows = _snapshots(t)
+    root = _folder(t, "snapshots")
+    snapshot_files.register(t.spark)
+    rows.write.format(snapshot_files.FORMAT).mode("append").save(root)
+    return catalog.snapshot_articles(catalog.snapshots(t.spark, root)).select("school", "sport", "pos", "title")
+
+
+def _snapshots(t: Tables) -> DataFrame:
+    """conference, school, body: a snapshot per nation, of its region."""
+    story = F.struct(F.col("c_custkey").alias("k"), F.struct(F.col("c_custkey").cast("string").alias("id"), F.concat("c_name", F.lit(" story")).alias("title")).alias("r"))
+    stories = t.customer.where("c_acctbal > 0").groupBy("c_nationkey").agg(F.transform(F.array_sort(F.collect_list(story)), lambda x: x["r"]).alias("records"))
+    program = F.struct(F.struct("records").alias("news"))
     snapshot = F.struct(F.lit(1).alias("schemaVersion"), F.struct(F.lower("n_name").alias("slug")).alias("school"), F.create_map(F.lit("golf"), program).alias("sports"))
-    rows = t.nation.select(F.concat(F.lit("r"), F.col("n_regionkey").cast("string")).alias("conference"), F.col("n_name").alias("school"), F.to_json(snapshot).alias("body"))
+    rows = t.nation.join(stories, F.expr("n_nationkey = c_nationkey"))
+    return rows.select(F.concat(F.lit("r"), F.col("n_regionkey").cast("string")).alias("conference"), _slug(F.col("n_name")).alias("school"), F.to_json(snapshot).alias("body"))
+
+
+@query(
+    """WITH s AS (SELECT n_regionkey, lower(n_name) AS slug,
+            '{"schemaVersion":1,"school":{"slug":"' || lower(n_name) || '"},"sports":{"golf":{"news":{"records":['
+            || string_agg('{"id":"' || c_custkey || '","title":"' || c_name || ' story"}', ',' ORDER BY c_custkey) || ']}}}}' AS body
+        FROM nation JOIN customer ON n_nationkey = c_nationkey WHERE c_acctbal > 0 GROUP BY n_nationkey, n_regionkey, n_name)
+    SELECT 'r' || n_regionkey AS conference, regexp_replace(slug, '[^a-z0-9]+', '-', 'g') AS slug, 'schools/' || regexp_replace(slug, '[^a-z0-9]+', '-', 'g') || '.json' AS path,
+        sha256(body) AS sha256, strlen(body) AS bytes FROM s""",
+    "X2 X3",
+)
+def written_manifests(t: Tables) -> DataFrame:
+    """The manifests of written snapshots, whose digests are those of the files at their paths."""
     root = _folder(t, "snapshots")
-    catalog.write_snapshots(rows, root, [r["conference"] for r in rows.select("conference").distinct().collect()])
-    read = t.spark.read.schema(SNAPSHOT).json(f"{root}/v1/conferences/*/schools/*.json")
-    return catalog.snapshot_articles(read).select("school", "sport", "pos", "title")
+    snapshot_files.register(t.spark)
+    _snapshots(t).write.format(snapshot_files.FORMAT).mode("append").save(root)
+    told = t.spark.read.option("multiLine", True).schema("conference struct<slug: string>, schools array<struct<slug: string, path: string, sha256: string, bytes: bigint>>")
+    listed = told.json(f"{root}/v1/conferences/*/manifest.json").select(F.col("conference.slug").alias("conference"), F.inline("schools"))
+    files = t.spark.read.format("binaryFile").load(f"{root}/v1/conferences/*/schools/*.json")
+    place = F.regexp_extract("path", "/conferences/([^/]+)/", 1), F.regexp_extract("path", "(schools/[^/]+)$", 1)
+    there = files.select(place[0].alias("conference"), place[1].alias("path"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
+    return listed.join(there, ["conference", "path", "sha256", "bytes"]).select("conference", "slug", "path", "sha256", "bytes")
 
 
 # ---- responses
@@ -206,20 +235,73 @@ def feed_checks(t: Tables) -> DataFrame:
 # ---- publication
 
 
-@query("SELECT n_nationkey, n_name, 'first' AS version FROM nation UNION ALL SELECT n_nationkey, n_name, 'current' FROM nation WHERE n_nationkey % 2 = 0", "S12 X5 R33")
+@query(
+    """SELECT c_custkey, c_acctbal, 'first' AS version FROM customer
+    UNION ALL SELECT c_custkey, CASE WHEN n_regionkey = 2 THEN c_acctbal + 1 ELSE c_acctbal END, 'current' FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey <> 3""",
+    "S12 X5 R33",
+)
 def pinned_versions(t: Tables) -> DataFrame:
-    """Two publications: the pinned first one and the current one; a publisher with an old parent has failed in between."""
+    """The pinned first version, and the current one, in which one conference is published anew and another is taken out.
+
+    All others stay as they were; a publisher with an old parent has failed in between.
+    """
     root = _folder(t, "published")
-    rows = t.nation.select("n_nationkey", "n_name", F.col("n_regionkey").alias("conference"))
+    rows = t.customer.join(t.nation, F.expr("c_nationkey = n_nationkey")).select("c_custkey", "c_acctbal", F.col("n_regionkey").alias("conference"))
     first = publish.publish(t.spark, root, {"schools": rows}, None)
-    publish.publish(t.spark, root, {"schools": rows.where("n_nationkey % 2 = 0")}, first)
+    changed = rows.where("conference = 2").withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    publish.publish(t.spark, root, {"schools": changed}, first, without={"schools": [3]})
     try:
         publish.publish(t.spark, root, {"schools": rows.limit(0)}, first)
     except publish.Conflict:
         pass
     told = publish.read_version(t.spark, root, "schools", first).withColumn("version", F.lit("first"))
     now = publish.read_version(t.spark, root, "schools").withColumn("version", F.lit("current"))
-    return told.unionByName(now).select("n_nationkey", "n_name", "version")
+    return told.unionByName(now).select("c_custkey", "c_acctbal", "version")
+
+
+@query(
+    """SELECT n_regionkey AS conference, version, n_regionkey = 1 AND version = 2 AS written_anew, count(*) AS schools
+    FROM nation, (VALUES (1), (2)) v(version) GROUP BY ALL""",
+    "X5",
+)
+def version_parts(t: Tables) -> DataFrame:
+    """Which parts of a second version it has written itself: those of the only conference whose rows are others."""
+    root = _folder(t, "published")
+    rows = t.nation.select("n_nationkey", "n_name", F.col("n_regionkey").alias("conference"))
+    first = publish.publish(t.spark, root, {"schools": rows}, None)
+    second = publish.publish(t.spark, root, {"schools": rows.withColumn("n_name", F.when(F.col("conference") == 1, F.lower("n_name")).otherwise(F.col("n_name")))}, first)
+    parts = publish.parts_of(publish.Store(t.spark, root), second)["schools"]
+    own = [int(p["value"]) for p in parts.values() if second in p["path"]]
+    told = [publish.read_version(t.spark, root, "schools", v).withColumn("version", F.lit(i)) for i, v in ((1, first), (2, second))]
+    counts = told[0].unionByName(told[1]).groupBy("conference", "version").agg(F.count("*").alias("schools"))
+    return counts.withColumn("written_anew", F.col("conference").isin(own) & (F.col("version") == 2))
+
+
+@query(
+    """WITH RECURSIVE f AS (
+        SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS i, CASE WHEN strlen(coalesce(text, '')) > 16000 THEN 0 ELSE strlen(coalesce(text, '')) END AS size,
+               strlen(coalesce(text, '')) > 16000 AS alone FROM documents
+    ), p AS (SELECT *, sum(size) OVER (ORDER BY i) AS total FROM f), start AS (
+        SELECT i, total - size AS base, 0 AS chunk FROM p WHERE i = 1
+        UNION ALL
+        SELECT p.i, p.total - p.size, chunk + 1 FROM start s JOIN p ON p.i = (SELECT min(q.i) FROM p q WHERE q.i > s.i AND (q.alone OR q.total > s.base + 16000))
+    )
+    SELECT doc_id, (SELECT max(chunk) FROM start s WHERE s.i <= p.i) AS chunk FROM p""",
+    "W11",
+)
+def upload_chunks(t: Tables) -> DataFrame:
+    """Texts packed in their order into requests of 16,000 bytes; a larger one is sent by itself."""
+    rows = t.documents.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).alias("size"))
+    return packing.greedy_chunks(rows, ["doc_id"], "size", 16_000).select("doc_id", "chunk")
+
+
+@query(
+    "SELECT o_orderkey, CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) OVER (ORDER BY o_orderkey) AS BIGINT) AS running, sum(CAST(floor(o_totalprice) AS BIGINT)) OVER (ORDER BY o_orderkey) <= 134217728 AS fits FROM orders",
+    "A20",
+)
+def bundle_sizes(t: Tables) -> DataFrame:
+    """Bytes up to each file of a bundle, and whether it still fits."""
+    return publish.running_size(t.orders.select("o_orderkey", F.floor("o_totalprice").alias("bytes")), "o_orderkey").drop("bytes")
 
 
 @query(
@@ -265,12 +347,19 @@ def manifest_documents(t: Tables) -> DataFrame:
     return publish.manifest_document_violations(manifests, rows.select(F.col("r_name").alias("conference"), "schools"), F.expr("TIMESTAMP '2024-01-31 00:00:00'"))
 
 
-@query("SELECT n_name, unnest(['| Customer | n |', '|---|---|']) AS line FROM nation WHERE n_nationkey = 0", "X10 T44")
+@query(
+    """WITH c AS (SELECT n_name, count(*) AS n, count(*) FILTER (c_acctbal < 0) AS below FROM nation JOIN customer ON n_nationkey = c_nationkey GROUP BY n_name),
+    l AS (SELECT row_number() OVER (ORDER BY n_name) + 1 AS line, '| ' || n_name || ' | ' || n || ' | ' || CASE WHEN below > 0 THEN below || ' \\| below' ELSE '' END || ' |' AS text FROM c)
+    SELECT CAST(line AS INTEGER) AS line, text FROM l UNION ALL VALUES (0, '| School | n | note |'), (1, '|---|---|---|')""",
+    "X10 T44",
+)
 def markdown_report(t: Tables) -> DataFrame:
-    """The head of a report's table; its rows are the small report's."""
-    told = publish.markdown(t.nation.where("n_nationkey = 0").select(F.col("n_name").alias("Customer"), F.lit(1).alias("n")), ["Customer", "n"])
-    lines = told.splitlines()[:2]
-    return t.nation.where("n_nationkey = 0").select("n_name", F.explode(F.array(*map(F.lit, lines))).alias("line"))
+    """A report of nations as its lines, with cells that must be escaped."""
+    below = F.count_if(F.col("c_acctbal") < 0)
+    rows = t.nation.join(t.customer, F.expr("n_nationkey = c_nationkey")).groupBy(F.col("n_name").alias("School")).agg(
+        F.count("*").alias("n"), F.when(below > 0, F.concat(below.cast("string"), F.lit(" | below"))).alias("note")
+    )
+    return publish.markdown_lines(rows, ["School", "n", "note"], ["School"])
 
 
 @query("SELECT n_nationkey, n_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA'", "C6 R34 F1 F2")

@@ -122,44 +122,82 @@ def published_batch(store: Store) -> int:
 
 
 def publish(
-    spark: SparkSession, root: str, tables: dict[str, DataFrame], parent: str | None, partition: str = "conference", batch: int | None = None
-) -> str:
-    """Write tables as a new version and point to it, if ``parent`` is still the current one.
+    spark: SparkSession, root: str, tables: dict[str, DataFrame], parent: str | None, partition: str = "conference", batch: int | None = None,
+    without: dict[str, list] | None = None,
+) -> str:
+    """Publish tables on top of the version ``parent`` and point to the result, if ``parent`` is still the current one.
+
+    A version is a list of parts, each written by it or by an earlier one: a part is the rows of a table with one value of
+    ``partition``, or the whole table if it lacks that column.  Parts that are not published stay as they are, those in ``without`` (the
+    values by table) go, and a part with the rows it has had is not written anew.  If nothing is left to change there is no new version.
 
     Pointers are numbered files that are created exclusively, so of two publishers with the same parent
-    one fails with ``Conflict`` and nothing of its version is ever read.  Tables with the parent's rows and
-    no others leave the version as it is.
+    one fails with ``Conflict`` and nothing of its version is ever read.
     """
     store = Store(spark, root)
     n = _pointer(store)
     if current_version(store) != parent:
         raise Conflict(f"the current version is not {parent}")
     version = uuid.uuid4().hex
-    digests = {}
+    old = parts_of(store, parent) if parent else {}
+    parts = {name: dict(told) for name, told in old.items()}
     for name, df in tables.items():
-        path = f"{root}/versions/{version}/{name}"
-        writer = df.write.partitionBy(partition) if partition in df.columns else df.write
-        writer.parquet(path)
-        digests[name] = table_digest(spark.read.parquet(path))
-    if parent is not None and batch is None and json.loads(store.read(f"pointers/{n:08d}")).get("digests") == digests:
+        path = f"versions/{version}/{name}"
+        whole = partition not in df.columns
+        value = F.lit(None).cast("string") if whole else F.col(partition).cast("string")
+        key = F.lit(WHOLE) if whole else F.concat(F.lit("p"), F.sha2(F.coalesce(F.concat(F.lit("="), value), F.lit("")), 256))
+        df.withColumn(_PART, key).write.partitionBy(_PART).parquet(f"{root}/{path}")
+        kept = parts.setdefault(name, {})
+        if store.fs.globStatus(store._at(f"{path}/*/*.parquet")):
+            kept.pop(WHOLE, None)
+            written = _digests(spark.read.parquet(f"{root}/{path}"), df.columns, None if whole else partition)
+        elif whole or not kept:  # a table without rows still has its columns
+            df.limit(0).write.parquet(f"{root}/{path}/{_PART}={WHOLE}")
+            written = [{"part": WHOLE, "value": None, "digest": ["0"]}]
+        else:
+            written = []
+        for part in written:
+            at = f"{path}/{_PART}={part['part']}"
+            if old.get(name, {}).get(part["part"], {}).get("digest") == part["digest"]:
+                kept[part["part"]] = old[name][part["part"]]
+                store.delete(at)
+            else:
+                kept[part["part"]] = {"value": part["value"], "path": at, "digest": part["digest"]}
+    for name, values in (without or {}).items():
+        gone = {None if v is None else str(v) for v in values}
+        parts[name] = {k: p for k, p in parts[name].items() if p["value"] not in gone}
+    if parent is not None and batch is None and parts == old:
         store.delete(f"versions/{version}")
         return parent
-    if not store.create(f"pointers/{n + 1:08d}", json.dumps({"version": version, "parent": parent, "digests": digests, "batch": batch})):
+    store.create(f"versions/{version}/parts.json", json.dumps(parts))
+    if not store.create(f"pointers/{n + 1:08d}", json.dumps({"version": version, "parent": parent, "batch": batch})):
         raise Conflict("another publisher was faster")
     return version
 
 
-def table_digest(df: DataFrame) -> list[str]:
-    """A digest of a table's rows that does not depend on their order: count and two sums of hashes."""
-    columns = [F.col(c) for c in sorted(df.columns)]
-    sums = [F.sum(F.xxhash64(*columns, F.lit(i)).cast("decimal(38,0)")) for i in (0, 1)]
-    return [str(x) for x in df.agg(F.count("*"), *sums).first()]
+#: The folder column of a part, and the part that is a whole table.
+_PART, WHOLE = "__part", "whole"
+
+
+def parts_of(store: Store, version: str) -> dict[str, dict[str, dict]]:
+    """The parts of a version by table: value, path below the root, digest.  There are as many as values of the partition column."""
+    return json.loads(store.read(f"versions/{version}/parts.json"))
+
+
+def _digests(written: DataFrame, columns: list[str], partition: str | None) -> list[dict]:
+    """A digest of each part's rows that does not depend on their order: count and two sums of hashes."""
+    hashed = [F.col(f"`{c}`") for c in sorted(columns)]
+    sums = [F.sum(F.xxhash64(*hashed, F.lit(i)).cast("decimal(38,0)")).alias(f"s{i}") for i in (0, 1)]
+    value = F.lit(None).cast("string") if partition is None else F.first(F.col(partition).cast("string"))
+    rows = written.groupBy(_PART).agg(F.count("*").alias("n"), *sums, value.alias("value")).collect()
+    return [{"part": r[_PART], "value": r["value"], "digest": [str(r["n"]), str(r["s0"]), str(r["s1"])]} for r in rows]
 
 
 def read_version(spark: SparkSession, root: str, name: str, version: str | None = None) -> DataFrame:
-    """A table of a pinned version, or of the current one."""
-    version = version or current_version(Store(spark, root))
-    return spark.read.parquet(f"{root}/versions/{version}/{name}")
+    """A table of a pinned version, or of the current one (S12): one scan of its parts, whichever versions wrote them."""
+    store = Store(spark, root)
+    parts = parts_of(store, version or current_version(store))[name]
+    return spark.read.parquet(*(f"{root}/{p['path']}" for p in parts.values()))
 
 
 def consumer_view(articles: DataFrame, states: DataFrame, now: Column, keys: list[str], max_age_hours: float = 12) -> DataFrame:
@@ -170,13 +208,28 @@ def consumer_view(articles: DataFrame, states: DataFrame, now: Column, keys: lis
     return articles.join(states.select(*keys, fresh.alias("fresh")), keys, "left")
 
 
-def markdown(rows: DataFrame, columns: list[str]) -> str:
-    """A table of a small report."""
+def markdown_lines(rows: DataFrame, columns: list[str], order: list[str]) -> DataFrame:
+    """A table as the lines of a report (X10): line (from 0, the two of the head first), text."""
     from tidewire.functions.text import cell
+    from tidewire.operators.packing import running
+
+    texts = [cell(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in columns]
+    text = F.concat(F.lit("| "), F.concat_ws(" | ", *texts), F.lit(" |"))
+    body = running(rows.select(*order, text.alias("text")), order, {"line": F.lit(1)}).select((F.col("line") + 1).cast("int").alias("line"), "text")
+    head = rows.sparkSession.createDataFrame([(0, f"| {' | '.join(columns)} |"), (1, f"|{'---|' * len(columns)}")], "line int, text string")
+    return head.unionByName(body)
+
+
+#: A report is for people: the driver makes one of this many rows at most.
+MAX_REPORT = 10_000
+
 
-    lines = rows.select(*(cell(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c in columns)).collect()
-    head = [f"| {' | '.join(columns)} |", f"|{'---|' * len(columns)}"]
-    return "\n".join([*head, *(f"| {' | '.join(r)} |" for r in lines)]) + "\n"
+def markdown(rows: DataFrame, columns: list[str], order: list[str]) -> str:
+    """The report as one text; a larger one is written as its lines."""
+    lines = markdown_lines(rows, columns, order).orderBy("line").limit(MAX_REPORT + 1).collect()
+    if len(lines) > MAX_REPORT:
+        raise ValueError("too many rows for one report")
+    return "".join(r["text"] + "\n" for r in lines)
 
 
 def scope(conference: str | None = None, school: str | None = None, sport: str | None = None, everything: bool = False) -> Column:
@@ -229,10 +282,10 @@ def public_index(schools: DataFrame, programs: DataFrame) -> DataFrame:
 
 
 def running_size(files: DataFrame, order: str, most: int = MAX_BUNDLE) -> DataFrame:
-    """Files with the bytes up to each and whether a bundle holds that much (A20).  A bundle has a file per school."""
-    from pyspark.sql import Window
+    """Files with the bytes up to each and whether a bundle holds that much."""
+    from tidewire.operators.packing import running
 
-    return files.withColumn("running", F.sum("bytes").over(Window.orderBy(order))).withColumn("fits", F.col("running") <= most)
+    return running(files, [order], {"running": F.col("bytes")}).withColumn("fits", F.col("running") <= most)
 
 
 def manifest_document_violations(manifests: DataFrame, expected: DataFrame, now: Column) -> DataFrame:

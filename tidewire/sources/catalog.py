@@ -85,7 +85,7 @@ def program_tree(spark: SparkSession, root: str) -> DataFrame:
 
 
 def snapshots(spark: SparkSession, root: str) -> DataFrame:
-    """Snapshots of an earlier run, one JSON file per school (S6); an absent school has no row."""
+    """Snapshots of an earlier run, one JSON file per school (S6), as ``sources.snapshot_files`` writes them; an absent school has no row."""
     return read_optional(spark, f"{root}/v1/conferences/*/schools/*.json", SNAPSHOT)
 
 
@@ -102,16 +102,6 @@ def snapshot_articles(rows: DataFrame) -> DataFrame:
     return news.select("school", "sport", "pos", "r.*")
 
 
-def write_snapshots(rows: DataFrame, root: str, conferences_: list[str], body: str = "body", conference: str = "conference", school: str = "school") -> None:
-    """One JSON text per school below its conference's folder (X2); ``preview`` for incomplete ones.
-
-    Conferences are few; each is one distributed write, so a folder is complete or not there.
-    """
-    for c in conferences_:
-        part = rows.where(F.col(conference) == c).select(F.col(school).alias("school"), F.col(body).alias("value"))
-        part.select("value").write.mode("overwrite").text(f"{root}/v1/conferences/{c}/schools/all.json")
-
-
 def exclusions_in_order(excluded: DataFrame) -> DataFrame:
     """Schools by name and exclusions by number (O5): the order of a published catalog."""
     return excluded.orderBy("ncaa_id")
