@@ -1,10 +1,11 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidewire.functions import dates, sports, text, urls
-from tidewire.operators.classify import AliasMatcher, recruit_headline
+from tidewire.operators.classify import MAX_NAMES, mentions_of, recruit_headline
 
 
 def one(spark, column, *values):
@@ -126,11 +127,29 @@ def test_aliases_and_routes(spark):
     assert one(spark, sports.route_slugs(F.col("v")), "https://x.org/news/2026/1/2/football-wins.aspx?path=football") == [["football-wins", "football"]]
 
 
-def test_longest_names_win():
-    m = AliasMatcher({"arizona": ["a"], "arizona state": ["s"], "state": ["x", "y"], "usc": ["u"]})
-    assert m.mentions("arizona state beats usc") == ["s"]
-    assert m.mentions("arizona state visits arizona") == ["s", "a"]
-    assert m.mentions("state") == [] and m.mentions(None) == []
+NAMES = [("arizona", "a"), ("arizona state", "s"), ("state", "x"), ("state", "y"), ("usc", "u"), ("ab", "t")]
+
+
+@pytest.mark.parametrize("most", [100, 1])
+def test_longest_names_win(spark, most):
+    mentions = mentions_of(spark.createDataFrame(NAMES, "alias string, owner string"), most)
+    texts = ["arizona state beats usc", "arizona state visits arizona", "state", None, "", "ab arizona arizona", "arizonastate"]
+    assert one(spark, mentions(F.col("v")), *texts) == [["s"], ["s", "a"], [], [], [], ["a"], []]
+
+
+def test_parts_of_a_dictionary_do_not_show(spark, monkeypatch):
+    r = random.Random(3)
+    words = [f"{a}{b}{c}" for a in "abcd" for b in "xyz" for c in "rst"]
+    names = [(" ".join(r.choice(words) for _ in range(r.randrange(1, 4))), f"o{r.randrange(90)}", r.random() < 0.7) for _ in range(400)]
+    df = spark.createDataFrame(names, "alias string, owner string, strong boolean")
+    texts = [" ".join(r.choice(words) for _ in range(r.randrange(60))) for _ in range(80)]
+    whole, parts = (one(spark, mentions_of(df, most)(F.col("v")), *texts) for most in (10_000, 37))
+    assert whole == parts and sum(map(len, whole)) > 100
+
+
+def test_a_dictionary_above_the_bound(spark):
+    names = spark.range(MAX_NAMES + 1).select(F.concat(F.lit("name "), F.col("id").cast("string")).alias("alias"), F.concat(F.lit("o"), F.col("id").cast("string")).alias("owner"))
+    assert one(spark, mentions_of(names)(F.col("v")), f"name 7 meets name {MAX_NAMES} and name 20000x") == [[f"o{MAX_NAMES}", "o7"]]
 
 
 def test_recruit_headlines(spark):

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidewire.operators import enrich, health, joins, merge, recruiting, state, windows
+from tidewire.operators import enrich, health, joins, merge, packing, recruiting, state, windows
 from tidewire.operators.classify import accepts
 
 T0 = dt.datetime(2026, 1, 1)
@@ -80,6 +80,28 @@ def test_wildcards_equal_a_nested_loop(spark, seed):
     assert sorted((x.s, x.p, x.i) for x in got.collect()) == want
 
 
+@pytest.mark.parametrize("ranges", [1, 5, 40])
+def test_as_of_of_a_hot_key(spark, ranges):
+    r = random.Random(ranges)
+    key = lambda: r.choice(["hot"] * 6 + ["k", "m", None])
+    rows = [(key(), i, r.choice([None, r.randrange(300)])) for i in range(500)]
+    facts = [(key(), r.choice([None, r.randrange(40), r.randrange(300)]), r.choice([None, f"v{i}"])) for i in range(90)]
+    df, told = spark.createDataFrame(rows, "k string, id int, at int").repartition(3), spark.createDataFrame(facts, "k string, t int, v string").repartition(2)
+    got = {x.id: x.v for x in joins.as_of(df, "at", told, "t", ["k"], "v", ranges).collect()}
+    want = {}
+    for k, i, at in rows:
+        seen = [(-1 if t is None else t, v) for fk, t, v in facts if fk == k and v is not None and (t is None or (at is not None and t <= at))]
+        want[i] = max(seen)[1] if seen and k is not None else None
+    assert got == want and len({v for v in got.values()}) > 10
+
+
+def test_as_of_spreads_a_hot_key(spark):
+    """One user with a third of all rows is not one task's."""
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("at"))
+    cut = packing.cut_by_range(rows, ["k", "at"], 12).where("k = 0").groupBy("__range").count()
+    assert cut.count() >= 4 and cut.agg(F.max("count")).first()[0] < 400
+
+
 def test_as_of_and_sets(spark):
     rows = spark.createDataFrame([("k", 1, 5), ("k", 2, 10), ("m", 3, 1)], "k string, id int, at int")
     facts = spark.createDataFrame([("k", 5, "a"), ("k", 7, "b"), ("m", 2, "c")], "k string, t int, v string")
@@ -159,11 +181,11 @@ def test_enrichment(spark):
          ("p", "https://x.org/3", "Three", T0, None, None, None, T0 - dt.timedelta(days=6), 3)], ARTICLE)
     asked = enrich.candidates(records, ["program"], F.lit(T0), 5)
     assert [r.url[-1] for r in asked.orderBy("enrich_rank").collect()] == ["1", "2"]
+    page = lambda n, title, declared, image, alt=None, author=None: (f"https://x.org/{n}", title, [declared], [f"{title}!"], [], None, None, image, alt, author, None, None, None)
     pages = spark.createDataFrame(
-        [("https://x.org/1", "One", "https://www.x.org/1/", "One!", None, "https://x.org/p.jpg", "a photo", "By B", None, None, None, None),
-         ("https://x.org/2", "Two", "https://x.org/other", "Two", None, "https://x.org/q.jpg", None, None, None, None, None, None)],
-        "url string, title string, canonical string, og_title string, og_type string, og_image string, og_image_alt string, author string,"
-        " headline string, ld_image string, ld_author string, h1 string")
+        [page(1, "One", "https://www.x.org/1/", "/p.jpg", "a photo", "By B"), page(2, "Two", "https://x.org/other", "https://x.org/q.jpg")],
+        "url string, title string, declared array<string>, headings array<string>, structured array<string>, og_title string, og_type string, og_image string, og_image_alt string,"
+        " author string, body_image string, body_alt string, byline string")
     told = enrich.confirmed_metadata(pages)
     assert {r.url[-1]: r.error_code for r in told.collect()} == {"1": None, "2": "article-identity-mismatch"}
     got = {r.url[-1]: r for r in enrich.apply_metadata(records, asked, told, ["program"], F.lit(T0)).collect()}

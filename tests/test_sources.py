@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewire.operators import enrich
 from tidewire.sources import catalog, documents, parsers
 
 RSS = """<?xml version="1.0"?><rss version="2.0" xmlns:media="http://search.yahoo.com/mrss/"><channel><title>Feed</title>
@@ -18,8 +19,8 @@ ATOM = """<feed xmlns="http://www.w3.org/2005/Atom"><title>Feed</title><entry><t
 
 
 def feed(spark, *texts, **context):
-    told = {"feed_title": "Feed", "article_host": "x.org", "article_path": "/a/", "image_hosts": ["img.org"]} | context
-    schema = "id int, text string, feed_title string, article_host string, article_path string, image_hosts array<string>"
+    told = {"feed_title": "Feed", "article_host": "x.org", "article_path": "/a/", "image_hosts": ["img.org"], "article_hosts": None, "feed_url": None} | context
+    schema = "id int, text string, feed_title string, article_host string, article_path string, image_hosts array<string>, article_hosts array<string>, feed_url string"
     df = spark.createDataFrame([(i, t, *told.values()) for i, t in enumerate(texts)], schema)
     return parsers.parse(df, parsers.feed, parsers.FEED_ROW, ["id", *told]).collect()
 
@@ -30,6 +31,19 @@ def test_feeds(spark):
     assert (atom.url, atom.published, atom.author) == ("https://x.org/a/3", "2026-09-16T12:00:00Z", "W")
     assert [doctype.error_code, broken.error_code, other.error_code] == ["source-format-changed"] * 3
     assert (none.error_code, none.pos) == ("empty-response", -1)
+    changed = [
+        RSS.replace("<title>Other host</title>", ""), RSS.replace("<title>Other", "<title>a</title><title>Other"), RSS.replace("<link>https://y.org/a/2</link>", ""),
+        RSS.replace("</channel>", "</channel><channel><title>Feed</title></channel>"), RSS.replace("<title>Feed</title>", ""), RSS.replace('"2.0"', '"0.9"'),
+        ATOM.replace("<published>", '<link href="https://x.org/a/4"/><published>'), ATOM.replace('rel="alternate"', 'rel="self"'), ATOM.replace("/2005/Atom", "/2006/Atom"), " ",
+        RSS.replace("<item>", "<item><title>t</title><link>https://x.org/a/9</link></item>" * 200 + "<item>", 1),
+    ]
+    assert [r.error_code for r in feed(spark, *changed)] == ["source-format-changed"] * len(changed)
+    (updated,) = feed(spark, ATOM.replace("published>", "updated>"))
+    assert updated.published is None
+    both = feed(spark, RSS.replace("y.org/a/2", "y.org/news/golf/2").replace("x.org/a/1", "x.org/news/golf/1"), article_hosts=["x.org", "y.org"], article_path="/news/", feed_url="https://www.ncaa.com/news/golf/d1/rss.xml")
+    assert [r.url for r in both] == ["https://x.org/news/golf/1", "https://y.org/news/golf/2"]
+    (off,) = feed(spark, RSS.replace("/a/", "/news/tennis/"), article_path="/news/", feed_url="https://www.ncaa.com/news/golf/d1/rss.xml")
+    assert (off.error_code, off.pos) == (None, -1)
     (empty,) = feed(spark, RSS, article_host="z.org")
     assert (empty.error_code, empty.pos) == (None, -1)
 
@@ -67,11 +81,43 @@ def test_links_and_entrance():
     assert [(h["kind"], h["text"], h["declared"]) for h in heads] == [("heading", "Commits (2)", "2"), ("row", "X", None)]
 
 
-def test_article_metadata():
-    ld = json.dumps({"@graph": [{"@type": "Thing"}, {"@type": "NewsArticle", "headline": "H", "author": [{"name": "A"}, "B", "A"], "image": ["https://x.org/i.jpg"]}]})
-    text = f'<link rel="canonical" href="https://x.org/1"><meta property="og:image" content="https://x.org/o.jpg"><script type="application/ld+json">{ld}</script><h1>H <b>1</b></h1>'
-    (m,) = page(parsers.article_metadata, text)
-    assert (m["canonical"], m["og_image"], m["ld_author"], m["ld_image"], m["h1"]) == ("https://x.org/1", "https://x.org/o.jpg", "A, B", "https://x.org/i.jpg", "H 1")
+def ld(*nodes):
+    return f'<script type="application/ld+json">{json.dumps(nodes[0] if len(nodes) == 1 else list(nodes))}</script>'
+
+
+def confirmed(spark, *pages, title="The H", url="https://www.x.org/a/1?utm_source=z", hosts=("x.org",)):
+    df = spark.createDataFrame([(i, p, url, title, list(hosts)) for i, p in enumerate(pages)], "k int, text string, url string, title string, hosts array<string>")
+    told = parsers.parse(df, parsers.article_metadata, parsers.META_ROW, ["k", "url", "title", "hosts"])
+    return [tuple(r)[2:] for r in enrich.confirmed_metadata(told, ["k"]).orderBy("k").collect()]
+
+
+def test_article_metadata(spark):
+    h1, mine = "<h1>the &ldquo;H&rdquo;</h1>", {"@type": "NewsArticle", "headline": "THE H", "url": "/a/1", "author": {"@type": "Person", "name": "By Ann"}, "image": ["/i.jpg"]}
+    other = {"@type": "Article", "headline": "Another", "author": "Wrong", "image": "/wrong.jpg"}
+    got = confirmed(
+        spark, h1 + ld(other, mine), h1 + ld(mine | {"url": "https://x.org/a/2"}, {"@type": "BlogPosting", "author": [{"@type": "Person", "name": "B"}, "C", "B", {"@type": "Thing", "name": "T"}]}),
+        h1 + ld({"@graph": [{"@type": "Thing", "author": "T"}, mine | {"author": None}, mine | {"author": "Late", "image": "/late.jpg"}]}),
+        h1 + "<script type='application/ld+json'>{broken</script>" + ld(*[mine] * 101) + '<meta name="author" content="By: M"><div class="story-byline">By N</div>',
+        h1 + '<div class="sidearm-story-image"><img src="/s.jpg" alt="shot"></div><div class="story-byline">By N</div>',
+        h1 + '<article><div class="entry-content"><figure><img data-src="/f.jpg" src="/g.jpg"></figure></div></article>',
+    )
+    assert got == [
+        (None, "https://www.x.org/i.jpg", None, "Ann"), (None, None, None, "B, C"), (None, "https://www.x.org/i.jpg", None, "Late"), (None, None, None, "M"),
+        (None, "https://www.x.org/s.jpg", "shot", "N"), (None, "https://www.x.org/f.jpg", None, None),
+    ]
+
+
+def test_whose_page_it_is(spark):
+    own, og = '<link rel="canonical" href="/a/1/">', '<meta property="og:url" content="https://x.org/a/1">'
+    pages = [
+        "<h1>The H</h1>" + own + og, "<h1>The H</h1>" + own + og.replace("/1", "/2"), "<h1>The H</h1>" + og.replace("/1", "/2"), "<h1>Else</h1>" + own,
+        "<h1>Else</h1>" + own + '<meta property="og:type" content="article">', '<h1>Else</h1><meta property="og:type" content="article">', '<meta property="og:title" content="the h">',
+        '<div class="story-page__content__title-box"><h2>The H</h2></div>', "<h2>The H</h2>", "",
+    ]
+    mismatch, open_ = "article-identity-mismatch", "article-identity-not-confirmed"
+    assert [r[0] for r in confirmed(spark, *pages)] == [None, mismatch, mismatch, open_, None, open_, None, None, open_, open_]
+    assert [r[0] for r in confirmed(spark, "<h1>The H</h1>", hosts=("y.org",))] == ["article-outside-scope"]
+    assert [r[0] for r in confirmed(spark, "<h1>!</h1>", title="!")] == [open_]
 
 
 def test_provider_json(spark):

@@ -37,20 +37,26 @@ def safe_url(url: Column) -> Column:
     return F.when(ok, F.concat(F.lit("https://"), F.lower(host), slash, rest))
 
 
+def _absolute(url: str | None, base: str | None) -> str | None:
+    if not url or len(url) > LONGEST:
+        return None
+    try:
+        parts = urlsplit(urljoin(base or "", url.strip()))
+        path = quote(parts.path or "/", safe="/%:@!$&'()*+,;=~-._")
+        query = quote(parts.query, safe="=&?/%:@!$'()*+,;~-._[]")
+        return urlunsplit((parts.scheme.lower(), parts.netloc, path, query, parts.fragment))
+    except ValueError:
+        return None
+
+
 @pandas_udf(T.StringType())
 def _resolved(urls: pd.Series, bases: pd.Series) -> pd.Series:
-    def one(url, base):
-        if not url or len(url) > LONGEST:
-            return None
-        try:
-            parts = urlsplit(urljoin(base or "", url.strip()))
-            path = quote(parts.path or "/", safe="/%:@!$&'()*+,;=~-._")
-            query = quote(parts.query, safe="=&?/%:@!$'()*+,;~-._[]")
-            return urlunsplit((parts.scheme.lower(), parts.netloc, path, query, parts.fragment))
-        except ValueError:
-            return None
+    return pd.Series([_absolute(u, b) for u, b in zip(urls, bases, strict=True)])
+
 
-    return pd.Series([one(u, b) for u, b in zip(urls, bases, strict=True)])
+@pandas_udf(T.ArrayType(T.StringType()))
+def _resolved_each(urls: pd.Series, bases: pd.Series) -> pd.Series:
+    return pd.Series([None if us is None else [_absolute(u, b) for u in us] for us, b in zip(urls, bases, strict=True)])
 
 
 def resolve_url(url: Column, base: Column) -> Column:
@@ -58,6 +64,11 @@ def resolve_url(url: Column, base: Column) -> Column:
     return safe_url(_resolved(url, base))
 
 
+def resolve_each(urls: Column, base: Column) -> Column:
+    """``resolve_url`` of every link of an array; null for those that may not be published."""
+    return F.transform(_resolved_each(urls, base), safe_url)
+
+
 def _without_keys(url: Column, keys: str) -> Column:
     """Without fragment and the named query keys; other pairs keep their order."""
     bare = F.regexp_replace(url, "#.*$", "")

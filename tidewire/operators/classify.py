@@ -5,14 +5,20 @@ All texts are folded first (``fold`` and ``ascii_words``), so they are single-sp
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import ahocorasick
 import pandas as pd
+import pyarrow.parquet as pq
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from tidewire.scratch import shared_root, store_of
+
 # Acronyms that several schools use, and words that decide.
 AMBIGUOUS = (
     "usc", "osu", "asu", "isu", "msu", "miami", "columbia", "brown", "ut", "uc", "ui", "mu", "lu", "cu", "su", "tu", "um",
@@ -36,59 +42,94 @@ RECRUIT_HEADLINE = r"(?i)\b(?:signs?|signing|signees?|recruiting class|adds\b.{0
 
 
 class AliasMatcher:
-    """Longest names win: a name takes its words out of the text before shorter ones are looked for."""
+    """Where names of a dictionary, or of a part of one, stand in folded text.  ``told`` gives for a name its only owner, or None."""
 
-    def __init__(self, owners: dict[str, Iterable[str]], strong: Iterable[str] | None = None):
-        self.owners = {a: sorted(set(o)) for a, o in owners.items() if len(a) >= 3 and a not in AMBIGUOUS}
-        #: Names that count; the others still take their words.
-        self.strong = set(self.owners) if strong is None else set(strong)
+    def __init__(self, told: dict[str, str | None]):
+        self.told = {a: o for a, o in told.items() if len(a) >= 3 and a not in AMBIGUOUS}
         self.machine = ahocorasick.Automaton()
-        for alias in self.owners:
-            self.machine.add_word(f" {alias} ", alias)
-        if self.owners:
+        for alias, owner in self.told.items():
+            self.machine.add_word(f" {alias} ", (len(alias) + 2, alias, owner))
+        if self.told:
             self.machine.make_automaton()
 
-    def mentions(self, text: str | None) -> list[str]:
-        """The owners of the names that one owner has alone, in order of the text's names by length."""
-        if not text or not self.owners:
-            return []
-        padded = f" {text} "
-        found = [(end - len(alias), end, alias) for end, alias in self.machine.iter(padded)]
-        found.sort(key=lambda f: (-len(f[2]), f[2], f[0]))
-        taken = bytearray(len(padded))
-        out: dict[str, None] = {}
-        for start, end, alias in found:
-            if not any(taken[start:end]):
-                taken[start:end] = b"\1" * (end - start)
-                if len(self.owners[alias]) == 1 and alias in self.strong:
-                    out[self.owners[alias][0]] = None
-        return list(out)
-
-
-#: A dictionary of names is sent to every executor; one of a catalog has a few thousand.
+    def hits(self, padded: str) -> list[tuple[int, str, int, int, str | None]]:
+        """(- length, name, begin, end, owner) of every place."""
+        return [(-n, alias, end - n + 1, end + 1, owner) for end, (n, alias, owner) in self.machine.iter(padded)] if self.told else []
+
+
+def longest_first(hits: list[tuple], length: int) -> list[str]:
+    """The owners of names in a text of ``length``: longer names take their words before shorter ones are looked for, wherever they stand."""
+    taken, out = bytearray(length), {}
+    for n, _, begin, end, owner in sorted(hits, key=lambda h: h[:3]):
+        # two names may share the space between them
+        if not any(taken[begin + 1 : end - 1]):
+            taken[begin + 1 : end - 1] = b"\1" * (-n - 2)
+            if owner is not None:
+                out[owner] = None
+    return list(out)
+
+
+#: A worker holds an automaton of so many names; a larger dictionary is cut into parts that it holds one after another.
 MAX_NAMES = 200_000
 
 
 def schools_mentioned(owners: dict[str, Iterable[str]], strong: Iterable[str] | None = None):
-    """A function of folded text: the slugs of schools it mentions.
+    """A function of folded text: the slugs of schools it mentions (C2, K17), for a dictionary of a catalog's size.
 
     In summaries only ``strong`` names count (whole official names): a town or a surname there is no school.
-    An Arrow UDF over an automaton: the fold over remaining text has no JVM-side form
-    that is linear in the text.  The dictionary, of at most ``MAX_NAMES`` names, is broadcast once.
     """
-    if len(owners) > MAX_NAMES:
-        raise ValueError(f"more than {MAX_NAMES} names")
-    held = SparkSession.active().sparkContext.broadcast((owners, None if strong is None else set(strong)))
+    pairs = [(a, o) for a, os in owners.items() for o in os]
+    counts = None if strong is None else set(strong)
+    spark = SparkSession.active()
+    names = spark.createDataFrame([(a, o, counts is None or a in counts) for a, o in pairs], "alias string, owner string, strong boolean")
+    return mentions_of(names)
+
+
+def mentions_of(names: DataFrame, most: int = MAX_NAMES):
+    """A function of folded text: the owners of the names that it mentions, in order of the names' lengths.
+
+    names: alias, owner, and perhaps strong (whether the name counts; others still take their words); of any number.  A name of several
+    owners mentions none.  The names are saved in parts of ``most``; a worker keeps one part's automaton and goes over its batch of
+    texts once for each part.  Which hits stand is decided when those of all parts are known, so the parts don't show in the result.
+    An Arrow UDF: the fold over what is left of a text has no JVM-side form that is linear in the text.
+    """
+    spark = names.sparkSession
+    strong = F.max("strong") if "strong" in names.columns else F.lit(True)
+    owner = F.when((F.count_distinct("owner") == 1) & strong, F.min("owner"))
+    told = names.where("alias <> ''").groupBy("alias").agg(owner.alias("owner"))
+    root = f"{shared_root(spark)}/names-{uuid.uuid4().hex}"
+    told.write.parquet(f"{root}/all")
+    parts = max(-(-spark.read.parquet(f"{root}/all").count() // most), 1)
+    spark.read.parquet(f"{root}/all").withColumn("part", F.pmod(F.xxhash64("alias"), F.lit(parts))).write.partitionBy("part").parquet(f"{root}/parts")
 
     @pandas_udf("array<string>")
     def mentions(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        matcher = AliasMatcher(*held.value)
         for texts in batches:
-            yield texts.map(matcher.mentions)
+            padded = [f" {t} " if t else "" for t in texts]
+            hits: list[list[tuple]] = [[] for _ in padded]
+            for part in range(parts):
+                matcher = _matcher(f"{root}/parts", part)
+                for found, text in zip(hits, padded, strict=True):
+                    if text:
+                        found += matcher.hits(text)
+            yield pd.Series([longest_first(found, len(text)) for found, text in zip(hits, padded, strict=True)])
 
     return mentions
 
 
+@lru_cache(maxsize=1)
+def _matcher(folder: str, part: int) -> AliasMatcher:
+    store, path = store_of(f"{folder}/part={part}")
+    told: dict[str, str | None] = {}
+    if store.get_file_info(path).type == pafs.FileType.Directory:
+        for f in store.get_file_info(pafs.FileSelector(path)):
+            if f.base_name.startswith("part-"):
+                with store.open_input_file(f.path) as stream:
+                    table = pq.ParquetFile(stream).read(["alias", "owner"])
+                told.update(zip(table["alias"].to_pylist(), table["owner"].to_pylist(), strict=True))
+    return AliasMatcher(told)
+
+
 def sport_terms(programs: DataFrame) -> DataFrame:
     """A row per (slug, gender, term) by which a headline names a sport."""
     from tidewire.functions.text import ascii_words

@@ -19,17 +19,22 @@ from pyspark.sql import functions as F
 from tidewire.scratch import shared_root
 
 
+def cut_by_range(rows: DataFrame, order: list[str], ranges: int | None = None) -> DataFrame:
+    """Rows with ``__range``, the number of their range in an order, kept in the checkpoint folder; equal rows share a range."""
+    spark = rows.sparkSession
+    shared_root(spark)
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartitionByRange(ranges, *order).withColumn("__range", F.spark_partition_id()).checkpoint()
+
+
 def running(rows: DataFrame, order: list[str], sums: dict[str, Column], ranges: int | None = None) -> DataFrame:
     """Rows with the running sums, including their own value, in a total order.
 
     There are as many ranges as shuffles have partitions; their sums are added up in one task.  They are cut once and kept in the
     checkpoint folder, so that both passes over them see the same ones.
     """
-    spark = rows.sparkSession
-    shared_root(spark)
-    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     valued = rows.withColumns({f"__{n}": F.coalesce(v, F.lit(0)) for n, v in sums.items()})
-    cut = valued.repartitionByRange(ranges, *order).withColumn("__range", F.spark_partition_id()).checkpoint()
+    cut = cut_by_range(valued, order, ranges)
     totals = cut.groupBy("__range").agg(*(F.sum(f"__{n}").alias(n) for n in sums))
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select("__range", *(F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"__before_{n}") for n in sums))

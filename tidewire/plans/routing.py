@@ -308,28 +308,3 @@ def declared_news_sports(t: Tables) -> DataFrame:
     sport = F.when(F.col("c_custkey") % 3 == 0, F.create_map(*map(F.lit, ("title", "Golf", "shortname", "mgolf", "other", "x")))).otherwise(F.create_map(*map(F.lit, ("title", "Tennis", "shortname", "mten"))))
     found = official.declared_aliases(t.customer.select("c_custkey", sport.alias("sport")), F.lit("mgolf"))
     return found.select("c_custkey", F.array_join("labels", ",").alias("labels"))
-
-
-# ---- article pages
-
-
-@query(
-    """SELECT c_custkey, CASE c_custkey % 4 WHEN 1 THEN 'article-identity-mismatch' WHEN 2 THEN 'article-identity-not-confirmed' END AS error_code,
-        CASE WHEN c_custkey % 4 = 3 THEN 'https://x.org/l.jpg' ELSE 'https://x.org/o.jpg' END AS found_image, CASE WHEN c_custkey % 4 = 3 THEN 'Lia' ELSE 'Ann' END AS found_author FROM customer""",
-    "P24",
-)
-def article_metadata(t: Tables) -> DataFrame:
-    """What the pages of articles declare, where they are the article asked for."""
-    k = F.col("c_custkey") % 4
-    canonical = F.when(k == 1, "https://x.org/other").otherwise("https://www.x.org/a/1/")
-    head = F.when(k == 2, "Else").otherwise(F.col("c_name"))
-    open_graph = F.when(k == 3, "").otherwise('<meta property="og:image" content="https://x.org/o.jpg">')
-    ld = F.when(k == 3, '<script type="application/ld+json">{"@type":"NewsArticle","author":{"name":"Lia"},"image":["https://x.org/l.jpg"]}</script>').otherwise("")
-    html = F.concat(F.lit('<link rel="canonical" href="'), canonical, F.lit('"><meta name="author" content="By Ann">'), open_graph, ld, F.lit("<h1>"), head, F.lit("</h1>"))
-    from tidewire.operators.enrich import confirmed_metadata
-
-    pages = t.customer.select("c_custkey", F.lit("https://x.org/a/1").alias("url"), F.col("c_name").alias("title"), html.alias("text"))
-    told = parsers.parse(pages, parsers.article_metadata, T.StructType([f for f in parsers.META_ROW]), ["c_custkey", "url", "title"])
-    # one page per customer: the address carries the key through
-    found = confirmed_metadata(told.withColumn("url", F.col("url")).drop("error_code", "pos"), ["c_custkey"])
-    return found.select("c_custkey", "error_code", "found_image", "found_author")

@@ -127,46 +127,79 @@ def item_images(item, fragments: list[str]) -> list[tuple[str, str | None]]:
     return out
 
 
-def feed(text: str, context: dict) -> Iterator[dict]:
-    """RSS 2.0 or Atom items (P1).  context: feed_title (must be equal if given), article_host, article_path,
-    image_hosts, each optional."""
-    if len(text) > MAX_FEED or re.search(r"<!(?:DOCTYPE|ENTITY)", text, re.I):
+def _said(node) -> str:
+    return " ".join((_all_text(node) or "").split())
+
+
+def _only(node, *names: str):
+    """The one child of a name; none and two of them are a changed format."""
+    found = [c for n in names for c in node.findall(n)]
+    if len(found) != 1:
         raise SourceError("source-format-changed")
-    root = ET.fromstring(text.lstrip("﻿ \r\n\t"))
-    if root.tag == "rss" and root.get("version") == "2.0":
-        channel = _one(root, "channel")
-        items = channel.findall("item")
-    elif root.tag == _ATOM + "feed":
-        channel, items = root, root.findall(_ATOM + "entry")
-    else:
+    return found[0]
+
+
+def feed(text: str, context: dict) -> Iterator[dict]:
+    """RSS 2.0 or Atom items.
+
+    context, each optional: feed_title (must be the channel's), article_hosts (hosts that articles may have) or article_host, article_path
+    (what their paths begin with), feed_url (a feed of one sport takes only its articles), image_hosts.  A document must have one
+    channel and one title, an item one title and one link, in Atom one without relation or of relation alternate; else it is an error.
+    Items without title or address, or out of scope, are left out.
+    """
+    if len(text) > MAX_FEED or not text.strip() or re.search(r"<!(?:DOCTYPE|ENTITY)", text, re.I):
         raise SourceError("source-format-changed")
-    title = _all_text(_one(channel, "title", _ATOM + "title"))
-    if context.get("feed_title") and title != context["feed_title"]:
+    root = ET.fromstring(text.lstrip("\ufeff \r\n\t"))
+    rss = root.tag == "rss" and root.get("version") == "2.0"
+    if not rss and root.tag != _ATOM + "feed":
         raise SourceError("source-format-changed")
-    if len(items) > MAX_ITEMS:
+    space = "" if rss else _ATOM
+    channel = _only(root, "channel") if rss else root
+    title = _said(_only(channel, space + "title"))
+    items = channel.findall("item" if rss else _ATOM + "entry")
+    if (context.get("feed_title") and title != " ".join(context["feed_title"].split())) or len(items) > MAX_ITEMS:
         raise SourceError("source-format-changed")
-    hosts = context.get("image_hosts")
+    articles = context.get("article_hosts") or ([context["article_host"]] if context.get("article_host") else None)
+    images = context.get("image_hosts")
     for item in items:
-        link = _one(item, "link") if root.tag == "rss" else next(
-            (n for n in item.findall(_ATOM + "link") if n.get("rel", "alternate") == "alternate"), None
-        )
-        url = (link.get("href") if root.tag != "rss" else _all_text(link)) if link is not None else None
-        parts = urlsplit(url or "")
-        if context.get("article_host") and parts.hostname != context["article_host"]:
-            continue
-        if context.get("article_path") and not parts.path.startswith(context["article_path"]):
+        name = _all_text(_only(item, space + "title"))
+        links = [n for n in item.findall(space + "link") if rss or n.get("rel") in (None, "", "alternate")]
+        if len(links) != 1:
+            raise SourceError("source-format-changed")
+        url = (_all_text(links[0]) if rss else links[0].get("href") or "").strip()
+        if not name or not url or not _in_scope(url, articles, context.get("article_path"), context.get("feed_url")):
             continue
-        details = [_all_text(n) for tag in ("description", "{http://purl.org/rss/1.0/modules/content/}encoded", _ATOM + "summary", _ATOM + "content") for n in item.findall(tag)]
-        image = next(((u, a) for u, a in item_images(item, details) if not hosts or urlsplit(u).hostname in hosts), (None, None))
-        dates = [_all_text(n) for tag in ("pubDate", _ATOM + "published", _ATOM + "updated") for n in item.findall(tag)]
-        names = [_all_text(n) for n in (*item.findall("author"), *item.findall("{http://purl.org/dc/elements/1.1/}creator"), *item.findall(f"{_ATOM}author/{_ATOM}name"))]
+        details = [_all_text(n) for n in item if n.tag in (space + "description", space + "summary", space + "content", "{http://purl.org/rss/1.0/modules/content/}encoded")]
+        described = next((_all_text(n) for n in item if n.tag in (space + "description", space + "summary")), None)
+        image = next(((u, a) for u, a in item_images(item, details) if not images or urlsplit(u).hostname in images), (None, None))
+        creator, writer = item.find("{http://purl.org/dc/elements/1.1/}creator"), item.find(space + "author")
+        if creator is None and writer is not None:
+            creator = writer.find(space + "name") if writer.find(space + "name") is not None else writer
         yield {
-            "title": _all_text(_one(item, "title", _ATOM + "title")), "url": url, "description": details[0] if details else None,
-            "published": dates[0] if dates else None, "image_url": image[0], "image_alt": image[1], "author": names[0] if names else None,
-            "categories": [c for n in (*item.findall("category"), *item.findall(_ATOM + "category")) if (c := _all_text(n) or n.get("term"))],
+            "title": name, "url": url, "description": described, "published": _all_text(item.find("pubDate" if rss else _ATOM + "published")),
+            "image_url": image[0], "image_alt": image[1], "author": _all_text(creator), "categories": [c for n in item.findall(space + "category") if (c := n.get("term") or _all_text(n))],
         }
 
 
+# Addresses of feeds of one sport, where their articles name the sport, and the teams that share their announcements.
+_SPORT_FEED = re.compile(r"https://www\.ncaa\.com/news/([^/]+)/(?:d[123]|nc|fbs|fcs)/rss\.xml")
+_SPORT_ARTICLE = re.compile(r"/(?:news|video|live-updates)/([^/]+)/")
+_TRACK = re.compile(r"trackfield-(?:indoor|outdoor)-(?:men|women)")
+
+
+def _in_scope(url: str, hosts: list[str] | None, path: str | None, feed_url: str | None) -> bool:
+    """Whether an article is the feed's (P3), as ``functions.urls.in_article_scope`` decides on columns."""
+    parts = urlsplit(url)
+    if (hosts and parts.hostname not in hosts) or (path and not parts.path.startswith(path)):
+        return False
+    sport = _SPORT_FEED.fullmatch(feed_url or "")
+    if not sport:
+        return True
+    route = _SPORT_ARTICLE.match(parts.path)
+    named = route[1] if route else ""
+    return bool(_TRACK.fullmatch(named)) if _TRACK.fullmatch(sport[1]) else named == sport[1]
+
+
 # ---- data that pages embed
 
 STORY_ROW = T.StructType(
@@ -442,68 +475,61 @@ def sitemap(text: str, context: dict) -> Iterator[dict]:
         yield {"loc": (node.text or "").strip()}
 
 
-META_ROW = T.StructType([T.StructField(n, T.StringType()) for n in ("canonical", "og_title", "og_type", "og_image", "og_image_alt", "author", "headline", "ld_image", "ld_author", "h1")])
-
-
-class _Meta(HTMLParser):
-    def __init__(self):
-        super().__init__()
-        self.meta, self.canonical, self.h1, self.in_h1, self.scripts, self.in_json = {}, None, None, False, [], False
-
-    def handle_starttag(self, tag, attrs):
-        a = dict(attrs)
-        if tag == "meta" and a.get("content"):
-            self.meta.setdefault(a.get("property") or a.get("name"), a["content"])
-        elif tag == "link" and a.get("rel") == "canonical":
-            self.canonical = self.canonical or a.get("href")
-        elif tag == "h1" and self.h1 is None:
-            self.in_h1, self.h1 = True, ""
-        elif tag == "script" and a.get("type") == "application/ld+json" and len(self.scripts) < 30:
-            self.in_json = True
-            self.scripts.append("")
+META_ROW = T.StructType(
+    [T.StructField(n, T.StringType()) for n in ("og_title", "og_type", "og_image", "og_image_alt", "author", "body_image", "body_alt", "byline")]
+    + [T.StructField(n, T.ArrayType(T.StringType())) for n in ("declared", "headings", "structured")]
+)
+# Where themes put headings, the article's own image and its byline; how many scripts are looked at.
+_HEADINGS = ("h1", ".sidearm-story-headline")
+_BYLINES = (".story-head__author", ".story-page__content__byline", ".sidearm-story-byline", ".story-byline")
+_BODY_IMAGES = (".sidearm-story-image", ".story-page__image", ".story-page__hero")
+MAX_SCRIPTS = 30
 
-    def handle_endtag(self, tag):
-        if tag == "h1":
-            self.in_h1 = False
-        if tag == "script":
-            self.in_json = False
 
-    def handle_data(self, data):
-        if self.in_h1:
-            self.h1 += data
-        elif self.in_json:
-            self.scripts[-1] += data
+def article_metadata(text: str, context: dict) -> Iterator[dict]:
+    """What a page declares of its article (P24), as it stands there; identity and precedence are decided on columns (``operators.enrich``).
 
+    ``declared`` are all its canonical addresses, ``structured`` the texts of its JSON-LD scripts, in order.
+    """
+    from tidewire.sources.cards import tree_of
 
-def article_metadata(text: str, context: dict) -> Iterator[dict]:
-    """What a page declares of its article (P24); identity and precedence are decided on the columns."""
-    page = _Meta()
-    page.feed(text)
-    told = {}
-    for script in page.scripts:
-        try:
-            data = json.loads(script)
-        except json.JSONDecodeError:
-            continue
-        nodes = data if isinstance(data, list) else data.get("@graph", [data]) if isinstance(data, dict) else []
-        if not isinstance(nodes, list) or len(nodes) > MAX_GRAPH:
-            continue
-        for node in nodes:
-            if isinstance(node, dict) and node.get("@type") in ("NewsArticle", "Article", "BlogPosting"):
-                image = node.get("image")
-                image = image[0] if isinstance(image, list) and image else image
-                writers = node.get("author") if isinstance(node.get("author"), list) else [node.get("author")]
-                names = [w if isinstance(w, str) else w.get("name") for w in writers[:8] if isinstance(w, (str, dict))]
-                told.setdefault("headline", node.get("headline"))
-                told.setdefault("ld_image", image if isinstance(image, str) else image.get("url") if isinstance(image, dict) else None)
-                told.setdefault("ld_author", ", ".join(dict.fromkeys(n for n in names if n)) or None)
-    m = page.meta
+    if len(text) > MAX_DOCUMENT:
+        raise SourceError("response-too-large")
+    nodes = list(tree_of(text).walk())
+    meta: dict[str, str] = {}
+    declared, structured = [], []
+    for n in nodes:
+        a = n.attrs
+        if n.tag == "meta" and a.get("content"):
+            for name in {a.get("property"), a.get("name")} - {None}:
+                meta.setdefault(name, a["content"])
+            if a.get("property") == "og:url":
+                declared.append(a["content"])
+        elif n.tag == "link" and a.get("rel") == "canonical" and a.get("href"):
+            declared.append(a["href"])
+        elif n.tag == "script" and a.get("type") == "application/ld+json" and len(structured) < MAX_SCRIPTS:
+            structured.append("".join(c for c in n.children if isinstance(c, str)))
+    headings = [n.text() for n in nodes if any(n.fits(s) for s in _HEADINGS)]
+    headings += [h.text() for n in nodes if n.fits(".story-page__content__title-box") for h in n.all("h2")]
+    image = next((i for n in nodes if any(n.fits(s) for s in _BODY_IMAGES) for i in n.all("img")), None) or _first_figure(nodes)
+    byline = next((n.text() for n in nodes if any(n.fits(s) for s in _BYLINES) or n.attrs.get("itemprop") == "author"), None)
     yield {
-        "canonical": page.canonical or m.get("og:url"), "og_title": m.get("og:title"), "og_type": m.get("og:type"), "og_image": m.get("og:image"),
-        "og_image_alt": m.get("og:image:alt"), "author": m.get("author"), "h1": " ".join((page.h1 or "").split()) or None, **told,
+        "declared": declared, "headings": headings, "structured": structured, "og_title": meta.get("og:title"), "og_type": meta.get("og:type"), "og_image": meta.get("og:image"),
+        "og_image_alt": meta.get("og:image:alt"), "author": meta.get("author"), "byline": byline,
+        "body_image": (image.attrs.get("data-src") or image.attrs.get("src")) if image else None, "body_alt": image.attrs.get("alt") if image else None,
     }
 
 
+def _first_figure(nodes: list):
+    """The image of a figure that begins an article's text."""
+    for n in nodes:
+        if n.fits(".entry-content"):
+            first = n.first("", deep=False)
+            if first is not None and first.tag == "figure":
+                return first.first("img")
+    return None
+
+
 # ---- recruiting lists and directories
 
 SECTION_ROW = T.StructType([T.StructField(n, T.StringType()) for n in ("kind", "text", "href", "declared")])

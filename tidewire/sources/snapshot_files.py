@@ -6,7 +6,7 @@ school, ``preview/<school>/<sport or all-sports>.json``, and have no manifest.
 
 Tasks write below a folder of the run.  Only what committed tasks have written is moved to its place when all are done; then each
 conference gets its manifest, which names its files with their digests, so a conference without a manifest of this run is not yet to be
-read.  A run that fails, or is killed before that, leaves nothing but its own folder, whose name begins with a dot.
+read.  A run that fails, or is killed before that, leaves at most its own folder, whose name begins with a dot, so readers pass it over.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMes
 from pyspark.sql.types import StructType
 
 from tidewire.publish import MAX_FILE
+from tidewire.scratch import store_of
 from tidewire.sources.catalog import SLUG
 
 FORMAT = "snapshot_files"
@@ -34,11 +35,6 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(SnapshotFiles)
 
 
-def store_of(uri: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a folder that all machines share, and the path in it."""
-    return pafs.FileSystem.from_uri(uri if ":" in uri.split("/", 1)[0] else "file://" + uri)
-
-
 class SnapshotFiles(DataSource):
     @classmethod
     def name(cls) -> str:
