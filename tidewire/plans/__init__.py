@@ -1,6 +1,6 @@
 """Registered queries: the engine's operators over the driver's tables, with equivalent SQL."""
 
-from tidewire.plans import audited, landed, parsed, provided, refreshing, relational, routing, rules, scalars, structured  # noqa: F401
+from tidewire.plans import audited, derived, landed, parsed, provided, refreshing, relational, routing, rules, scalars, structured  # noqa: F401
 from tidewire.plans.registry import OPERATORS, ORACLES, QUERIES
 
 #: The survey's operators that the queries of ``parsed``, ``relational`` and ``scalars`` run.
