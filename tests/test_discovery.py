@@ -1,7 +1,9 @@
+import json
+
 from pyspark.sql import functions as F
 
 from tidewire.functions import sports
-from tidewire.operators import discovery
+from tidewire.operators import discovery, providers
 from tidewire.sources import cards
 
 SPORTS = [
@@ -69,3 +71,59 @@ def test_cards():
         ("wordpress", "Three", "/n/3", "Jan 4, 2026", "/h.jpg", "Wrestling"),
     ]
     assert [s["extractor"] for s in cards.official_page('<rss version="2.0"><channel><title>F</title><item><title>T</title><link>https://x.org/1</link></item></channel></rss>', {})] == ["feed"]
+
+
+def league(path, league_id, *teams):
+    sport, name = path.split("/")
+    listed = [{"team": dict(zip(("id", "location", "displayName"), t, strict=True))} for t in teams]
+    return json.dumps({"sports": [{"slug": sport, "leagues": [{"slug": name, "id": league_id, "name": "L", "teams": listed}]}]})
+
+
+def test_import_of_a_provider(spark):
+    football = "football/college-football"
+    state, tbd = ("1", "State", "State U"), ("-2", "TBD", "TBD TBD")
+    inventories = [
+        ("football", league(football, "9", state, state, tbd, ("2", "College of Tech", "T")), None), ("baseball", league(football, "9", state), None),
+        ("softball", league("baseball/college-softball", "x", state), None), ("field-hockey", league("field-hockey/womens-college-field-hockey", "1", ("a", "B", "C")), None),
+        ("basketball", None, "http-503"), ("womens-soccer", league("soccer/usa.ncaa.w.1", "1"), None), ("mens-soccer", "{broken", None),
+        ("womens-lacrosse", league("lacrosse/womens-college-lacrosse", "1", *[(str(i), f"L{i}", "D") for i in range(1001)]), None),
+        ("mens-lacrosse", league("lacrosse/mens-college-lacrosse", "1", ("1", "", "D")), None),
+    ]
+    programs = [("s", "State University", "football"), ("t", "Tech", "football"), ("u", "Unknown", "football"), ("s", "State University", "baseball"), ("s", "State University", "rowing")]
+    news = [("football", json.dumps({"header": "H", "link": {"href": "https://www.espn.com/x"}, "articles": []}))]
+    leagues, mappings = providers.import_providers(
+        spark.createDataFrame(programs, "school string, name string, sport string"), spark.createDataFrame([], "school string, alias string"),
+        spark.createDataFrame(inventories, "sport string, text string, error_code string"), spark.createDataFrame(news, "sport string, text string"),
+    )
+    told = {r.sport: r for r in leagues.collect()}
+    wrong = "inventory-identity-or-size-mismatch"
+    assert {s: r.reason for s, r in told.items()} == {
+        "football": None, "baseball": wrong, "softball": wrong, "field-hockey": "invalid-team-inventory", "basketball": "http-503", "womens-soccer": None, "mens-soccer": wrong,
+        "womens-lacrosse": wrong, "mens-lacrosse": "invalid-team-inventory",
+    }
+    f = told["football"]
+    assert (f.status, f.team_count, f.placeholders, f.duplicates, f.news_header, told["womens-soccer"].status) == ("verified", 2, 1, 1, "H", "empty-inventory")
+    assert {(r.school, r.sport): (r.team_id, r.reason) for r in mappings.collect()} == {
+        ("s", "football"): ("1", None), ("t", "football"): ("2", None), ("u", "football"): (None, "no-exact-or-reviewed-alias-match"), ("s", "baseball"): (None, wrong),
+        ("s", "rowing"): (None, "no-verified-league-inventory"),
+    }
+
+
+def test_sitemaps_are_followed(spark):
+    xml = lambda *locs: "<urlset>" + "".join(f"<url><loc>{u}</loc></url>" for u in locs) + "</urlset>"
+    a = "https://a.edu"
+    sites = [
+        (1, f"Sitemap: https://b.org/s.xml\nSITEMAP: {a}/s.xml"), (2, f"Sitemap: {a}/index.xml"), (3, f"Sitemap: {a}/none.xml"), (4, "User-agent: *"), (5, None),
+        (6, f"Sitemap: {a}/late.xml"), (7, "x" * 100_000 + f"\nSitemap: {a}/s.xml"), (8, f"Sitemap: {a}/broken.xml"),
+    ]
+    landed = [
+        (f"{a}/s.xml", xml("https://b.org/sports/golf/roster", f"{a}/sports/Golf-1/roster.pdf", f"{a}/sport/golf/roster?x=1", f"{a}/sports/golf/schedule")),
+        (f"{a}/index.xml", xml(f"{a}/sports/golf/roster", f"{a}/sitemap_roster_1.xml")), (f"{a}/sitemap_roster_1.xml", xml(f"{a}/sports/rowing/roster/2")),
+        (f"{a}/sports/rowing/roster/2", "page"), (f"{a}/late.xml", xml(*[f"{a}/x{i}" for i in range(1000)], f"{a}/sitemap_roster_1.xml", f"{a}/sports/golf/roster")), (f"{a}/broken.xml", "<urlset"),
+    ]
+    df = spark.createDataFrame(sites, "k int, robots string").withColumn("hosts", F.array(F.lit("a.edu")))
+    got = {r.k: (r.child_url, r.page_url, r.page) for r in discovery.followed_sitemaps(df, spark.createDataFrame(landed, "url string, text string"), ["k"]).collect()}
+    assert got == {
+        1: (None, f"{a}/sport/golf/roster?x=1", None), 2: (f"{a}/sitemap_roster_1.xml", f"{a}/sports/rowing/roster/2", "page"), 6: (None, f"{a}/sports/golf/roster", None),
+        **{i: (None, None, None) for i in (3, 4, 5, 7, 8)},
+    }

@@ -150,6 +150,41 @@ def sitemap_page(locs: DataFrame, keys: list[str]) -> DataFrame:
     return locs.where(page).groupBy(*keys).agg(F.min_by("loc", "pos").alias("url"))
 
 
+#: A robots file of more bytes is none.
+MAX_ROBOTS = 100_000
+
+
+def followed_sitemaps(sites: DataFrame, landed: DataFrame, keys: list[str]) -> DataFrame:
+    """From a site's robots file along its sitemaps to a page of a sport (S16): keys, sitemap_url, child_url, page_url, page.
+
+    sites: keys, robots (its text), hosts; landed: url, text, the documents that requests have brought.  The first sitemap that the robots
+    file names on the site's own hosts is read; if it lists a sitemap of schedules or rosters, that one is read instead; the first
+    schedule or roster in it is the page.  A site that is left on the way has null from there on.
+    """
+    from tidewire.sources import parsers
+
+    documents = landed.select(F.col("url").alias("at"), F.col("text").alias("body"))
+    lines = F.split("robots", r"\r?\n")
+    named = F.transform(lines, lambda x: official_link(F.nullif(F.regexp_extract(x, r"(?i)^Sitemap:\s*(https://\S+)\s*$", 1), F.lit("")), F.col("hosts")))
+    first = F.get(F.filter(named, lambda x: x.isNotNull()), F.lit(0))
+    rows = sites.withColumn("sitemap_url", F.when(F.octet_length("robots") <= MAX_ROBOTS, first))
+    path = F.regexp_replace("loc", r"\?.*$", "")
+
+    def listed(of: str, most: int, wanted: Column, name: str) -> DataFrame:
+        """The first address in the sitemaps at ``of`` that is wanted and the site's own."""
+        texts = rows.where(F.col(of).isNotNull()).join(documents, F.col(of) == F.col("at")).select(*keys, "hosts", F.col("body").alias("text"), F.lit(most).alias("most"))
+        locs = parsers.parse(texts, parsers.sitemap, parsers.LOC_ROW, [*keys, "hosts", "most"]).where("pos >= 0")
+        own = locs.withColumn("loc", official_link(F.col("loc"), F.col("hosts"))).where(F.col("loc").isNotNull() & wanted)
+        return own.groupBy(*keys).agg(F.min_by("loc", "pos").alias(name))
+
+    rows = rows.join(listed("sitemap_url", parsers.MAX_LOCS, path.rlike(r"sitemap_(?:schedule|roster)_1\.xml$"), "child_url"), keys, "left")
+    rows = rows.withColumn("read_url", F.coalesce("child_url", "sitemap_url"))
+    page = F.regexp_replace(path, "^https://[^/]*", "").rlike(r"^/sports?/[a-z][a-z0-9-]*/(?:schedule|roster)(?:/|$)")
+    rows = rows.join(listed("read_url", parsers.MAX_PAGES, page, "page_url"), keys, "left")
+    rows = rows.join(documents, F.col("page_url") == F.col("at"), "left")
+    return rows.select(*keys, "sitemap_url", "child_url", "page_url", F.col("body").alias("page"))
+
+
 def navigation_label(text: Column) -> Column:
     """A link's label without what collection it leads to."""
     steps = (

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tidewire.functions.providers import RECRUITING_HOST, league_path
 from tidewire.functions.text import school_name_key
+from tidewire.functions.urls import host_of, safe_url
 from tidewire.operators.joins import unique_owner
+from tidewire.scratch import shared_root
 
 # Team entries that stand for no team yet.
 PLACEHOLDERS = ("-1", "-2")
@@ -73,27 +75,30 @@ def literal_name(value: Column) -> Column:
     return ascii_words(value)
 
 
-def match_schools(schools: DataFrame, names: DataFrame, teams: DataFrame) -> DataFrame:
-    """Each school's team with how it was found, or why not (C9, K14): school, team_id, status, how, reason.
+def match_schools(schools: DataFrame, names: DataFrame, teams: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Each school's team with how it was found, or why not (C9, K14): keys, school, team_id, status, how, reason.
 
-    schools: school, name; names: school, alias (reviewed ones); teams: team_id, location.
-    A team of a literally equal name comes first; else one of the same name without boilerplate, if that is one team's, and a
-    reviewed alias or no other school's name.  Equi-joins on the two forms; no team is compared with every school.
+    schools: keys, school, name; names: school, alias (reviewed ones); teams: keys, team_id, location.  With keys, such as the sport, a
+    school is looked for among the teams of its own.  A team of a literally equal name comes first; else one of the same name without
+    boilerplate, if that is one team's, and a reviewed alias or no other school's name.  Equi-joins on the two forms; no team is
+    compared with every school.
     """
-    own = schools.select("school", F.col("name").alias("said"), F.lit(False).alias("by_alias"))
-    own = own.unionByName(names.select("school", F.col("alias").alias("said"), F.lit(True).alias("by_alias")))
-    own = own.select("school", "by_alias", literal_name(F.col("said")).alias("literal"), school_name_key(F.col("said")).alias("loose"))
-    t = teams.select("team_id", literal_name(F.col("location")).alias("literal"), school_name_key(F.col("location")).alias("loose"))
-    literal = own.join(t.select("team_id", "literal"), "literal").groupBy("school").agg(
+    keys = keys or []
+    own = schools.select(*keys, "school", F.col("name").alias("said"), F.lit(False).alias("by_alias"))
+    listed = schools.select(*keys, "school").join(names, "school")
+    own = own.unionByName(listed.select(*keys, "school", F.col("alias").alias("said"), F.lit(True).alias("by_alias")))
+    own = own.select(*keys, "school", "by_alias", literal_name(F.col("said")).alias("literal"), school_name_key(F.col("said")).alias("loose"))
+    t = teams.select(*keys, "team_id", literal_name(F.col("location")).alias("literal"), school_name_key(F.col("location")).alias("loose"))
+    literal = own.join(t.select(*keys, "team_id", "literal"), [*keys, "literal"]).groupBy(*keys, "school").agg(
         F.count_distinct("team_id").alias("n_literal"), F.min("team_id").alias("literal_team")
     )
-    loose = own.join(t.select("team_id", "loose"), "loose").groupBy("school").agg(
+    loose = own.join(t.select(*keys, "team_id", "loose"), [*keys, "loose"]).groupBy(*keys, "school").agg(
         F.count_distinct("team_id").alias("n_loose"), F.min("team_id").alias("loose_team"), F.bool_or("by_alias").alias("alias_hit"),
         F.bool_or(~F.col("by_alias")).alias("name_hit"),
     )
-    same = schools.withColumn("loose", school_name_key(F.col("name")))
+    same = schools.select("school", school_name_key(F.col("name")).alias("loose")).distinct()
     shared = same.join(same.groupBy("loose").agg(F.count("*").alias("n_same")), "loose").select("school", "n_same")
-    rows = schools.join(literal, "school", "left").join(loose, "school", "left").join(shared, "school", "left")
+    rows = schools.join(literal, [*keys, "school"], "left").join(loose, [*keys, "school"], "left").join(shared, "school", "left")
     by_literal = F.coalesce(F.col("n_literal") > 0, F.lit(False))
     n = F.coalesce(F.when(by_literal, F.col("n_literal")).otherwise(F.col("n_loose")), F.lit(0))
     unsure = ~by_literal & ~F.coalesce("alias_hit", F.lit(False)) & (F.col("n_same") > 1)
@@ -102,10 +107,74 @@ def match_schools(schools: DataFrame, names: DataFrame, teams: DataFrame) -> Dat
     team = F.when(by_literal, F.col("literal_team")).otherwise(F.col("loose_team"))
     how = F.when(F.coalesce("name_hit", F.lit(False)), "exact-normalized-name").otherwise("reviewed-name-alias")
     return rows.select(
-        "school", F.when(ok, team).alias("team_id"), F.when(ok, "verified").otherwise("unmapped").alias("status"), F.when(ok, how).alias("how"), reason.alias("reason")
+        *keys, "school", F.when(ok, team).alias("team_id"), F.when(ok, "verified").otherwise("unmapped").alias("status"), F.when(ok, how).alias("how"), reason.alias("reason")
     )
 
 
+MAX_TEAMS, MAX_ARTICLES = 1000, 200
+_TEAM = "struct<team: struct<id: string, location: string, displayName: string>>"
+_INVENTORY = f"struct<sports: array<struct<slug: string, leagues: array<struct<slug: string, id: string, name: string, teams: array<{_TEAM}>>>>>>"
+_NEWS_INDEX = "struct<header: string, link: struct<href: string>, articles: array<string>>"
+
+
+def import_providers(programs: DataFrame, names: DataFrame, inventories: DataFrame, news: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A provider's registry from the landed answers of its leagues (R23): leagues, and the mapping of every program.
+
+    programs: school, name, sport; names: school, alias; inventories: sport, text, error_code (of a failed request); news: sport, text.
+
+    leagues: sport, status (verified, empty-inventory, unavailable), reason, league_id, league_name, team_count, placeholders, duplicates,
+    sha256, news_header, news_url.  An inventory of another league, of too many teams, or with one unsound or conflicting team is unavailable as
+    a whole.  mappings: school, sport, team_id, status, how, reason; a program without a sound inventory is unmapped for that reason.
+    """
+    from tidewire.functions.text import clean_text, digest
+
+    path = league_path(F.col("sport"))
+    told = F.from_json("text", _INVENTORY)
+    root = F.get(told["sports"], F.lit(0))
+    league = F.get(root["leagues"], F.lit(0))
+    rows = inventories.select("sport", "text", "error_code", path.alias("path"), root["slug"].alias("root"), league.alias("league"))
+    same = (F.col("root") == F.split_part("path", F.lit("/"), F.lit(1))) & (F.col("league.slug") == F.split_part("path", F.lit("/"), F.lit(2)))
+    sound = same & F.col("league.id").rlike(r"^\d+$") & (F.size("league.teams") <= MAX_TEAMS) & F.col("league.teams").isNotNull()
+    code = F.coalesce("error_code", F.when(~F.coalesce(sound, F.lit(False)), "inventory-identity-or-size-mismatch"))
+    rows = rows.withColumn("code", code)
+    entries = rows.where("code is null").select("sport", F.explode("league.teams.team").alias("team"))
+    entries = entries.select("sport", "team.id", "team.location", F.col("team.displayName").alias("name"))
+    placeholder = F.col("id").isin(*PLACEHOLDERS) & (F.col("location") == "TBD") & (F.col("name") == "TBD TBD")
+    entries = entries.withColumn("placeholder", F.coalesce(placeholder, F.lit(False)))
+    whole = F.col("id").isNotNull() & F.col("location").isNotNull() & (F.col("location") != "") & (F.char_length("location") <= 200) & F.col("name").isNotNull()
+    counted = entries.groupBy("sport").agg(
+        F.count_if("placeholder").alias("placeholders"), F.count_if(~F.col("placeholder")).alias("n"), F.bool_or(~F.col("placeholder") & ~whole).alias("unsound")
+    )
+    teams = league_teams(entries.select("sport", "id", "location", clean_text(F.col("name"), 200).alias("name")), ["sport"])
+    checked = teams.groupBy("sport").agg(F.count("*").alias("team_count"), F.max("error_code").alias("team_code"))
+    all_ = rows.join(counted, "sport", "left").join(checked, "sport", "left")
+    code = F.coalesce("code", F.when(F.col("unsound"), "invalid-team-inventory"), "team_code")
+    index = F.from_json(F.col("news_text"), _NEWS_INDEX)
+    link = safe_url(index["link"]["href"])
+    indexed = index["header"].isNotNull() & (F.char_length(index["header"]) <= 200) & host_of(link).isin("espn.com") & (F.size(index["articles"]) <= MAX_ARTICLES) & index["articles"].isNotNull()
+    all_ = all_.join(news.select("sport", F.col("text").alias("news_text")), "sport", "left").withColumn("reason", code)
+    ok = F.col("reason").isNull()
+    n = F.coalesce("team_count", F.lit(0))
+    leagues = all_.select(
+        "sport", F.when(~ok, "unavailable").when(n == 0, "empty-inventory").otherwise("verified").alias("status"), "reason", F.when(ok, F.col("league.id")).alias("league_id"),
+        F.when(ok, clean_text(F.col("league.name"), 200)).alias("league_name"), F.when(ok, n).alias("team_count"), F.when(ok, F.coalesce("placeholders", F.lit(0))).alias("placeholders"),
+        F.when(ok, F.coalesce("n", F.lit(0)) - n).alias("duplicates"), F.when(ok, digest(F.col("text"))).alias("sha256"),
+        F.when(ok & F.coalesce(indexed, F.lit(False)), index["header"]).alias("news_header"), F.when(ok & F.coalesce(indexed, F.lit(False)), link).alias("news_url"),
+    )
+    # a row per sport, asked three times below
+    shared_root(programs.sparkSession)
+    leagues = leagues.checkpoint()
+    good = leagues.where("status <> 'unavailable'").select("sport")
+    found = match_schools(
+        programs.join(good, "sport", "left_semi").select("sport", "school", "name"), names,
+        teams.join(good, "sport", "left_semi").select("sport", F.col("id").alias("team_id"), "location"), ["sport"],
+    )
+    rest = programs.join(good, "sport", "left_anti").select("school", "sport").join(leagues.select("sport", F.col("reason").alias("why")), "sport", "left")
+    none = lambda n: F.lit(None).cast("string").alias(n)
+    unmapped = rest.select("school", "sport", none("team_id"), F.lit("unmapped").alias("status"), none("how"), F.coalesce("why", F.lit("no-verified-league-inventory")).alias("reason"))
+    return leagues, found.select("school", "sport", "team_id", "status", "how", "reason").unionByName(unmapped)
+
+
 def recruiting_candidates(rows: DataFrame) -> DataFrame:
     """A provider's schools by slug, those with several names dropped (A22, R24): slug, name.  rows: slug, name, pos."""
     return unique_owner(rows.select("slug", "name"), "slug", "name")

@@ -467,10 +467,11 @@ def robots_sitemap(text: str, context: dict) -> Iterator[dict]:
 
 
 def sitemap(text: str, context: dict) -> Iterator[dict]:
-    """Addresses of a sitemap or of an index of sitemaps."""
+    """Addresses of a sitemap or of an index of sitemaps (S16).  context: perhaps most, how many are read."""
     root = ET.fromstring(text.strip())
+    most = context.get("most") or (MAX_LOCS if root.tag.endswith("sitemapindex") else MAX_PAGES)
     for i, node in enumerate(n for n in root.iter() if n.tag.rpartition("}")[2] == "loc"):
-        if i >= (MAX_LOCS if root.tag.endswith("sitemapindex") else MAX_PAGES):
+        if i >= most:
             break
         yield {"loc": (node.text or "").strip()}
 
