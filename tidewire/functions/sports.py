@@ -123,6 +123,7 @@ def alias_rows(programs: DataFrame) -> DataFrame:
     Computed once as a dimension; matching a label is then an equi-join.
     """
     spark: SparkSession = programs.sparkSession
+    # broadcast below: tables of the fixed values above, some hundred rows whatever the programs
     more = [(base, "{p}" + code) for base, codes in SHORT_CODES.items() for code in codes]
     more += [(base, name) for base, names in GENDERED_NAMES.items() for name in names]
     gendered = spark.createDataFrame(more, "base string, pattern string")

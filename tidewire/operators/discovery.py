@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions.sports import match_labels, normal_label, route_slugs
@@ -33,12 +33,12 @@ def sport_links(links: DataFrame, programs: DataFrame, aliases: DataFrame) -> Da
     """
     of_school = aliases.join(programs.select("program_id", "school", "slug"), "program_id")
     rows = links.withColumn("kind", link_kind(F.col("label"), F.col("url")))
-    by_route = rows.withColumn("alias", F.explode(F.transform(route_slugs(F.col("url")), normal_label))).withColumn("how", F.lit(0))
-    by_label = rows.withColumn("alias", normal_label(F.col("label"))).withColumn("how", F.lit(1))
-    by_section = rows.withColumn("alias", normal_label(F.col("section"))).withColumn("how", F.lit(2))
-    all_ = by_route.unionByName(by_label).unionByName(by_section).where("alias <> ''").join(of_school, ["school", "alias"])
-    best = all_.groupBy("school", "pos", "url").agg(F.min("how").alias("how"))
-    return all_.join(best, ["school", "pos", "url", "how"]).select("school", "program_id", "slug", "pos", "kind", "url").distinct()
+    says = lambda alias, how: F.struct(normal_label(alias).alias("alias"), F.lit(how).alias("how"))
+    routes = F.transform(route_slugs(F.col("url")), lambda slug: says(slug, 0))
+    named = rows.select("*", F.inline(F.concat(routes, F.array(says(F.col("label"), 1), says(F.col("section"), 2)))))
+    hits = named.where("alias <> ''").join(of_school, ["school", "alias"])
+    best = F.min("how").over(Window.partitionBy("school", "pos", "url"))
+    return hits.withColumn("best", best).where("how = best").select("school", "program_id", "slug", "pos", "kind", "url").distinct()
 
 
 def program_sources(matched: DataFrame) -> DataFrame:

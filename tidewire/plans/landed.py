@@ -130,14 +130,15 @@ def written_manifests(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT page_id, CASE page_id % 6 WHEN 0 THEN 'timeout' WHEN 1 THEN 'http-404' WHEN 2 THEN 'invalid-content-type' ELSE CASE WHEN strlen(html) > 3000 THEN 'response-too-large' END END AS error_code,
-        CASE WHEN page_id % 6 > 2 AND strlen(html) <= 3000 THEN html END AS text FROM pages WHERE html IS NOT NULL AND html <> ''""",
+    """SELECT page_id, CASE page_id % 6 WHEN 0 THEN 'timeout' WHEN 1 THEN 'http-404' WHEN 2 THEN 'invalid-content-type'
+            ELSE CASE WHEN strlen(html) > 3000 THEN 'response-too-large' WHEN coalesce(html, '') = '' AND page_id % 6 = 3 THEN 'empty-response' END END AS error_code,
+        CASE WHEN page_id % 6 > 3 AND coalesce(html, '') = '' THEN '' WHEN page_id % 6 > 2 AND strlen(html) BETWEEN 1 AND 3000 THEN html END AS text FROM pages""",
     "S7 S9 S14",
 )
 def landed_responses(t: Tables) -> DataFrame:
     """Landed pages: errors of the exchange, states, types, bodies plain or compressed, and sizes."""
     k = F.col("page_id")
-    pages = t.pages.where("html is not null and html <> ''")
+    pages = t.pages
     encoding = F.when(k % 6 == 4, "gzip").when(k % 6 == 5, "br")
     rows = pages.select(
         "page_id", F.when(k % 6 == 0, "timeout").alias("error"), F.when(k % 6 == 1, 404).otherwise(200).alias("status"),

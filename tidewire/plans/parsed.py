@@ -24,7 +24,7 @@ _HREF = """<a href="(/[^"]*)">([^<]*)</a>"""
     SELECT page_id, 'https://' || host || href AS url, label FROM l WHERE NOT regexp_matches(href, '(?i)\\.(?:pdf|jpe?g|png|gif|mp4|zip)$')"""
 )
 def page_links(t: Tables) -> DataFrame:
-    pages = t.pages.where("url like 'https://%'").select("page_id", "url", F.col("html").alias("text"))
+    pages = t.pages.select("page_id", "url", F.col("html").alias("text"))
     rows = parsers.parse(pages.withColumnRenamed("url", "page_url").withColumn("url", F.col("page_url")), _page_links, parsers.LINK_ROW, ["page_id", "page_url"])
     return rows.where("pos >= 0").select("page_id", "url", "label")
 
