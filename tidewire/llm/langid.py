@@ -37,6 +37,8 @@ EPOCHS, BATCH, ALPHA, BETA, L1, L2 = 4, 16, 0.3, 1.0, 0.5, 0.01
 #: Bounds of the temperature, for samples that the weights separate fully.
 COLDEST, HOTTEST = 0.25, 16.0
 UNDETERMINED = "und"
+#: Texts are counted so many characters at a time, so that what a worker holds stays small and near the processor.
+PORTION = 100_000
 
 
 def held_out(id_col: Column) -> Column:
@@ -182,7 +184,7 @@ def fit_temperature(logits: np.ndarray, y: np.ndarray) -> float:
 def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     df = np.zeros(BUCKETS, np.int64)
     for batch in batches:
-        for part in portions(values_of(batch.column(0)), _weight, 1_000_000):
+        for part in portions(values_of(batch.column(0)), _weight, PORTION):
             df += (gram_counts(part) > 0).sum(axis=0)
     yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS)), pa.array(df)], ["bucket", "df"])
 
@@ -195,7 +197,7 @@ def _sparse_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         langs, places = batch.column(0), batch.column(1)
         first = 0
-        for part in portions(values_of(batch.column(2)), _weight, 1_000_000):
+        for part in portions(values_of(batch.column(2)), _weight, PORTION):
             counts = gram_counts(part)
             rows, buckets = np.nonzero(counts)
             offsets = np.searchsorted(rows, np.arange(len(part) + 1)).astype(np.int32)
@@ -280,7 +282,7 @@ def with_language(
             texts = values_of(batch.column(batch.schema.get_field_index(text_col)))
             known = batch.column(batch.num_columns - 1).to_pylist()
             first = 0
-            for part in portions(texts, _weight, 1_000_000):
+            for part in portions(texts, _weight, PORTION):
                 best, p = model.predict(part)
                 ok = np.array(known[first : first + len(part)], bool)
                 lang, score = np.where(ok, names[best], UNDETERMINED), np.where(ok, p, 0.0)

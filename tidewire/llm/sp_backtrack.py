@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 SPACE = "▁"
 #: So many chunks and pairs are remembered in each task; longer chunks are not.
-REMEMBERED, LONGEST_REMEMBERED = 400_000, 48
+REMEMBERED, LONGEST_REMEMBERED = 250_000, 32
 _NORMAL, _UNKNOWN, _BYTE = 1, 2, 6
 
 
