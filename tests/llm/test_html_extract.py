@@ -66,3 +66,17 @@ def test_elements_whose_names_begin_like_others():
     for name in ("title-bar", "style-guide", "script-box", "button-group", "video-player", "object-list", "textarea-label"):
         assert text(f"<body><article><{name}>{story}</{name}></article></body>") == text(f"<body><article>{story}</article></body>") != "", name
         assert text(f"<body><article><{name}>{story}</article></body>").startswith("Bridge opens\n"), name
+
+
+def test_forms_round_whole_pages():
+    story = "<h1>Bridge opens</h1><p>The new bridge over the river was opened on Monday by the mayor and some hundred people who had waited for it.</p>"
+    want = text(f"<body><article>{story}</article></body>")
+    assert want.startswith("Bridge opens\n")
+    for page in (f"<article><form id=aspnet>{story}</form></article>", f"<form action=/x><article>{story}</article></form>", f"<form id=f><div class=content><main>{story}</main></div>"):
+        assert text(f"<body>{page}</body>") == want, page
+    asked = "<form><p>Tell us your name and where you live, and we will send you a letter with the news of the week every Sunday.</p></form>"
+    assert text(f"<body><article>{story}{asked}</article></body>") == want
+
+
+def test_controls_stand_between_words():
+    assert text("<article><p>one<button>Buy</button>two<select><option>x</select>three</p></article>") == "one two three"

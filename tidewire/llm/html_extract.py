@@ -59,6 +59,8 @@ _TOKEN = re.compile(
     re.I | re.S,
 )
 
+_FORM_END, _ARTICLE = re.compile(r"</form\s*>", re.I), re.compile(r"<(?:article|main|h1)(?=[\s/>])", re.I)
+_CONTROLS = frozenset("button select".split())
 _END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in _SKIPPED}
 _START = {tag: re.compile(rf"<{tag}(?=[\s/>])", re.I) for tag in _SKIPPED}
 
@@ -107,6 +109,12 @@ def _skipped_to(html: str, tag: str, at: int, missing: set[str]) -> int:
     return end.end()
 
 
+def _holds_article(html: str, at: int) -> bool:
+    """Whether an element that is not nested, opened before ``at``, has an article or the heading of a page in it."""
+    end = _FORM_END.search(html, at)
+    return _ARTICLE.search(html, at, end.start() if end else len(html)) is not None
+
+
 def blocks_of(html: str | None) -> list[Block]:
     """The non-empty blocks of a page, in page order."""
     out: list[Block] = []
@@ -149,6 +157,8 @@ def blocks_of(html: str | None) -> list[Block]:
         if tag in _SKIPPED:
             if not ending and not (m["rest"] or m["rest2"] or "").endswith("/"):
                 at = _skipped_to(html, tag, at, missing)
+            if tag in _CONTROLS:
+                pieces.append(" ")  # it stands between what is before and behind it
             continue
         if tag == "a":
             in_link = 0 if ending else 1
@@ -169,6 +179,8 @@ def blocks_of(html: str | None) -> list[Block]:
         if tag in ("p", *_HEADINGS, "li", "dt", "dd", "tr", "td", "th", "option") and stack[-1][0] in ("p", *_HEADINGS, tag):
             stack.pop()  # these end by themselves
         strong, weak, called = _kind(tag, rest)
+        if tag == "form" and strong and _holds_article(html, at):
+            strong = False  # the form of a whole page, as some servers make it
         _, foreign, surely, main, heading, named = stack[-1]
         n_named += called
         if tag in _MAIN_TAGS:
