@@ -80,9 +80,9 @@ def test_wildcards_equal_a_nested_loop(spark, seed):
     assert sorted((x.s, x.p, x.i) for x in got.collect()) == want
 
 
-@pytest.mark.parametrize("ranges", [1, 5, 40])
+@pytest.mark.parametrize("ranges", [None, 1, 5, 40])
 def test_as_of_of_a_hot_key(spark, ranges):
-    r = random.Random(ranges)
+    r = random.Random(ranges or 0)
     key = lambda: r.choice(["hot"] * 6 + ["k", "m", None])
     rows = [(key(), i, r.choice([None, r.randrange(300)])) for i in range(500)]
     facts = [(key(), r.choice([None, r.randrange(40), r.randrange(300)]), r.choice([None, f"v{i}"])) for i in range(90)]
@@ -93,6 +93,7 @@ def test_as_of_of_a_hot_key(spark, ranges):
         seen = [(-1 if t is None else t, v) for fk, t, v in facts if fk == k and v is not None and (t is None or (at is not None and t <= at))]
         want[i] = max(seen)[1] if seen and k is not None else None
     assert got == want and len({v for v in got.values()}) > 10
+    assert ranges or {x.id: x.v for x in joins.as_of(df, "at", told, "t", ["k"], "v", hot=100).collect()} == want
 
 
 def test_as_of_spreads_a_hot_key(spark):

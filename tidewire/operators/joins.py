@@ -76,12 +76,17 @@ def match_unique(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     return second.select(left_id, F.coalesce("r_exact", "r_loose").alias(right_id), how.alias("how"))
 
 
-def as_of(rows: DataFrame, at: str, facts: DataFrame, fact_at: str, keys: list[str], value: str, ranges: int | None = None) -> DataFrame:
+#: A key with more rows than this is spread over several tasks by an as-of join.
+HOT_ROWS = 1_000_000
+
+
+def as_of(rows: DataFrame, at: str, facts: DataFrame, fact_at: str, keys: list[str], value: str, ranges: int | None = None, hot: int = HOT_ROWS) -> DataFrame:
     """Each row with the latest value at or before it (K22); of values at one time the largest, null where a key is null.
 
-    Not a range join but one pass over the union of both tables, cut into ranges of (keys, time), so that a key with very many rows
-    spreads over several tasks.  Each range looks back within itself; what it finds nothing for takes the last value of the key in an
-    earlier range, of which there is one row per key and range.
+    Not a range join but one sorted pass over the union of both tables.  If the most frequent key has more than ``hot`` rows, counted
+    beforehand, or if ``ranges`` are asked for, the union is cut into ranges of (keys, time), so that a key with very many rows spreads over
+    several tasks.  Each range looks back within itself; what it finds nothing for takes the last value of the key in an earlier range, of
+    which there is one row per key and range.
     """
     from pyspark.sql import Window
 
@@ -90,14 +95,23 @@ def as_of(rows: DataFrame, at: str, facts: DataFrame, fact_at: str, keys: list[s
     none = F.lit(None).cast(facts.schema[value].dataType)
     tagged = rows.withColumn("__at", F.col(at)).withColumn("__fact", none).withColumn("__row", F.lit(1))
     other = facts.select(*keys, F.col(fact_at).alias("__at"), F.col(value).alias("__fact"), F.lit(0).alias("__row"))
-    cut = cut_by_range(tagged.unionByName(other, allowMissingColumns=True), [*keys, "__at"], ranges)
-    order = Window.partitionBy(*keys, "__range").orderBy("__at", "__row", "__fact").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    near = cut.withColumn("__near", F.last("__fact", ignorenulls=True).over(order)).where("__row = 1")
-    last = cut.groupBy(*keys, "__range").agg(F.max_by(F.when(F.col("__fact").isNotNull(), F.col("__fact")), F.when(F.col("__fact").isNotNull(), F.struct("__at", "__fact"))).alias("__last"))
+    both = tagged.unionByName(other, allowMissingColumns=True)
+    whole = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
+    back = lambda *by: F.last("__fact", ignorenulls=True).over(
+        Window.partitionBy(*by).orderBy("__at", "__row", "__fact").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    if ranges is None:
+        most = both.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        if most <= hot:
+            out = both.withColumn("__near", back(*keys)).where("__row = 1")
+            return out.withColumn(value, F.when(whole, F.col("__near"))).drop("__at", "__fact", "__row", "__near")
+    cut = cut_by_range(both, [*keys, "__at"], ranges)
+    near = cut.withColumn("__near", back(*keys, "__range")).where("__row = 1")
+    known = F.col("__fact").isNotNull()
+    last = cut.groupBy(*keys, "__range").agg(F.max_by(F.when(known, F.col("__fact")), F.when(known, F.struct("__at", "__fact"))).alias("__last"))
     before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     carried = last.withColumn("__carried", F.last("__last", ignorenulls=True).over(before)).drop("__last")
     out = near.join(carried, [*keys, "__range"], "left")
-    whole = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
     return out.withColumn(value, F.when(whole, F.coalesce("__near", "__carried"))).drop("__at", "__fact", "__row", "__range", "__near", "__carried")
 
 
