@@ -89,22 +89,22 @@ def match_schools(schools: DataFrame, names: DataFrame, teams: DataFrame, keys:
     own = own.unionByName(listed.select(*keys, "school", F.col("alias").alias("said"), F.lit(True).alias("by_alias")))
     own = own.select(*keys, "school", "by_alias", literal_name(F.col("said")).alias("literal"), school_name_key(F.col("said")).alias("loose"))
     t = teams.select(*keys, "team_id", literal_name(F.col("location")).alias("literal"), school_name_key(F.col("location")).alias("loose"))
-    literal = own.join(t.select(*keys, "team_id", "literal"), [*keys, "literal"]).groupBy(*keys, "school").agg(
-        F.count_distinct("team_id").alias("n_literal"), F.min("team_id").alias("literal_team")
-    )
-    loose = own.join(t.select(*keys, "team_id", "loose"), [*keys, "loose"]).groupBy(*keys, "school").agg(
-        F.count_distinct("team_id").alias("n_loose"), F.min("team_id").alias("loose_team"), F.bool_or("by_alias").alias("alias_hit"),
+    # a name is of one team or of several: its least and greatest are enough, so a name that many share is a row and no product
+    least = lambda by: t.groupBy(*keys, by).agg(F.min("team_id").alias("lo"), F.max("team_id").alias("hi"))
+    literal = own.join(least("literal"), [*keys, "literal"]).groupBy(*keys, "school").agg(F.min("lo").alias("literal_team"), F.max("hi").alias("literal_last"))
+    loose = own.join(least("loose"), [*keys, "loose"]).groupBy(*keys, "school").agg(
+        F.min("lo").alias("loose_team"), F.max("hi").alias("loose_last"), F.bool_or("by_alias").alias("alias_hit"),
         F.bool_or(~F.col("by_alias")).alias("name_hit"),
     )
     same = schools.select("school", school_name_key(F.col("name")).alias("loose")).distinct()
     shared = same.join(same.groupBy("loose").agg(F.count("*").alias("n_same")), "loose").select("school", "n_same")
     rows = schools.join(literal, [*keys, "school"], "left").join(loose, [*keys, "school"], "left").join(shared, "school", "left")
-    by_literal = F.coalesce(F.col("n_literal") > 0, F.lit(False))
-    n = F.coalesce(F.when(by_literal, F.col("n_literal")).otherwise(F.col("n_loose")), F.lit(0))
+    by_literal = F.col("literal_team").isNotNull()
+    team, last = (F.when(by_literal, F.col(f"literal_{c}")).otherwise(F.col(f"loose_{c}")) for c in ("team", "last"))
+    n = F.when(team.isNull(), 0).when(team == last, 1).otherwise(2)
     unsure = ~by_literal & ~F.coalesce("alias_hit", F.lit(False)) & (F.col("n_same") > 1)
     reason = F.when(n == 0, "no-exact-or-reviewed-alias-match").when(n > 1, "ambiguous-provider-school-name").when(unsure, "ambiguous-ncaa-school-name")
     ok = reason.isNull()
-    team = F.when(by_literal, F.col("literal_team")).otherwise(F.col("loose_team"))
     how = F.when(F.coalesce("name_hit", F.lit(False)), "exact-normalized-name").otherwise("reviewed-name-alias")
     return rows.select(
         *keys, "school", F.when(ok, team).alias("team_id"), F.when(ok, "verified").otherwise("unmapped").alias("status"), F.when(ok, how).alias("how"), reason.alias("reason")
@@ -197,11 +197,13 @@ def schools_of_candidates(candidates: DataFrame, schools: DataFrame, names: Data
     said = schools.select("school", F.col("name").alias("said")).unionByName(names.select("school", F.col("alias").alias("said")))
     said = said.select("school", literal_name(F.col("said")).alias("literal"), school_name_key(F.col("said")).alias("loose"))
     c = candidates.select("slug", literal_name(F.col("name")).alias("literal"), school_name_key(F.col("name")).alias("loose"))
-    one = lambda by: c.join(said, by).groupBy("slug").agg(F.count_distinct("school").alias("n"), F.min("school").alias("school"))
+    # the least and greatest school of a name say whether it is one's, so a name that many share is a row and no product
+    schools_of = lambda by: said.groupBy(by).agg(F.min("school").alias("lo"), F.max("school").alias("hi"))
+    one = lambda by: c.join(schools_of(by), by).groupBy("slug").agg(F.min("lo").alias("school"), F.max("hi").alias("last"))
     literal, loose = one("literal"), one("loose")
     found = literal.withColumn("how", F.lit(0)).unionByName(loose.withColumn("how", F.lit(1)))
     first = F.row_number().over(Window.partitionBy("slug").orderBy("how"))
-    return found.withColumn("r", first).where("r = 1 and n = 1").select("slug", "school")
+    return found.withColumn("r", first).where("r = 1 and school = last").select("slug", "school")
 
 
 def provider_articles(articles: DataFrame) -> DataFrame:
