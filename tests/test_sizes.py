@@ -1,7 +1,9 @@
 """Work that must not grow faster than its input: rows of joins, readings of a document, bounds of pages."""
 
 import json
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewire.operators import providers
@@ -50,3 +52,20 @@ def test_rosters_are_read_twice(spark):
     df = parsers.provider_roster(spark.createDataFrame([(2, json.dumps(told)), (3, json.dumps(told)), (2, '{"team":{"id":"2"}}')], "team_id int, text string"), ["team_id"])
     assert sorted((r.id or "", r.position or "", r.error_code or "") for r in df.collect()) == [("", "", "invalid-roster"), ("", "", "source-team-mismatch"), ("p", "K", ""), ("q", "WR", "")]
     assert readings(df) == 2
+
+
+def test_a_document_is_read_once(spark):
+    article = {"headline": "State wins", "description": "", "categories": [{"type": "league", "leagueId": 1}, {"type": "team", "teamId": 2}]}
+    docs = [(2, 1, "H", ["State"], json.dumps({"header": h, "articles": [article, article | {"headline": "None"}]})) for h in ("H", "Other")]
+    news = parsers.provider_news(spark.createDataFrame(docs, "team_id int, league_id int, header string, names array<string>, text string"), ["team_id", "league_id", "header", "names"])
+    found = providers.provider_articles(news)
+    assert sorted((r.title or "", r.error_code or "") for r in found.collect()) == [("", "news-identity-mismatch"), ("State wins", "")] and readings(found) == 1
+    games = parsers.provider_schedule(spark.createDataFrame([(2, '{"team":{"id":"2"},"events":[]}'), (2, "{}")], "team_id int, text string"), ["team_id"])
+    assert [r.error_code for r in games.collect()] == ["source-team-mismatch"] and readings(games) == 1
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the driver's tables are not here")
+def test_documents_of_a_small_file_are_made_by_many_tasks(spark):
+    folder = "/root/testdata/sf0.001"
+    for name in ("provider_schedules", "provider_rosters", "provider_news", "official_cards", "official_stories", "sports_of_parts"):
+        assert "REPARTITION_BY_NUM" in QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString(), name

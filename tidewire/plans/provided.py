@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.operators import merge, providers, recruiting
-from tidewire.plans.registry import Tables, pick, pick_sql, query
+from tidewire.plans.registry import Tables, pick, pick_sql, query, spread
 from tidewire.sources import parsers
 
 _SPORTS = ["football", "softball", "golf", "baseball"]
@@ -154,7 +154,7 @@ def provider_schedules(t: Tables) -> DataFrame:
     date = "case when c_custkey % 4 = 2 then '2026-01-01T00:00' else '2026-01-01T00:00Z' end"
     event = f"named_struct('id', 'e', 'date', {date}, 'timeValid', false, 'competitions', array(named_struct('neutralSite', false, 'competitors', {sides})))"
     doc = f"to_json(named_struct('team', named_struct('id', case when c_custkey % 4 = 1 then '9' else '2' end), 'events', array_repeat({event}, case when c_custkey % 4 = 3 then 401 else 2 end)))"
-    docs = t.customer.select("c_custkey", F.expr(doc).alias("text"), F.lit(2).alias("team_id"))
+    docs = spread(t.customer, "c_custkey").select("c_custkey", F.expr(doc).alias("text"), F.lit(2).alias("team_id"))
     return parsers.provider_schedule(docs, ["c_custkey", "team_id"]).select("c_custkey", "error_code", "opponent", "home_away", "team_score", "date_precision")
 
 
@@ -170,7 +170,7 @@ def provider_rosters(t: Tables) -> DataFrame:
     group = f"concat('{{\"items\":[', {player('p', 'c_name', 'K')}, ',', {player('p', 'c_name', 'QB')}, ']}}')"
     more = f"case when c_custkey % 4 = 3 then repeat(concat(',', {player('r', 'c_name', 'K')}), 300) when c_custkey % 4 = 2 then ',{{\"id\":\"z\"}}' else '' end"
     doc = f"concat('{{\"team\":{{\"id\":\"', case when c_custkey % 4 = 1 then '9' else '2' end, '\"}},\"athletes\":[', {group}, ',', concat({player('q', chr(39) + 'Q' + chr(39), 'WR')}), {more}, ']}}')"
-    docs = t.customer.select("c_custkey", F.expr(doc).alias("text"), F.lit(2).alias("team_id"))
+    docs = spread(t.customer, "c_custkey").select("c_custkey", F.expr(doc).alias("text"), F.lit(2).alias("team_id"))
     return parsers.provider_roster(docs, ["c_custkey", "team_id"]).select("c_custkey", "id", "name", "position", "error_code")
 
 
@@ -194,7 +194,7 @@ def _listed(t: Tables) -> DataFrame:
         F.lit("</a></li><li><a href='/player/b-12'>B</a></li></ul><h2>Enrollees (1)</h2><ul><li><a href='/player/a-11'>"), F.when(k % 3 == 0, "Other").otherwise(F.col("c_name")),
         F.lit("</a></li></ul><h2>Transfers (1)</h2><ul><li><a href='/player/c-13'>C</a></li></ul>"),
     )
-    rows = parsers.parse(t.customer.select("c_custkey", page.alias("text")), parsers.sections, parsers.SECTION_ROW, ["c_custkey"])
+    rows = parsers.parse(spread(t.customer, "c_custkey").select("c_custkey", page.alias("text")), parsers.sections, parsers.SECTION_ROW, ["c_custkey"])
     return recruiting.listed(rows, ["c_custkey"])
 
 
