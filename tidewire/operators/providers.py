@@ -209,10 +209,11 @@ def schools_of_candidates(candidates: DataFrame, schools: DataFrame, names: Data
 def provider_articles(articles: DataFrame) -> DataFrame:
     """Articles of a league that carry its and the team's category and name the school.
 
-    articles: as ``sources.parsers.provider_news`` gives them, with names (the school's and team's, array).
+    articles: as ``sources.parsers.provider_news`` gives them, with names (the school's and team's, array); rows with an error_code stay.
     """
     from tidewire.functions.text import ascii_words, clean_text
 
     said = F.concat(F.lit(" "), ascii_words(F.concat_ws(" ", clean_text(F.col("title")), clean_text(F.col("description"), 2000))), F.lit(" "))
     keys = F.filter(F.transform("names", ascii_words), lambda x: F.char_length(x) >= 3)
-    return articles.where(F.exists(keys, lambda x: F.contains(said, F.concat(F.lit(" "), x, F.lit(" ")))))
+    names = F.exists(keys, lambda x: F.contains(said, F.concat(F.lit(" "), x, F.lit(" "))))
+    return articles.where(F.col("error_code").isNotNull() | names if "error_code" in articles.columns else names)

@@ -134,10 +134,9 @@ def provider_news(t: Tables) -> DataFrame:
     other = article(F.lit("State but other team"), of("league", "leagueId", 1), of("team", "teamId", 3))
     articles = F.when(k % 4 == 2, F.array_repeat(other, 201)).otherwise(F.array(ours, other))
     told = F.struct(F.when(k % 4 == 1, "Other").otherwise("League").alias("header"), articles.alias("articles"))
-    docs = t.customer.select("c_custkey", F.to_json(told).alias("text"), F.lit(1).alias("league_id"), F.lit(2).alias("team_id"), F.lit("League").alias("header"), F.array(F.lit("State")).alias("names"))
+    docs = spread(t.customer, "c_custkey").select("c_custkey", F.to_json(told).alias("text"), F.lit(1).alias("league_id"), F.lit(2).alias("team_id"), F.lit("League").alias("header"), F.array(F.lit("State")).alias("names"))
     rows = parsers.provider_news(docs, ["c_custkey", "league_id", "team_id", "header", "names"])
-    named = providers.provider_articles(rows.where("error_code is null"))
-    return rows.where("error_code is not null").unionByName(named).select("c_custkey", "error_code", "title")
+    return providers.provider_articles(rows).select("c_custkey", "error_code", "title")
 
 
 _SIDE = "named_struct('id', '{id}', 'homeAway', '{where}', 'team', named_struct('displayName', {name}), 'score', named_struct('value', cast({score} as double)))"
