@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewire.functions import dates, providers, sports, text, urls
 from tidewire.operators import classify, discovery, enrich, official, windows
-from tidewire.plans.registry import Tables, query
+from tidewire.plans.registry import Tables, query, spread
 from tidewire.sources import documents
 
 
@@ -167,7 +167,7 @@ def sports_of_parts(t: Tables) -> DataFrame:
         F.when(size < 12, F.concat(F.lit("Men’s "), name)).when(size < 24, F.concat(F.upper(name), F.lit(" - Women's"))).when(size < 30, F.concat(name, F.lit(" (M)")))
         .when(size < 36, F.concat(F.lit("Female  "), name)).otherwise(F.initcap(name))
     )
-    rows = t.part.select("p_partkey", "p_name", "p_type", label.alias("l"), F.when(F.col("p_type") < "M", "mens").otherwise("womens").alias("expected"))
+    rows = spread(t.part, "p_partkey").select("p_partkey", "p_name", "p_type", label.alias("l"), F.when(F.col("p_type") < "M", "mens").otherwise("womens").alias("expected"))
     declared, l = F.when(F.col("p_type") == "PROMO", "X"), F.col("l")  # noqa: E741
     return rows.select(
         "p_partkey", sports.normal_label(l).alias("label"), sports.sport_gender(declared, l, F.lit(None).cast("string")).alias("gender"),
