@@ -69,3 +69,31 @@ def test_documents_of_a_small_file_are_made_by_many_tasks(spark):
     folder = "/root/testdata/sf0.001"
     for name in ("provider_schedules", "provider_rosters", "provider_news", "official_cards", "official_stories", "sports_of_parts"):
         assert "REPARTITION_BY_NUM" in QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString(), name
+
+
+def test_an_inventory_in_parts(spark):
+    def part(first, n, league_id="9"):
+        teams = [{"team": {"id": str(i), "location": f"L{i}", "displayName": "D"}} for i in range(first, first + n)]
+        return json.dumps({"sports": [{"slug": "football", "leagues": [{"slug": "college-football", "id": league_id, "name": "L", "teams": teams}]}]})
+
+    def imported(*texts):
+        rows = spark.createDataFrame([("football", t, None) for t in texts], "sport string, text string, error_code string")
+        programs = spark.createDataFrame([("s", "L1500", "football")], "school string, name string, sport string")
+        names, news = spark.createDataFrame([], "school string, alias string"), spark.createDataFrame([], "sport string, text string")
+        leagues, mappings = providers.import_providers(programs, names, rows, news)
+        (league,), (mapping,) = leagues.collect(), mappings.collect()
+        return league.reason, league.team_count, league.duplicates, mapping.team_id
+
+    wrong = "inventory-identity-or-size-mismatch"
+    assert imported(part(0, 1000), part(999, 1000)) == (None, 1999, 1, "1500")
+    assert imported(part(0, 1000), part(1000, 1, "8"))[0] == imported(part(0, 1001))[0] == wrong
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the driver's tables are not here")
+def test_leagues_of_many_suppliers(spark, tmp_path):
+    for name in ("nation", "customer"):
+        os.symlink(f"/root/testdata/sf0.001/{name}.parquet", tmp_path / f"{name}.parquet")
+    suppliers = spark.range(2000).select(F.col("id").alias("s_suppkey"), F.lit("S").alias("s_name"), F.lit(0).alias("s_nationkey"))
+    suppliers.write.parquet(f"{tmp_path}/supplier.parquet")
+    (league,) = QUERIES["imported_leagues"](spark, str(tmp_path)).collect()
+    assert (league.status, league.team_count, league.placeholders, league.duplicates) == ("verified", 2000, 1, 2000)

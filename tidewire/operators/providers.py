@@ -121,10 +121,11 @@ def import_providers(programs: DataFrame, names: DataFrame, inventories: DataFra
     """A provider's registry from the landed answers of its leagues (R23): leagues, and the mapping of every program.
 
     programs: school, name, sport; names: school, alias; inventories: sport, text, error_code (of a failed request); news: sport, text.
+    A league's inventory may come in parts, a row each, so a part has ``MAX_TEAMS`` entries at most and a league as many as it has.
 
     leagues: sport, status (verified, empty-inventory, unavailable), reason, league_id, league_name, team_count, placeholders, duplicates,
-    sha256, news_header, news_url.  An inventory of another league, of too many teams, or with one unsound or conflicting team is unavailable as
-    a whole.  mappings: school, sport, team_id, status, how, reason; a program without a sound inventory is unmapped for that reason.
+    sha256, news_header, news_url.  An inventory with a part of another league or of too many entries, or with one unsound or conflicting team,
+    is unavailable as a whole; ``sha256`` is of its text, of several parts of their digests in order.  mappings: school, sport, team_id, status, how, reason; a program without a sound inventory is unmapped for that reason.
     """
     from tidewire.functions.text import clean_text, digest
 
@@ -145,9 +146,14 @@ def import_providers(programs: DataFrame, names: DataFrame, inventories: DataFra
     counted = entries.groupBy("sport").agg(
         F.count_if("placeholder").alias("placeholders"), F.count_if(~F.col("placeholder")).alias("n"), F.bool_or(~F.col("placeholder") & ~whole).alias("unsound")
     )
+    told = rows.select("sport", "code", F.col("league.id").alias("id"), F.col("league.name").alias("name"), digest(F.col("text")).alias("sha"))
+    told = told.groupBy("sport").agg(
+        F.max("code").alias("code"), F.min("id").alias("id"), F.max("id").alias("other_id"), F.min("name").alias("name"), F.sort_array(F.collect_list("sha")).alias("sha")
+    )
+    told = told.withColumn("code", F.coalesce("code", F.when(F.col("id") != F.col("other_id"), "inventory-identity-or-size-mismatch")))
     teams = league_teams(entries.select("sport", "id", "location", clean_text(F.col("name"), 200).alias("name")), ["sport"])
     checked = teams.groupBy("sport").agg(F.count("*").alias("team_count"), F.max("error_code").alias("team_code"))
-    all_ = rows.join(counted, "sport", "left").join(checked, "sport", "left")
+    all_ = told.join(counted, "sport", "left").join(checked, "sport", "left")
     code = F.coalesce("code", F.when(F.col("unsound"), "invalid-team-inventory"), "team_code")
     index = F.from_json(F.col("news_text"), _NEWS_INDEX)
     link = safe_url(index["link"]["href"])
@@ -155,10 +161,11 @@ def import_providers(programs: DataFrame, names: DataFrame, inventories: DataFra
     all_ = all_.join(news.select("sport", F.col("text").alias("news_text")), "sport", "left").withColumn("reason", code)
     ok = F.col("reason").isNull()
     n = F.coalesce("team_count", F.lit(0))
+    sha = F.when(F.size("sha") == 1, F.get("sha", F.lit(0))).otherwise(digest(F.array_join("sha", "")))
     leagues = all_.select(
-        "sport", F.when(~ok, "unavailable").when(n == 0, "empty-inventory").otherwise("verified").alias("status"), "reason", F.when(ok, F.col("league.id")).alias("league_id"),
-        F.when(ok, clean_text(F.col("league.name"), 200)).alias("league_name"), F.when(ok, n).alias("team_count"), F.when(ok, F.coalesce("placeholders", F.lit(0))).alias("placeholders"),
-        F.when(ok, F.coalesce("n", F.lit(0)) - n).alias("duplicates"), F.when(ok, digest(F.col("text"))).alias("sha256"),
+        "sport", F.when(~ok, "unavailable").when(n == 0, "empty-inventory").otherwise("verified").alias("status"), "reason", F.when(ok, F.col("id")).alias("league_id"),
+        F.when(ok, clean_text(F.col("name"), 200)).alias("league_name"), F.when(ok, n).alias("team_count"), F.when(ok, F.coalesce("placeholders", F.lit(0))).alias("placeholders"),
+        F.when(ok, F.coalesce("n", F.lit(0)) - n).alias("duplicates"), F.when(ok, sha).alias("sha256"),
         F.when(ok & F.coalesce(indexed, F.lit(False)), index["header"]).alias("news_header"), F.when(ok & F.coalesce(indexed, F.lit(False)), link).alias("news_url"),
     )
     # a row per sport, asked three times below
