@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewire.operators import providers
 from tidewire.plans import QUERIES
-from tidewire.sources import parsers
+from tidewire.sources import navigation, parsers
 
 
 def most_rows(df):
@@ -97,3 +97,20 @@ def test_leagues_of_many_suppliers(spark, tmp_path):
     suppliers.write.parquet(f"{tmp_path}/supplier.parquet")
     (league,) = QUERIES["imported_leagues"](spark, str(tmp_path)).collect()
     assert (league.status, league.team_count, league.placeholders, league.duplicates) == ("verified", 2000, 1, 2000)
+
+
+def test_a_menu_that_is_too_large_is_told(spark):
+    link = {"title": "Golf", "url": "/g" + "x" * 1000}
+    page = lambda kind, n: f"<script>var obj = {json.dumps({'type': kind, 'data': [link] * n})};</script>"
+    pages = spark.createDataFrame([(1, page("main-navigation", 2500)), (2, page("stories", 2500)), (3, page("main-navigation", 1))], "id int, text string")
+    assert sorted((r.id, r.error_code, r.place) for r in navigation.declared_navigation(pages, "id").collect()) == [(1, "source-format-changed", None), (3, None, [0, 0])]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the driver's tables are not here")
+def test_menus_of_many_customers(spark, tmp_path):
+    os.symlink("/root/testdata/sf0.001/nation.parquet", tmp_path / "nation.parquet")
+    segment = F.when(F.col("id") == 13_000, "BUILDING").when(F.col("id") < 7_000, "FURNITURE").otherwise("MACHINERY")
+    rows = spark.range(13_001).select(F.col("id").alias("c_custkey"), F.lit(0).alias("c_nationkey"), segment.alias("c_mktsegment"), F.lit(1.0).alias("c_acctbal"))
+    rows.write.parquet(f"{tmp_path}/customer.parquet")
+    found = {r.program_id: r.home_url for r in QUERIES["menu_sources"](spark, str(tmp_path)).collect()}
+    assert found == {1: "https://a.edu/sports/c13000", 2: "https://a.edu/sports/c7000"}
