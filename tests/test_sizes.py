@@ -2,13 +2,14 @@
 
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidewire.operators import providers
 from tidewire.plans import QUERIES
-from tidewire.sources import navigation, parsers
+from tidewire.sources import cards, navigation, parsers
 
 
 def most_rows(df):
@@ -114,3 +115,29 @@ def test_menus_of_many_customers(spark, tmp_path):
     rows.write.parquet(f"{tmp_path}/customer.parquet")
     found = {r.program_id: r.home_url for r in QUERIES["menu_sources"](spark, str(tmp_path)).collect()}
     assert found == {1: "https://a.edu/sports/c13000", 2: "https://a.edu/sports/c7000"}
+
+
+def _shape(node):
+    """A tree as nested values; text that was read in pieces is one."""
+    out = []
+    for c in node.children:
+        if isinstance(c, str) and out and isinstance(out[-1], str):
+            out[-1] += c
+        else:
+            out.append(c if isinstance(c, str) else _shape(c))
+    return node.tag, node.attrs, out
+
+
+def test_plain_pages_have_the_same_tree():
+    parts = ['<div class="a b">', "</div>", "<P>", "</p>", "text > text", " ", '<img src="/x" ALT="">', '<br />', "</none>", '<a href="/x?a<b">', "</A>", "<!doctype html>", "<script>if (a < b) f('<b>');</script>",
+             "<title>A title</title>", '<li id="x"  data-x="1" id="y">', "<style>p > b {}</style>"]
+    odd = ["a &amp; b", "<!-- <b>no</b> -->", "<input disabled>", "<a href=x>", "<a href='x'>", '<b title="&lt;">', "<script>a</b></script>", "<title>a <b>", "a < b", "&", "<iframe>", "<script>", '<b x="1"y="2">', "<?x?>"]
+    r, plain = random.Random(3), 0
+    for i in range(3000):
+        page = "".join(r.choice(parts if i % 2 or r.random() < 0.9 else odd) for _ in range(r.randrange(12)))
+        slow, quick = cards._Tree(), cards._plain_tree(page)
+        slow.feed(page)
+        assert quick is None or _shape(quick) == _shape(slow.root), page
+        assert _shape(cards.tree_of(page)) == _shape(slow.root)
+        plain += quick is not None
+    assert plain > 1500
