@@ -1,5 +1,9 @@
 import time
+import tracemalloc
 
+import numpy as np
+
+from tidewire.llm import langid
 from tidewire.llm._common import CLEANUP, Scratch
 
 
@@ -21,3 +25,18 @@ def test_a_saved_table_leaves_no_shuffle_files(spark):
     assert not new
     assert spark.conf.get(CLEANUP) == held
     assert table.count() == 2000
+
+
+def test_rows_of_the_sample_are_made_a_few_at_a_time():
+    n, each = 4000, 300
+    offsets = np.arange(n + 1) * each
+    buckets = np.tile(np.arange(each, dtype=np.int16), n)
+    counts = np.ones(n * each, np.int32)
+    idf = np.ones(langid.BUCKETS, np.float32)
+    tracemalloc.start()
+    try:
+        x = langid.Rows.of(offsets, buckets, counts, idf)
+        assert tracemalloc.get_traced_memory()[1] < 2 * x.values.nbytes
+    finally:
+        tracemalloc.stop()
+    assert np.allclose(x.dense(np.array([0, n - 1]))[:, :each], each**-0.5)

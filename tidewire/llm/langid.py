@@ -120,10 +120,15 @@ class Rows:
 
     @classmethod
     def of(cls, offsets: np.ndarray, buckets: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> Rows:
-        values = frequencies(counts) * idf[buckets]
-        row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-        norms = np.sqrt(np.bincount(row, values.astype(np.float64) ** 2, minlength=len(offsets) - 1))
-        return cls(offsets, buckets, values / np.maximum(norms, 1e-12)[row].astype(np.float32))
+        values = np.empty(len(buckets), np.float32)
+        for first in range(0, len(offsets) - 1, 250):  # what is made on the way is a multiple of the rows
+            ends = offsets[first : first + 251]
+            at = slice(ends[0], ends[-1])
+            found = frequencies(counts[at]) * idf[buckets[at]]
+            row = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+            norms = np.sqrt(np.bincount(row, found.astype(np.float64) ** 2, minlength=len(ends) - 1))
+            values[at] = found / np.maximum(norms, 1e-12)[row].astype(np.float32)
+        return cls(offsets, buckets, values)
 
     def __len__(self) -> int:
         return len(self.offsets) - 1
@@ -202,7 +207,7 @@ def _sparse_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             rows, buckets = np.nonzero(counts)
             offsets = np.searchsorted(rows, np.arange(len(part) + 1)).astype(np.int32)
             arrays = [langs.slice(first, len(part)), places.slice(first, len(part))]
-            for flat in (buckets.astype(np.int32), counts[rows, buckets].astype(np.int32)):
+            for flat in (buckets.astype(np.int16), counts[rows, buckets].astype(np.int32)):
                 arrays.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)))
             first += len(part)
             yield pa.RecordBatch.from_arrays(arrays, ["lang", "h", "buckets", "counts"])
@@ -226,10 +231,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     cut = F.broadcast(docs.sparkSession.createDataFrame(cuts, "lang string, cut bigint, first bigint"))
     sample = (
         rows.join(cut, "lang").where("h <= cut").select("lang", "h", "text")
-        .mapInArrow(_sparse_counts, "lang string, h bigint, buckets array<int>, counts array<int>")
+        .mapInArrow(_sparse_counts, "lang string, h bigint, buckets array<smallint>, counts array<int>")
         .join(cut, "lang")
         .orderBy(F.col("h") > F.col("first"), "h", "lang")
-        .select("lang", "h", "buckets", "counts")
+        .select("lang", "buckets", "counts")
         .limit(max(SAMPLE, len(langs)))
         .toArrow()
     )
@@ -249,6 +254,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     y = np.array([place[v] for v in sample["lang"].to_pylist()], int)
     del sample, lists
     x = Rows.of(offsets, buckets, counts, idf)
+    del counts
     every = np.arange(len(y))
     later = np.ones(len(y), bool)
     later[np.unique(y, return_index=True)[1]] = False  # no label is left to the rows held back
