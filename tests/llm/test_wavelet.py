@@ -40,6 +40,34 @@ def test_encoder_equals_library():
         assert own.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_wide_ids():
+    a = np.random.default_rng(1).integers(0, 1 << 20, 5000)
+    m = wavelet.WaveletMatrix.of(a, 20)
+    assert (m.unpack() == a).all() and (m.access([0, 4999]) == a[[0, 4999]]).all()
+
+
+def test_plain_texts_are_encoded_by_pre_token(monkeypatch):
+    """The library reads no plain text whole or cuts it again, gets a pre-token once, and what is remembered is bounded."""
+    own, library = wavelet.Encoder(open(FILE).read()), Tokenizer.from_file(FILE)
+    monkeypatch.setattr(wavelet, "REMEMBERED", 40)
+    asked, tokenize = [], own.known.tokenize
+    own.known.tokenize = lambda t: asked.append(t) or tokenize(t)
+    texts = ["the end, the end of the\tthe naïve ſ " * 3, " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)), "long" * 500]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    own.library = None
+    assert [x.tolist() for x in own.encode(texts[:1])] == want[:1] and len(asked) == len(set(asked)) > 5
+    assert [x.tolist() for x in own.encode(texts)] == want
+    assert len(own.known) <= 40 and max(map(len, own.known)) <= wavelet.LONGEST
+
+
+def test_every_plain_letter_as_the_library():
+    own, library = wavelet.Encoder(open(FILE).read()), Tokenizer.from_file(FILE)
+    plain = [c for c in map(chr, range(0x110000)) if not wavelet._ODD.search(c)]
+    assert len(plain) == len(own.known.letters) and max(plain) < "\u0180"
+    text = "".join(a + b + " " + a for a in plain for b in plain)
+    assert own.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_files_round_trip(spark, prose, tmp_path, odd_documents):
     df = odd_documents.select("doc_id", "text").unionByName(
         spark.createDataFrame([(10 + i, prose(i * 3)) for i in range(60)], "doc_id bigint, text string")
