@@ -117,6 +117,33 @@ def test_menus_of_many_customers(spark, tmp_path):
     assert found == {1: "https://a.edu/sports/c13000", 2: "https://a.edu/sports/c7000"}
 
 
+def test_a_menu_of_too_many_nodes_is_not_made(spark, tmp_path):
+    small, large = 3, 4000  # a customer has an order, an order one item
+    rows = spark.range(small + large).select("id", F.when(F.col("id") < small, 1).otherwise(2).alias("nation"))
+    tables = {
+        "customer": rows.select(F.col("id").alias("c_custkey"), F.col("nation").alias("c_nationkey"), F.lit("BUILDING").alias("c_mktsegment"), F.lit("C").alias("c_name")),
+        "orders": rows.select(F.col("id").alias("o_orderkey"), F.col("id").alias("o_custkey"), F.lit("2-HIGH").alias("o_orderpriority"), F.lit("F").alias("o_orderstatus")),
+        "lineitem": rows.select(F.col("id").alias("l_orderkey"), F.lit(5).alias("l_partkey"), F.lit(6).alias("l_suppkey"), F.lit(1.0).alias("l_extendedprice"), F.lit("A").alias("l_returnflag"), F.lit("F").alias("l_linestatus")),
+    }
+    for name, table in tables.items():
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    found = QUERIES["declared_menus"](spark, str(tmp_path))
+    assert sorted((r.n_nationkey, r.error_code or r.gender) for r in found.collect()) == [(1, "mens")] * 2 * small + [(2, "source-format-changed")]
+    told, todo = [], [found._jdf.queryExecution().executedPlan()]
+    while todo:
+        plan = todo.pop()
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(plan.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(plan.plan())
+        else:
+            if kind == "ArrowEvalPythonExec":
+                told.append(plan.metrics().get("pythonDataSent").get().value())
+            todo += [plan.children().apply(i) for i in range(plan.children().size())]
+    assert told and max(told) < 20_000  # bytes of the pages that are decoded; the large nation's would be some 700,000
+
+
 def _shape(node):
     """A tree as nested values; text that was read in pieces is one."""
     out = []
